@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, token_counts
+from tessella.llm import bpe, langid, quality, token_counts
+from tessella.llm.shared import materialize
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -29,9 +30,29 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def _held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    learned = langid.learn(docs.where(~_held_out()))
+    return langid.predict(docs, learned).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialize(quality.measure(_documents(spark, sf_dir)))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(measured, labels.where(~_held_out()))
+    scored = quality.score(measured, model)
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op8_language": op8_language,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
