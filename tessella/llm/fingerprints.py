@@ -33,7 +33,7 @@ al como con cuando de del desde el ella ellos en entre era es esta este fue ha h
 o para pero por que se ser si sin sobre su sus también un una y ya
 """.split()
 CHAIN = 2
-#: A text with fewer than one spot in so many words takes every word as a spot.
+#: Beyond so many words after the last spot, every word takes a spot's place.
 SPARSE = 10
 WORD = np.zeros(256, bool)
 for _codes in (range(48, 58), range(65, 91), range(97, 123), range(128, 256)):
@@ -53,9 +53,9 @@ _ANCHOR_HASHES = np.unique(_hash_words(sorted(set(ANCHORS))))
 def signatures(texts: list[str | None]) -> list[np.ndarray]:
     """The sorted set of 32-bit signatures of each text.
 
-    A text with hardly any spot that enough content words follow takes every
-    word as a spot; one without words has its whole as one signature;
-    null and empty texts have none. Equal texts have equal sets.
+    Where a text has no spot yet, or none among its last SPARSE words, every
+    word takes a spot's place. A text without signatures otherwise has its
+    whole as one; null and empty texts have none. Equal texts have equal sets.
     """
     raw = [(t or "").encode() for t in texts]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -76,17 +76,22 @@ def signatures(texts: list[str | None]) -> list[np.ndarray]:
     for k in range(CHAIN):
         sig = sig * np.uint64(0x9E3779B97F4A7C15) + h[content[nth + k]]
     sig, of = mix(sig), owner[spots]
-    bare = np.bincount(of, minlength=len(raw)) * SPARSE <= np.bincount(owner, minlength=len(raw))
-    if bare.any():
-        words = np.flatnonzero(bare[owner])
+    words = np.zeros(0, np.int64)
+    if len(h):
+        # far behind the last spot of its text, a word stands in for one
+        place = np.arange(len(h))
+        first = np.searchsorted(owner, owner)
+        behind = np.maximum.accumulate(np.where(anchor, place, -1))
+        words = np.flatnonzero(~anchor & ((behind < first) | (place - behind > SPARSE)))
         more = h[words]
         for k in range(1, CHAIN + 1):
             after = np.minimum(words + k, len(h) - 1)
             more = more * np.uint64(0x9E3779B97F4A7C15) + np.where((words + k < len(h)) & (owner[after] == owner[words]), h[after], np.uint64(0))
-        whole = np.flatnonzero(bare & (sizes > 0) & (np.bincount(owner, minlength=len(raw)) == 0))
+        sig, of = np.concatenate([sig, mix(more)]), np.concatenate([of, owner[words]])
+    whole = np.flatnonzero((sizes > 0) & (np.bincount(of, minlength=len(raw)) == 0))
+    if len(whole):
         rest = np.array([int.from_bytes(hashlib.blake2b(raw[k], digest_size=8).digest(), "big") for k in whole], np.uint64)
-        sig = np.concatenate([sig, mix(more), rest])
-        of = np.concatenate([of, owner[words], whole])
+        sig, of = np.concatenate([sig, rest]), np.concatenate([of, whole])
     low = (sig >> np.uint64(32)).astype(np.uint32)
     key = (of.astype(np.uint64) << np.uint64(32)) | low
     key = np.unique(key)
