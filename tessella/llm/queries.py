@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, langid, quality, token_counts
+from tessella.llm import bpe, fingerprints, langid, pii, quality, token_counts
 from tessella.llm.shared import materialize
 
 
@@ -34,6 +34,10 @@ def _held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(_documents(spark, sf_dir))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
     "op8_language": op8_language,
     "op10_quality": op10_quality,
