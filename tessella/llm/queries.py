@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, langid, pii, quality, token_counts
+from tessella.llm import bpe, decontaminate, fingerprints, langid, pii, quality, token_counts, url_filter
 from tessella.llm.shared import materialize
 
 
@@ -34,6 +34,21 @@ def _held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
 
 
+#: The rules of the URL query.
+URL_RULES = [
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_documents(spark, sf_dir))
 
@@ -48,6 +63,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, learned).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialize(quality.measure(_documents(spark, sf_dir)))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -59,9 +78,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
     "op8_language": op8_language,
+    "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
 
