@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, decontaminate, fingerprints, langid, pii, quality, token_counts, url_filter
+from tessella.llm import bpe, decontaminate, fingerprints, langid, ngram_join, pii, quality, token_counts, url_filter
 from tessella.llm.shared import materialize
 
 
@@ -34,6 +34,10 @@ def _held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(_documents(spark, sf_dir))
+
+
 #: The rules of the URL query.
 URL_RULES = [
     url_filter.Rule("com", "/", "allow"),
@@ -78,6 +82,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op5_url_filter": op5_url_filter,
     "op6_pii": op6_pii,
     "op7_fingerprints": op7_fingerprints,
