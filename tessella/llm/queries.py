@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, decontaminate, fingerprints, langid, ngram_join, pii, quality, token_counts, url_filter
+from tessella.llm import bpe, decontaminate, fingerprints, langid, ngram_join, pii, quality, suffix_dedup, token_counts, url_filter
 from tessella.llm.shared import materialize
 
 
@@ -21,6 +21,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_documents(spark, sf_dir))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir), vocabulary_path())
 
@@ -80,6 +84,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
