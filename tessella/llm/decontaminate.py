@@ -108,3 +108,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
     b, h = base.alias("b"), by_doc.alias("h")
     joined = b.join(h, F.col("b.key").eqNullSafe(F.col("h.key")) & F.col("b.row").eqNullSafe(F.col("h.row")), "left")
     return joined.select(F.col("b.key").alias(key), "b.n_words", F.coalesce("h.n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("h.n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("h.items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.coalesce(F.col("h.n_hit") > 0, F.lit(False)).alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns."""
+    tagged = docs.withColumn("__row", F.xxhash64(docs[text]))
+    source = tagged.select(F.col(key).alias("key"), F.col("__row").alias("row"), words(F.col(text)).alias("w"))
+    found = hits(source, materialize(windows(benchmark, item, item_text)))
+    if found is None:
+        return docs
+    hit = materialize(found.select("key", "row").distinct())
+    # an equal hash of the text beside the key tells rows that share a key apart
+    return tagged.join(hit, F.col(key).eqNullSafe(hit["key"]) & (F.col("__row") == hit["row"]), "left_anti").select(*docs.columns)

@@ -2,11 +2,12 @@
 
 1.  Every text becomes a sorted set of 64-bit shingle hashes. Texts with equal
     sets form one class; from here on, classes stand for their documents.
-2.  Prefix filter: two similar sets share one of their first few shingles in
-    any fixed order. Shingles that many documents hold come last in it, so
-    that boilerplate rarely leads anywhere. Each class posts its prefix.
-3.  Classes that share a posted shingle and whose sizes fit are candidates. A
-    short list of postings gives all its pairs. A long one first gives a chain
+2.  Prefix filter: two similar sets share several of their first shingles in
+    any fixed order; how many follows from the length of the prefix. Shingles
+    that many documents hold come last in the order. Each class posts its
+    prefix, and a class too few of whose posts another class has is done.
+3.  Of the rest, classes that share a posted shingle and whose sizes fit are
+    candidates. A short list of postings gives all its pairs. A long one first gives a chain
     and a star, which join a group of near copies in linear work.
 4.  Hashed bitmaps, as wide as the band of set sizes asks for, bound each
     pair's overlap from above by bit counts. The rest is decided by
@@ -31,6 +32,8 @@ from tessella.llm.shared import LOWER, NOT_SPACE, PrefixHash, connected, flat, m
 
 WORDS = 5
 SHORT_LIST = 12
+#: Shingles by which prefixes are longer than needed for one common shingle, in percent of the set.
+LEAD_PERCENT = 8
 #: Shingles of a task that are counted together, and how often one must occur there to be reported.
 RUN, OFTEN = 1 << 20, 4
 #: Share of documents from which a shingle counts as frequent. At most mean set size / COMMON are.
@@ -126,6 +129,11 @@ class _Seen:
         return True
 
 
+def lead(n: int) -> int:
+    """Shingles that the prefixes of two similar sets, the smaller one of size n, have in common at least."""
+    return 1 + n * LEAD_PERCENT // 100
+
+
 def _prefixes(sets: np.ndarray, at: np.ndarray, heavy: np.ndarray, num: int, den: int) -> list[np.ndarray]:
     """The prefix of each set in the order: other shingles before frequent ones, then by hash."""
     if len(heavy):
@@ -138,7 +146,7 @@ def _prefixes(sets: np.ndarray, at: np.ndarray, heavy: np.ndarray, num: int, den
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         n = b - a
-        size = n - -(-n * num // den) + 1 if n else 0
+        size = n - -(-n * num // den) + lead(n) if n else 0
         if count[a] == count[b]:
             out.append(sets[a : a + size])
         else:
@@ -167,77 +175,104 @@ def narrower(maps: np.ndarray, words: int) -> np.ndarray:
     return maps
 
 
-def _pairs_of_lists(num: int, den: int):
-    """Candidates of sorted posting lists: see step 3. Also long lists, for step 5."""
+def _by_list(work):
+    """Calls work(h, n, c, torn) with whole lists of rows sorted by h, n, c.
 
-    def fits(small: np.ndarray, large: np.ndarray) -> np.ndarray:
-        return small * den >= large * num
+    A very long list comes in parts; ``torn`` is its h, else None.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: tuple[np.ndarray, ...] | None = None
-        told: set[int] = set()
-
-        def work(h: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
-            # copies of a row come from tasks that met the same class
-            keep = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))
-            h, n, c = h[keep], n[keep], c[keep]
-            starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            sizes = np.diff(np.append(starts, len(h)))
-            a, b = [], []
-            short = np.repeat(sizes <= SHORT_LIST, sizes)
-            for step in range(1, SHORT_LIST):
-                at = np.flatnonzero((h[step:] == h[:-step]) & short[step:]) if len(h) > step else np.zeros(0, np.int64)
-                at = at[fits(n[at], n[at + step])]
-                a.append(c[at])
-                b.append(c[at + step])
-            lists = []
-            for s, size in zip(starts[sizes > SHORT_LIST].tolist(), sizes[sizes > SHORT_LIST].tolist(), strict=True):
-                own, count = c[s : s + size], n[s : s + size]
-                digest = hash(np.sort(own).tobytes())
-                if digest in told:
-                    continue
-                told.add(digest)
-                if len(told) > REMEMBERED:
-                    told.clear()
-                lists.append(slice(s, s + size))
-                # a star around each band's first member, and a chain
-                hub, i = [], 0
-                while i < size:
-                    j = max(i + 1, int(np.searchsorted(count * num, count[i] * den, side="right")))
-                    hub.append((i, j))
-                    i = j
-                for i, j in hub:
-                    a.append(np.repeat(own[i], j - i - 1))
-                    b.append(own[i + 1 : j])
-                near = np.flatnonzero(fits(count[:-1], count[1:]))
-                a.append(own[near])
-                b.append(own[near + 1])
-            x, y = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
-            both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
-            both = both[both[:, 0] != both[:, 1]]
-            yield pa.record_batch([pa.nulls(len(both), pa.int64()), pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], names=["h", "a", "b"])
-            for part in lists:
-                yield pa.record_batch([pa.array(h[part]), pa.array(c[part]), pa.array(n[part])], names=["h", "a", "b"])
-
+        torn: int | None = None
         for batch in batches:
             new = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if rest is not None:
                 new = tuple(np.concatenate(z) for z in zip(rest, new, strict=True))
             if not len(new[0]):
                 continue
-            # the last list may go on in the next batch; a very long one is worked off in parts
+            # the last list may go on in the next batch
             cut = int(np.searchsorted(new[0], new[0][-1]))
             if len(new[0]) - cut > LIST_ROWS:
-                cut = len(new[0]) - 1
+                cut, torn = len(new[0]), int(new[0][-1])
             if cut:
-                yield from work(*(z[:cut] for z in new))
+                yield from work(*(z[:cut] for z in new), torn)
             rest = tuple(z[cut:] for z in new)
         if rest is not None and len(rest[0]):
-            yield from work(*rest)
+            yield from work(*rest, torn)
 
     return run
 
 
+def _distinct(h: np.ndarray, n: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Without the copies of a row that come from tasks that met the same class."""
+    keep = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))
+    return h[keep], n[keep], c[keep]
+
+
+def _repeated(h: np.ndarray, n: np.ndarray, c: np.ndarray, torn: int | None) -> Iterator[pa.RecordBatch]:
+    """The posts of shingles that two classes or more have posted."""
+    h, n, c = _distinct(h, n, c)
+    same = h[1:] == h[:-1]
+    keep = np.append(same, False) | np.append(False, same)
+    if torn is not None:
+        keep |= h == torn
+    yield pa.record_batch([pa.array(h[keep]), pa.array(n[keep]), pa.array(c[keep])], names=["h", "n", "c"])
+
+
+def _pairs_of_lists(num: int, den: int):
+    """Candidates of sorted posting lists: see step 3. Also long lists, for step 5."""
+
+    def fits(small: np.ndarray, large: np.ndarray) -> np.ndarray:
+        return small * den >= large * num
+
+    told: set[int] = set()
+
+    def work(h: np.ndarray, n: np.ndarray, c: np.ndarray, torn: int | None) -> Iterator[pa.RecordBatch]:
+        h, n, c = _distinct(h, n, c)
+        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        sizes = np.diff(np.append(starts, len(h)))
+        a, b = [], []
+        long = sizes > SHORT_LIST
+        if torn is not None:
+            long |= h[starts] == torn
+        short = ~np.repeat(long, sizes)
+        for step in range(1, SHORT_LIST):
+            at = np.flatnonzero((h[step:] == h[:-step]) & short[step:]) if len(h) > step else np.zeros(0, np.int64)
+            at = at[fits(n[at], n[at + step])]
+            a.append(c[at])
+            b.append(c[at + step])
+        lists = []
+        for s, size in zip(starts[long].tolist(), sizes[long].tolist(), strict=True):
+            own, count = c[s : s + size], n[s : s + size]
+            digest = hash(np.sort(own).tobytes())
+            if digest in told and h[s] != torn:
+                continue
+            told.add(digest)
+            if len(told) > REMEMBERED:
+                told.clear()
+            lists.append(slice(s, s + size))
+            # a star around each band's first member, and a chain
+            hub, i = [], 0
+            while i < size:
+                j = max(i + 1, int(np.searchsorted(count * num, count[i] * den, side="right")))
+                hub.append((i, j))
+                i = j
+            for i, j in hub:
+                a.append(np.repeat(own[i], j - i - 1))
+                b.append(own[i + 1 : j])
+            near = np.flatnonzero(fits(count[:-1], count[1:]))
+            a.append(own[near])
+            b.append(own[near + 1])
+        x, y = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
+        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
+        both = both[both[:, 0] != both[:, 1]]
+        yield pa.record_batch([pa.nulls(len(both), pa.int64()), pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], names=["h", "a", "b"])
+        for part in lists:
+            yield pa.record_batch([pa.array(h[part]), pa.array(c[part]), pa.array(n[part])], names=["h", "a", "b"])
+
+    return _by_list(work)
+
+
 def _bound(num: int, den: int):
     """Keeps the pairs whose bit counts allow the threshold. Rows: a, b, na, ma, nb, mb."""
 
@@ -362,7 +397,10 @@ def components(docs: DataFrame, text: str = "text", key: str = "doc_id", num: in
                 yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(np.repeat(n[new], sizes).astype(np.int64)), pa.array(np.repeat(classes[new], sizes))], names=["h", "n", "c"])
 
     posted = source.where("key is not null").select("text").mapInArrow(post, "h long, n long, c long")
-    listed = posted.repartition("h").sortWithinPartitions("h", "n", "c")
+    posts = materialize(posted.repartition("h").sortWithinPartitions("h", "n", "c").mapInArrow(_by_list(_repeated), "h long, n long, c long"), scratch)
+    least_size = F.ceil(F.col("n") * num / den)
+    lively = posts.groupBy("c", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= 1 + F.floor(least_size * LEAD_PERCENT / 100)).select("c")
+    listed = posts.join(lively, "c").select("h", "n", "c").repartition("h").sortWithinPartitions("h", "n", "c")
     candidates = materialize(listed.mapInArrow(_pairs_of_lists(num, den), "h long, a long, b long"), scratch)
     pairs = materialize(candidates.where("h is null").select("a", "b").distinct(), scratch)
     lists = candidates.where("h is not null").select("h", F.col("a").alias("c"), F.col("b").alias("n"))
@@ -417,6 +455,21 @@ def components(docs: DataFrame, text: str = "text", key: str = "doc_id", num: in
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), own).alias("component_id"))
 
 
+def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", num: int = 75, den: int = 100) -> DataFrame:
+    """One row of each component of ``docs``, that of its least key, with all its columns.
+
+    Rows without words or with a null key all stay; of rows that share a key,
+    one does.
+    """
+    found = components(docs, text, key, num, den)
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
+    kept = docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+    twice = docs.where(docs[key].isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
+    if not twice:
+        return kept
+    return kept.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(kept.where(F.col(key).isNull()))
+
+
 def _slots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = mix(values.view(np.uint64))
     return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)

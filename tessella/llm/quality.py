@@ -243,3 +243,25 @@ def score(measured: DataFrame, model: Model | None, key: str = "doc_id") -> Data
     source = measured.select(measured[key].alias("key"), "stats")
     kind = source.schema["key"].dataType.simpleString()
     return source.mapInArrow(run, f"key {kind}, score double").withColumnRenamed("key", key)
+
+
+def keep(docs: DataFrame, model: Model | None, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``least`` or more, with all their columns.
+
+    One pass without a shuffle. Without a model every row stays.
+    """
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    place = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(len(names))])
+            for piece in pieces(batch, f"c{place}"):
+                stats = statistics(*flat(piece.column(place))).astype(np.float32)
+                yield piece.filter(pa.array(probability(shared.value, stats) >= least))
+
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names)

@@ -34,7 +34,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-def _held_out() -> Column:
+def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
 
 
@@ -67,8 +67,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    learned = langid.learn(docs.where(~_held_out()))
-    return langid.predict(docs, learned).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+    learned = langid.learn(docs.where(~held_out()))
+    return langid.predict(docs, learned).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,9 +78,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = materialize(quality.measure(_documents(spark, sf_dir)))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(measured, labels.where(~_held_out()))
+    model = quality.fit(measured, labels.where(~held_out()))
     scored = quality.score(measured, model)
-    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
