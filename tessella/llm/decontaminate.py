@@ -3,14 +3,17 @@
 A benchmark item gives one window for every run of its words as long as the
 window size; a shorter item is one window. A window occurs in a document if
 all of its shingles do, at the right distances. So it suffices to look up the
-window's rarest shingle: shingles are ordered by how often the documents hold
-them, and the first in that order is the window's prefix. A match of it fixes
-where the window would start; the bounds of the document cut the impossible
-ones, and the words themselves are compared for the rest.
+window's rarest shingle: shingles are ordered by how rare their words are, and
+the first in that order is the window's prefix. Any order is correct; the
+benchmark's own word counts give one without a pass over the documents. A
+match of the prefix fixes where the window would start; the bounds of the
+document cut the impossible ones, and the words themselves are compared for
+the rest.
 
 The documents are never shuffled: they stream past blocks of windows of
-bounded size, one pass for each block. What is shuffled are counts of
-shingles and the verified hits.
+bounded size, one pass for each block, and positions, look-up and comparison
+are one stage. What is shuffled are one short row for each document and the
+verified hits.
 """
 
 from __future__ import annotations
@@ -39,11 +42,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered(text), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
 
 
-def count_words(text: Column) -> Column:
-    """size(words(text)) without lower-casing."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-
-
 def _shingle(array: str, at: str, width: int) -> Column:
     return F.xxhash64(*[F.expr(f"get({array}, {at} + {k})") for k in range(width)])
 
@@ -55,37 +53,43 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", siz
     return rows.groupBy(F.expr("slice(w, at + 1, n)").alias("win")).agg(F.collect_set("item").alias("items")).select("win", F.least(F.size("win"), F.lit(SHINGLE)).alias("width"), F.size("win").alias("n"), "items")
 
 
-def _stream(docs: DataFrame, width: int) -> DataFrame:
-    """Every word position of every document with the hash of the shingle that starts there."""
-    return docs.select("key", "row", "w", F.posexplode("w").alias("at", "_")).select("key", "row", "w", "at", _shingle("w", "at", width).alias("sh"))
+def prefixes(wins: DataFrame) -> DataFrame:
+    """Each window with the hash and the offset of its rarest shingle."""
+    seen = wins.select(F.explode("win").alias("word")).groupBy("word").agg(F.count("*").alias("times"))
+    parts = wins.withColumn("off", F.explode(F.sequence(F.lit(0), F.expr("n - width"))))
+    words_of = parts.select("win", "off", F.explode(F.expr("slice(win, off + 1, width)")).alias("word")).join(seen, "word")
+    rarity = words_of.groupBy("win", "off").agg(F.sum(F.log("times")).alias("common"))
+    first = rarity.groupBy("win").agg(F.min_by("off", F.struct("common", "off")).alias("off"))
+    return wins.join(first, "win")
 
 
 def hits(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """(key, row, start, n, items) of every occurrence of a window; docs has key, row, w."""
+    """(key, row, n_words, start, n, items) for docs with key, row and w.
+
+    One row with a null start for each document and, beside it, one for each
+    occurrence of a window.
+    """
+    wins = materialize(prefixes(wins))
+    weight = F.expr("octet_length(concat_ws(' ', win)) + octet_length(concat_ws(' ', items)) + 24 * (size(win) + size(items)) + 200")
+    sizes = wins.groupBy("width").agg(F.sum(weight).alias("bytes")).collect()
+    # place -1 stands for the document itself
+    places = docs.select("key", "row", "w", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
     found = None
-    size = wins.groupBy("width").agg(F.sum(F.expr("octet_length(concat_ws(' ', win)) + octet_length(concat_ws(' ', items)) + 24 * (size(win) + size(items)) + 200")).alias("bytes")).collect()
-    for width, total in sorted((r.width, r.bytes) for r in size):
+    for width, total in sorted((r.width, r.bytes) for r in sizes):
         blocks = max(1, math.ceil(total / BLOCK_BYTES))
         some = wins.where(F.col("width") == width).withColumn("block", F.pmod(F.xxhash64("win"), F.lit(blocks)))
-        parts = some.withColumn("off", F.explode(F.sequence(F.lit(0), F.expr("n - width")))).withColumn("sh", _shingle("win", "off", width))
-        counted = None
+        stream = places.select("key", "row", "w", "at", _shingle("w", "at", width).alias("sh"))
         for block in range(blocks):
-            # rarity: how often the documents hold the shingles of the windows
-            wanted = parts.where(F.col("block") == block).select("sh").distinct()
-            seen = _stream(docs, width).select("sh").join(F.broadcast(wanted), "sh", "left_semi").groupBy("sh").agg(F.count("*").alias("df"))
-            counted = seen if counted is None else counted.union(seen)
-        # blocks can share shingles, whose counts are the same
-        rare = materialize(counted.groupBy("sh").agg(F.max("df").alias("df")))
-        # a window one of whose shingles no document holds occurs nowhere
-        ranked = parts.join(rare, "sh", "left").groupBy("block", "win", "n", "items").agg(F.min_by(F.struct("sh", "off"), F.struct(F.coalesce("df", F.lit(0)), "off")).alias("first"), F.min(F.coalesce("df", F.lit(0))).alias("least"))
-        ranked = ranked.where("least > 0").select("block", "win", "n", "items", "first.sh", "first.off")
-        for block in range(blocks):
-            prefix = ranked.where(F.col("block") == block).drop("block")
+            prefix = some.where(F.col("block") == block).select("win", "n", "items", "off", _shingle("win", "off", width).alias("psh"))
             inside = F.expr("at >= off and at - off + n <= size(w)")
             same = F.expr("slice(w, at - off + 1, n) = win")
-            stream = _stream(docs, width).alias("d").join(F.broadcast(prefix).alias("p"), F.col("d.sh") == F.col("p.sh")).where(inside).where(same)
-            got = stream.select("key", "row", F.expr("at - off").alias("start"), "n", "items")
+            # the first pass also gives the documents' own rows
+            kind = "left" if found is None else "inner"
+            got = stream.join(F.broadcast(prefix), (F.col("sh") == F.col("psh")) & inside & same, kind)
+            got = got.where("at = -1 or psh is not null").select("key", "row", F.expr("size(w)").alias("n_words"), F.expr("if(psh is null, null, at - off)").alias("start"), "n", "items")
             found = got if found is None else found.unionByName(got)
+    if found is None:
+        found = docs.select("key", "row", F.size("w").alias("n_words"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<string>").alias("items"))
     return found
 
 
@@ -96,27 +100,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
     words. Repeated rows give a row each; rows that share a key but not the
     text are judged apart. Null keys are kept. An empty benchmark hits nothing.
     """
-    source = docs.select(docs[key].alias("key"), docs[text].alias("text")).withColumn("row", F.xxhash64("text"))
-    base = source.select("key", "row", count_words(F.col("text")).cast("long").alias("n_words"))
-    found = hits(source.select("key", "row", words(F.col("text")).alias("w")), materialize(windows(benchmark, item, item_text)))
-    if found is None:
-        none = base.select(F.col("key").alias(key), "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
-        return none
-    by_doc = found.groupBy("key", "row").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    source = docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("row"), words(docs[text]).alias("w"))
+    found = hits(source, windows(benchmark, item, item_text))
+    span = F.when(F.col("start").isNotNull(), F.struct("start", (F.col("start") + F.col("n")).alias("end")))
+    by_doc = found.groupBy("key", "row").agg(F.max("n_words").cast("long").alias("n_words"), F.count(F.when(F.col("start").isNull(), 1)).cast("int").alias("rows"), F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     covered = F.expr("aggregate(spans, struct(0L as n, 0 as last), (a, s) -> struct(a.n + cast(greatest(0, s.end - greatest(a.last, s.start)) as bigint) as n, greatest(a.last, s.end) as last), a -> a.n)")
-    by_doc = by_doc.select("key", "row", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
-    b, h = base.alias("b"), by_doc.alias("h")
-    joined = b.join(h, F.col("b.key").eqNullSafe(F.col("h.key")) & F.col("b.row").eqNullSafe(F.col("h.row")), "left")
-    return joined.select(F.col("b.key").alias(key), "b.n_words", F.coalesce("h.n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("h.n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("h.items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.coalesce(F.col("h.n_hit") > 0, F.lit(False)).alias("contaminated"))
+    judged = by_doc.select(F.col("key").alias(key), "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), F.explode(F.array_repeat(F.lit(1), F.col("rows"))).alias("_"))
+    return judged.select(key, "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns."""
     tagged = docs.withColumn("__row", F.xxhash64(docs[text]))
     source = tagged.select(F.col(key).alias("key"), F.col("__row").alias("row"), words(F.col(text)).alias("w"))
-    found = hits(source, materialize(windows(benchmark, item, item_text)))
-    if found is None:
-        return docs
-    hit = materialize(found.select("key", "row").distinct())
+    found = hits(source, windows(benchmark, item, item_text))
+    hit = materialize(found.where("start is not null").select("key", "row").distinct())
     # an equal hash of the text beside the key tells rows that share a key apart
     return tagged.join(hit, F.col(key).eqNullSafe(hit["key"]) & (F.col("__row") == hit["row"]), "left_anti").select(*docs.columns)
