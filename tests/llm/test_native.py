@@ -1,0 +1,60 @@
+import hashlib
+import re
+
+from tessella.llm import decontaminate, url_filter
+from tessella.llm.queries import URL_RULES
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def test_contamination_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
+    item = "One two three four five six seven eight nine ten eleven Twelve"
+    benchmark = [(1, item), (2, "short item"), (3, None), (4, "solo"), (5, "..."), (6, "un deux trois quatre"), (6, item), (10, "one TWO three four five six seven eight nine ten")]
+    docs = [(1, f"x {item} y {item}"), (2, "a short, item; and Solo!"), (3, None), (4, ""), (4, "un deux trois"), (4, "un deux trois quatre cinq un deux trois quatre"), (5, "ÉCOLE solo É"), (5, "ÉCOLE solo É"), (None, "solo solo"), (7, "one two three four five six seven eight nine"), (8, "word " * 3000 + item)]
+    windows = {}
+    for i, t in benchmark:
+        w = WORDS.findall((t or "").translate(LOWER))
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(str(i))
+    want = []
+    for d, t in docs:
+        w = WORDS.findall((t or "").translate(LOWER))
+        hit, items = set(), set()
+        for win, ids in windows.items():
+            for k in range(len(w) - len(win) + 1):
+                if tuple(w[k : k + len(win)]) == win:
+                    hit.update(range(k, k + len(win)))
+                    items |= ids
+        want.append((d, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as start", "2 as n", "'a' as key")
+    items = spark.createDataFrame(benchmark, "item_id long, text string")
+    got = [tuple(r) for r in decontaminate.contamination(frame, items).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert not any(r.contaminated for r in decontaminate.contamination(frame, items.limit(0)).collect())
+    assert decontaminate.contamination(frame.limit(0), items).count() == 0
+    clean = decontaminate.clean(frame, items)
+    assert clean.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(w[0]) for w in want if not w[-1])
+
+
+def test_url_rules_and_templates(spark):
+    urls = [
+        ("http://WWW.Example.com/en/1", "www.example.com", "/en/1", "www.example.com/en/", "allow"), ("https://a.example.com/en/", "a.example.com", "/en/", "example.com/en/", "block"),
+        ("x://b.com", "b.com", "", None, "allow"), ("x://b.com/?q=1://z", "b.com", "/", "com/", "allow"), ("http://q.net/es/7#t", "q.net", "/es/7", "net/es/", "block"),
+        ("http://q.net/fr/7", "q.net", "/fr/7", "net/fr/", "block"), (None, "", "", None, "allow"), ("no scheme/en/", "", "", None, "allow"), ("http://notexample.com/en/1", "notexample.com", "/en/1", "com/", "allow"),
+        ("http://É.net/" + "a/" * 50, "É.net", "/" + "a/" * 50, None, "allow"),
+    ]
+    pages = spark.createDataFrame([(k, u[0]) for k, u in enumerate(urls)] + [(0, urls[0][0])], "page_id long, url string").selectExpr("*", "'h' as host", "1 as n")
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict").collect())
+    assert got == sorted([(k, *u[1:]) for k, u in enumerate(urls)] + [(0, *urls[0][1:])])
+    assert url_filter.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+def test_template_with_mostly_blocked_pages_is_rejected(spark):
+    rules = [url_filter.Rule("h.net", "/bad/1", "block"), url_filter.Rule("h.net", "/good/1", "allow")]
+    rows = [(k, f"http://h.net/{'bad' if k % 2 else 'good'}/{'1' if k < 60 else '2'}{k}") for k in range(100)]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule is null").collect()
+    assert {(r.path.split("/")[1], r.verdict) for r in got} == {("bad", "block"), ("good", "allow")}
