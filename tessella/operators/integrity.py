@@ -30,6 +30,9 @@ RESULT_KINDS = {
 TARGETS = {"assembly": ("assemblies", "assembly_id"), "contig": ("contigs", "contig_id"), "bin": ("bins", "bin_id"), "virus": ("viruses", "record_id"), "gene": ("genes", "gene_id")}
 EUK_FIELDS = ["completeness_support", "contamination_support", "completeness_reliability", "contamination_reliability", "checkeuk_expected_markers_present", "checkeuk_expected_markers_total"]
 
+#: Rules over whichever result tables, or feature tables, there are.
+ANY_RESULT, ANY_FEATURE = {19, 20, 21, 22, 24, 25, 26, 29}, {52, 53, 54}
+
 Tables = dict[str, DataFrame]
 RULES: dict[str, tuple[int, list[str], Callable[[Tables], DataFrame]]] = {}
 
@@ -320,7 +323,7 @@ def violations(tables: Tables, names: list[str] | None = None) -> DataFrame:
     """All violations of all rules whose tables are there, or of the named ones."""
     parts = []
     for name, (number, needs, find) in sorted(RULES.items(), key=lambda x: x[1][0]):
-        if (names is None or name in names) and all(n in tables for n in needs):
+        if (names is None or name in names) and all(n in tables for n in needs) and (number not in ANY_RESULT or any(n in tables for n in RESULT_KEYS)) and (number not in ANY_FEATURE or any(n in tables for n in ("ssu", "viruses", "genes"))):
             parts.append(find(tables).select(F.lit(name).alias("rule_id"), F.lit(number).alias("rule_order"), "*"))
     return _union(parts)
 
