@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,12 @@ ORGANISM_FLAGS = 1796
 
 
 def lineage(rows: DataFrame, text: str = "lineage") -> DataFrame:
-    """One row for each named rank: rank, taxon_name, and its place. Empty names are skipped."""
+    """One row for each named rank: rank, taxon_name, and its place. Empty names are skipped; an unknown prefix is its own rank."""
     out = rows.select("*", F.posexplode(F.split(text, ";")).alias("place", "part")).withColumn("part", stripped(F.col("part")))
     prefix, name = F.regexp_extract("part", r"^([a-z]+)_{1,2}(.*)$", 1), F.regexp_extract("part", r"^([a-z]+)_{1,2}(.*)$", 2)
     ranks = F.create_map(*[F.lit(x) for pair in RANKS.items() for x in pair])
-    return out.withColumn("rank", F.element_at(ranks, prefix)).withColumn("taxon_name", name).where("rank is not null and taxon_name <> ''").drop("part")
+    out = out.withColumn("rank", F.coalesce(F.element_at(ranks, prefix), prefix)).withColumn("taxon_name", stripped(name))
+    return out.where("rank <> '' and taxon_name <> ''").drop("part")
 
 
 def repeated_ranks(ranked: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,16 +30,14 @@ def repeated_ranks(ranked: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def virus_lineage(rows: DataFrame, text: str = "lineage") -> DataFrame:
-    """Ranks by place below the root ``Viruses``; blank places are skipped."""
+    """Ranks by place from the root ``Viruses`` on; blank places are skipped."""
     out = rows.where(F.substring_index(text, ";", 1) == "Viruses").select("*", F.posexplode(F.split(text, ";")).alias("place", "taxon_name"))
     ranks = F.array(*[F.lit(r) for r in VIRUS_RANKS])
-    return out.withColumn("rank", F.get(ranks, F.col("place"))).where((F.col("place") > 0) & (stripped(F.col("taxon_name")) != "") & F.col("rank").isNotNull())
+    return out.withColumn("rank", F.get(ranks, F.col("place"))).where((stripped(F.col("taxon_name")) != "") & F.col("rank").isNotNull())
 
 
 def terms(rows: DataFrame, columns: dict[str, str], sep: str = ",") -> DataFrame:
     """One row for each different term of list-valued cells; ``columns`` maps a column to its database."""
-    from functools import reduce
-
     keep = [c for c in rows.columns if c not in columns]
     parts = [rows.select(*keep, F.lit(db).alias("database"), F.explode(F.array_distinct(F.split(present(F.col(c), ("", "-")), sep))).alias("accession")) for c, db in columns.items()]
     return reduce(DataFrame.unionByName, parts).where("accession <> ''")

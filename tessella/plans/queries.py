@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tessella.functions import text
 from tessella.operators import keys, measures, parse, routing
 from tessella.plans.domain import BINS, CONTIGS, bins, catalog, contigs, routing_inputs, table
+from tessella.sources.scratch import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -122,8 +124,6 @@ SELECT s_suppkey AS suppkey, CAST(3000000 AS BIGINT) AS total_reads, coalesce(al
 def mapping_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").withColumn("contig_id", F.monotonically_increasing_id())
     rows = li.select(F.col("l_suppkey").alias("suppkey"), "contig_id", F.col("l_partkey").alias("reads"), F.col("l_orderkey").alias("bin_id"), "l_linestatus")
-    from tessella.sources.scratch import stable
-
     rows = stable(rows)
     members = rows.where("l_linestatus = 'F'").select("suppkey", "contig_id", "bin_id")
     denominator = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("suppkey"), F.lit(3000000).cast("long").alias("total_reads"))
@@ -237,8 +237,6 @@ NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS records FROM {n}" for n in NAMES))
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from functools import reduce
-
     return reduce(DataFrame.union, [table(spark, sf_dir, n).agg(F.count("*").alias("records")).select(F.lit(n).alias("table"), "records") for n in NAMES])
 
 
@@ -358,14 +356,14 @@ LINEAGE = "lower(concat_ws(';', 'd__' || p_brand, ' p_' || p_type, 'q__x', 'c__'
 
 
 @query(f"""WITH x AS (SELECT p_partkey, unnest(string_split({LINEAGE}, ';')) AS part, generate_subscripts(string_split({LINEAGE}, ';'), 1) - 1 AS place FROM part), y AS (SELECT p_partkey, place, regexp_extract(trim(part), '^([a-z]+)_{{1,2}}(.*)$', 1) AS pre, regexp_extract(trim(part), '^([a-z]+)_{{1,2}}(.*)$', 2) AS taxon_name FROM x)
-SELECT p_partkey, CAST(place AS INTEGER) AS place, CASE pre WHEN 'd' THEN 'domain' WHEN 'p' THEN 'phylum' WHEN 'sg' THEN 'supergroup' END AS rank, taxon_name FROM y WHERE pre IN ('d', 'p', 'sg', 'c') AND taxon_name <> ''""")
+SELECT p_partkey, CAST(place AS INTEGER) AS place, CASE pre WHEN 'd' THEN 'domain' WHEN 'p' THEN 'phylum' WHEN 'sg' THEN 'supergroup' ELSE pre END AS rank, trim(taxon_name) AS taxon_name FROM y WHERE pre <> '' AND trim(taxon_name) <> ''""")
 def lineage_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = F.lower(F.concat_ws(";", F.concat(F.lit("d__"), "p_brand"), F.concat(F.lit(" p_"), "p_type"), F.lit("q__x"), F.lit("c__"), F.concat(F.lit("sg__"), F.col("p_size"))))
     return parse.lineage(table(spark, sf_dir, "part").select("p_partkey", cell.alias("lineage"))).select("p_partkey", "place", "rank", "taxon_name")
 
 
 @query("""WITH v AS (SELECT p_partkey, string_split(CASE WHEN p_size > 5 THEN 'Viruses' ELSE 'Other' END || ';' || p_brand || ';;' || p_type, ';') AS l FROM part), x AS (SELECT p_partkey, l[1] AS root, unnest(l) AS taxon_name, generate_subscripts(l, 1) - 1 AS place FROM v)
-SELECT p_partkey, CAST(place AS INTEGER) AS place, (['root','realm','kingdom','phylum','class'])[place + 1] AS rank, taxon_name FROM x WHERE root = 'Viruses' AND place > 0 AND taxon_name <> ''""")
+SELECT p_partkey, CAST(place AS INTEGER) AS place, (['root','realm','kingdom','phylum','class'])[place + 1] AS rank, taxon_name FROM x WHERE root = 'Viruses' AND taxon_name <> ''""")
 def virus_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = F.when(F.col("p_size") > 5, F.lit("Viruses")).otherwise("Other")
     rows = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(";", root, "p_brand", F.lit(""), "p_type").alias("lineage"))
