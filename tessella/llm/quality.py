@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tessella.llm.shared import LOWER, NOT_SPACE, PrefixHash, flat, materialize, pieces, word_bounds
 
 FEATURES = 320
-RIDGE = 1.0
-WIDTH = 4.0
+RIDGE = 0.01
+WIDTH = 12.0
 BINS = 4096
 #: Labelled rows that the fit uses at most; beyond it, a share by hash of the key.
 MAX_FIT_ROWS = 400_000
