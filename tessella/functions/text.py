@@ -91,7 +91,9 @@ def first_word(c: Column) -> Column:
 
 def safe_component(c: Column) -> Column:
     """A name as it is if safe, else with other characters replaced and ten digits of its digest."""
-    return F.when(c.rlike(r"\A[A-Za-z0-9._-]+\z"), c).otherwise(F.concat(F.regexp_replace(c, r"[^A-Za-z0-9._-]+", "_"), F.lit("-"), F.substring(F.sha2(c, 256), 1, 10)))
+    cleaned = F.regexp_replace(F.regexp_replace(c, r"[^A-Za-z0-9_.-]+", "_"), r"^[_.-]+|[_.-]+$", "")
+    started = F.when(cleaned.rlike(r"\A[A-Za-z0-9]"), cleaned).otherwise(F.concat(F.lit("id_"), cleaned))
+    return F.when(c.rlike(r"\A[A-Za-z0-9][A-Za-z0-9_.-]*\z"), c).otherwise(F.concat(started, F.lit("-"), F.substring(F.sha2(c, 256), 1, 10)))
 
 
 def unquoted(c: Column) -> Column:

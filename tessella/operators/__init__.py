@@ -1 +1 @@
-
+"""Evidence operators over DataFrames."""

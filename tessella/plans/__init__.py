@@ -1 +1 @@
-
+"""Queries, report tables and export documents."""

@@ -390,7 +390,7 @@ def annotation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH n AS (SELECT p_partkey, 'a/b/' || p_name || CASE p_size % 5 WHEN 0 THEN '.fasta' WHEN 1 THEN '.FA' WHEN 2 THEN '.fa.gz' WHEN 3 THEN '.faa' ELSE '.x.1' END AS p FROM part), b AS (SELECT p_partkey, split_part(p, '/', -1) AS s FROM n)
 SELECT p_partkey, regexp_replace(s, '\\.(fasta|fna|fa)$', '') AS bin_name, regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '\\.gz$', ''), '\\.fasta$', ''), '\\.fna$', ''), '\\.fa$', '') AS path_name, regexp_replace(s, '\\.[^.]+$', '') AS stem,
- CASE WHEN regexp_matches(s, '^[A-Za-z0-9._-]+$') THEN s ELSE regexp_replace(s, '[^A-Za-z0-9._-]+', '_', 'g') || '-' || substr(sha256(s), 1, 10) END AS component FROM b""")
+ CASE WHEN regexp_full_match(s, '[A-Za-z0-9][A-Za-z0-9_.-]*') THEN s ELSE trim(regexp_replace(s, '[^A-Za-z0-9_.-]+', '_', 'g'), '_.-') || '-' || substr(sha256(s), 1, 10) END AS component FROM b""")
 def normalized_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.get(F.array(*[F.lit(x) for x in (".fasta", ".FA", ".fa.gz", ".faa", ".x.1")]), (F.col("p_size") % 5).cast("int"))
     path = F.concat(F.lit("a/b/"), "p_name", end)

@@ -1 +1 @@
-
+"""Readers of native tables and files, and sinks."""

@@ -1 +1 @@
-
+"""Nothing in scope is a stream: all inputs are finished tables and files."""
