@@ -96,4 +96,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS_9 = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS_4 = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) / 2 AS BIGINT) - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first FROM p GROUP BY s HAVING count(*) > 1),
+r AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM p JOIN f USING (s) WHERE first < doc_id),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM r),
+x AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, k),
+y AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last FROM x),
+z AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS tail, string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS kept FROM y JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+ sha256(unhex(CASE WHEN gone IS NULL THEN h ELSE kept || substr(h, 2 * tail + 1) END)) AS kept_sha256 FROM d LEFT JOIN z USING (doc_id)""",
+    "op4_ngram_join": f"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS_4} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+t(a, b) AS (SELECT a, b FROM l UNION SELECT t.a, l.b FROM t JOIN l ON t.b = l.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce((SELECT min(b) FROM t WHERE t.a = d.doc_id), d.doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id)""",
+    "op9_decontamination": f"""WITH d AS (SELECT doc_id, {_WORDS_9} AS w FROM documents), i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_9} AS w FROM benchmark),
+b AS (SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+p AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM b))),
+h AS (SELECT doc_id, k, n, item FROM p JOIN b USING (n, win)),
+c AS (SELECT doc_id, count(DISTINCT x) AS hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS x FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(DISTINCT item) AS items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM h GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, hit IS NOT NULL AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+}
