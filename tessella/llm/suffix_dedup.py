@@ -58,7 +58,8 @@ def _types(t: np.ndarray) -> np.ndarray:
 
 def _hand_out(queues: dict[int, list[np.ndarray]], symbols: np.ndarray, suffixes: np.ndarray) -> None:
     """Append each suffix to its symbol's queue, in order."""
-    order = np.argsort(symbols, kind="stable")
+    # numpy sorts numbers of 16 bits by radix
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
     symbols, suffixes = symbols[order], suffixes[order]
     cuts = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
     for part, at in zip(np.split(suffixes, cuts), np.append(0, cuts), strict=True):
@@ -116,7 +117,7 @@ def _rank_names(names: np.ndarray) -> np.ndarray:
         follow = np.zeros(n, np.int64)
         follow[: n - step] = rank[step:] + 1 if step < n else 0
         key = rank * (n + 2) + follow
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.zeros(n, np.int64)
         new[order] = np.cumsum(np.append(0, key[order][1:] != key[order][:-1]))
         if new.max(initial=0) == n - 1 or step >= n:
@@ -175,20 +176,31 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each suffix in text order, the prefix that it shares with its predecessor in ``sa``, up to ``most``."""
+    """For each suffix in text order, the prefix that it shares with its predecessor in ``sa``, up to ``most``.
+
+    Symbols are less than 512.
+    """
     n = len(t)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([t.astype(np.uint64), np.zeros(most + 8, np.uint64)])
+    # seven symbols of nine bits to a word; a pair leaves at the first word that differs
+    each = 64 // 9
+    padded = np.concatenate([t.astype(np.uint64), np.zeros(most + 2 * each, np.uint64)])
+    words = np.zeros(n + most + each, np.uint64)
+    for k in range(each):
+        words |= padded[k : k + len(words)] << np.uint64(9 * k)
     out = np.zeros(n, np.int64)
     at = np.flatnonzero(before >= 0)
-    for k in range(most):
-        at = at[padded[at + k] == padded[before[at] + k]]
-        if not len(at):
-            break
-        out[at] = k + 1
+    for k in range(0, most, each):
+        x = words[at + k] ^ words[before[at] + k]
+        differs = x != 0
+        x = x[differs]
+        low = np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        out[at[differs]] = k + low // 9
+        at = at[~differs]
+    out[at] = most
     # a suffix that ends within the prefix differs at the unique last symbol
-    return out
+    return np.minimum(out, most)
 
 
 def earliest(parts: list[bytes], keys: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -202,13 +214,12 @@ def earliest(parts: list[bytes], keys: np.ndarray, length: int = LENGTH) -> list
     t[-1] = 0
     sa = suffix_array(t)
     shared = permuted_prefixes(t, sa, length)[sa]
-    group = np.cumsum(shared < length) - 1
     of = np.full(len(t), len(parts), np.int64)
     of[place] = owner
-    least = np.full(int(group[-1]) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, group, np.append(keys, np.iinfo(np.int64).max)[of[sa]])
+    first = np.flatnonzero(shared < length)
+    least = np.minimum.reduceat(np.append(keys, np.iinfo(np.int64).max)[of[sa]], first)
     answer = np.zeros(len(t), np.int64)
-    answer[sa] = least[group]
+    answer[sa] = np.repeat(least, np.diff(np.append(first, len(t))))
     return [answer[s : s + max(0, n - length + 1)] for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
 
 
