@@ -12,7 +12,9 @@
 4.  Hashed bitmaps, as wide as the band of set sizes asks for, bound each
     pair's overlap from above by bit counts. The rest is decided by
     intersecting the sorted sets.
-5.  Long lists whose members did not all end up in one component are compared
+5.  Long lists whose members did not all end up in one component are gathered
+    by the component that most of their members are in, so that a pair meets
+    once and not for each shingle that it shares. Each gathering is compared
     tile by tile, members of different components only. So no link between
     components is lost, and a group of n near copies costs no n**2 pairs.
 
@@ -39,8 +41,12 @@ RUN, OFTEN = 1 << 20, 4
 #: Share of documents from which a shingle counts as frequent. At most mean set size / COMMON are.
 COMMON = 0.001
 LIST_ROWS = 1 << 16
-TILE = 4096
+TILE, TILE_SHINGLES = 4096, 4_000_000
 FILTER_BITS = 23
+#: Bits of a bitmap for each shingle: enough that hardly any differing shingle hides behind another's bit.
+BITS_EACH = 8
+#: The same for the maps that travel with candidate pairs, of which most differ widely.
+BITS_OF_PAIRS = 2
 REMEMBERED = 200_000
 
 
@@ -155,9 +161,9 @@ def _prefixes(sets: np.ndarray, at: np.ndarray, heavy: np.ndarray, num: int, den
     return out
 
 
-def bitmap_words(n: int) -> int:
+def bitmap_words(n: int, bits: int = BITS_EACH) -> int:
     """Width of the bitmaps of a band of set sizes, in 64-bit words."""
-    return 1 << max(0, min(7, int(np.ceil(np.log2(max(1, 2 * n) / 64))))) if n > 32 else 1
+    return 1 << max(0, min(10, (bits * n // 64).bit_length()))
 
 
 def bitmap(own: np.ndarray, words: int) -> np.ndarray:
@@ -303,29 +309,30 @@ def _possible(na: np.ndarray, ma: np.ndarray, nb: np.ndarray, mb: np.ndarray, nu
     return den * most >= num * (na + nb - most)
 
 
+def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets intersect enough."""
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return den * common >= num * (len(x) + len(y) - common)
+
+
 def _exact(num: int, den: int):
     """Keeps the pairs whose sets intersect enough. Rows: a, b, sa, sb."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for sa, sb in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(sa.as_buffer(), np.uint64), np.frombuffer(sb.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(den * common >= num * (len(x) + len(y) - common))
-            keep = np.array(keep, bool)
+            keep = np.array([_linked(np.frombuffer(sa.as_buffer(), np.uint64), np.frombuffer(sb.as_buffer(), np.uint64), num, den) for sa, sb in zip(batch.column(2), batch.column(3), strict=True)], bool)
             yield pa.record_batch([pa.array(batch.column(i).to_numpy(zero_copy_only=False)[keep]) for i in (0, 1)], names=["a", "b"])
 
     return run
 
 
 def _tiles(num: int, den: int):
-    """Candidates of different components in tiles of long lists.
+    """Candidates of different components in tiles of gathered lists.
 
-    Rows, sorted by list and tile pair: h, p, q, t, n, c, root, m. Rows of tile
-    p meet those of tile q, or one another where p = q.
+    Rows, sorted by group and tile pair: g, p, q, t, n, c, root, m. Rows of
+    tile p meet those of tile q, or one another where p = q.
     """
 
     def compare(group: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +342,7 @@ def _tiles(num: int, den: int):
         for i in range(0, len(group), 512):
             last = min(len(group), i + 512)
             to = int(np.searchsorted(n * num, n[last - 1] * den, side="right"))
-            w = min(len(group[i][7]) // 8, 16)
+            w = len(group[i][7]) // 8  # the narrowest, as sizes rise
             left = np.concatenate([narrower(np.frombuffer(r[7], np.uint64)[None], w) for r in group[i:last]])
             for j in range(i, to, 512):
                 end = min(to, j + 512)
@@ -346,8 +353,9 @@ def _tiles(num: int, den: int):
                 if p != q:
                     wanted &= t[i:last, None] != t[None, j:end]
                 x, y = np.nonzero(wanted)
-                for s in range(0, len(x), 1 << 16):
-                    xs, ys = x[s : s + (1 << 16)], y[s : s + (1 << 16)]
+                step = max(1, (1 << 21) // w)
+                for s in range(0, len(x), step):
+                    xs, ys = x[s : s + step], y[s : s + step]
                     ok = _possible(n[i + xs], left[xs], n[j + ys], right[ys], num, den)
                     a, b = c[i + xs[ok]], c[j + ys[ok]]
                     yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -416,29 +424,37 @@ def components(docs: DataFrame, text: str = "text", key: str = "doc_id", num: in
                 hit = _in_filter(maybe.value, classes)
                 some = [k for k, c in enumerate(classes.tolist()) if hit[k] and at[k + 1] > at[k] and seen.add(c)]
                 own = [sets[at[k] : at[k + 1]] for k in some]
-                maps = [bitmap(x, bitmap_words(len(x))).tobytes() for x in own]
-                yield pa.record_batch([pa.array(classes[some]), pa.array([len(x) for x in own], pa.int64()), pa.array(maps, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["c", "n", "m", "s"])
+                wide = [bitmap(x, bitmap_words(len(x))) for x in own]
+                narrow = [narrower(m[None], bitmap_words(len(x), BITS_OF_PAIRS))[0].tobytes() for x, m in zip(own, wide, strict=True)]
+                yield pa.record_batch([pa.array(classes[some]), pa.array([len(x) for x in own], pa.int64()), pa.array([m.tobytes() for m in wide], pa.binary()), pa.array(narrow, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["c", "n", "m", "v", "s"])
+
+    described = source.where("key is not null").select("text").mapInArrow(describe, "c long, n long, m binary, v binary, s binary")
+    described = materialize(described.groupBy("c").agg(*[F.first(x).alias(x) for x in ("n", "m", "v", "s")]), scratch)
 
-    described = source.where("key is not null").select("text").mapInArrow(describe, "c long, n long, m binary, s binary")
-    described = materialize(described.groupBy("c").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("s").alias("s")), scratch)
+    def bounded(some: DataFrame) -> DataFrame:
+        maps = described.select("c", "n", "v")
+        x = some.join(maps.toDF("a", "na", "va"), "a").join(maps.toDF("b", "nb", "vb"), "b").select("a", "b", "na", "va", "nb", "vb")
+        return materialize(x.mapInArrow(_bound(num, den), "a long, b long"), scratch)
 
-    def verified(some: DataFrame) -> DataFrame:
-        maps = described.select("c", "n", "m")
-        x = some.join(maps.toDF("a", "na", "ma"), "a").join(maps.toDF("b", "nb", "mb"), "b").select("a", "b", "na", "ma", "nb", "mb")
-        left = materialize(x.mapInArrow(_bound(num, den), "a long, b long"), scratch)
+    def verified(left: DataFrame) -> DataFrame:
         sets = described.select("c", "s")
         y = left.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return materialize(y.mapInArrow(_exact(num, den), "a long, b long"), scratch)
 
-    links = verified(pairs)
+    links = verified(bounded(pairs))
     if lists.limit(1).count():
         roots = materialize(connected(links), scratch)
         member = lists.join(roots, lists.c == roots.node, "left").select("h", "c", F.coalesce("root", "c").alias("root"))
-        mixed = member.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("h", F.ceil(F.col("size") / TILE).cast("int").alias("k"))
-        spread = member.join(mixed, "h").withColumn("t", F.pmod(F.xxhash64("c"), F.col("k")).cast("int"))
-        spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("h", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "c", "root")
-        tiles = spread.join(described.select("c", "n", "m"), "c").select("h", "p", "q", "t", "n", "c", "root", "m")
-        tiles = tiles.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q")
+        # lists of one component are done; the others go by the component that most of their members are in
+        share = member.groupBy("h", "root").agg(F.count("*").alias("n"))
+        mixed = share.groupBy("h").agg(F.max_by("root", F.struct("n", "root")).alias("g"), F.count("*").alias("roots")).where("roots > 1").select("h", "g")
+        gathered = materialize(member.join(mixed, "h").select("g", "c", "root").distinct(), scratch)
+        gathered = gathered.join(described.select("c", "n", "m"), "c")
+        # tiles are bounded in rows and in shingles
+        sizes = gathered.groupBy("g").agg(F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int").alias("k"))
+        spread = gathered.join(sizes, "g").withColumn("t", F.pmod(F.xxhash64("c"), F.col("k")).cast("int"))
+        spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("g", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "n", "c", "root", "m")
+        tiles = spread.repartition("g", "p", "q").sortWithinPartitions("g", "p", "q")
         more = materialize(tiles.mapInArrow(_tiles(num, den), "a long, b long").distinct(), scratch)
         links = links.union(verified(more))
     # rows that share a key join their classes

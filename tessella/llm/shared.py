@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_BYTES = 1 << 20
+#: Edges up to which one task, which holds them in 16 bytes each, finishes a graph.
+SMALL_GRAPH = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -157,45 +159,64 @@ NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, 9, 10, 11, 12, 13]] = False
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, least node of each one's component), without the least nodes themselves."""
+    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = inverse[: len(a)], inverse[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            break
+        root = new
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
 def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over pieces of a task's edges: a star for each component."""
+    """A star for each component of a task's edges, joined in pieces of bounded size."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def out() -> tuple[np.ndarray, np.ndarray]:
+        return _stars(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))
+
     for batch in batches:
-        a = batch.column(0).to_numpy(zero_copy_only=False)
-        b = batch.column(1).to_numpy(zero_copy_only=False)
-        nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-        x, y = inverse[: len(a)], inverse[len(a) :]
-        root = np.arange(len(nodes))
-        while True:
-            low = np.minimum(root[x], root[y])
-            new = root.copy()
-            np.minimum.at(new, root[x], low)
-            np.minimum.at(new, root[y], low)
-            new = new[new]
-            while not np.array_equal(new, new[new]):
-                new = new[new]
-            if np.array_equal(new, root):
-                break
-            root = new
-        moved = np.flatnonzero(root != np.arange(len(nodes)))
-        if len(moved):
-            yield pa.record_batch([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], names=["a", "b"])
+        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)))
+        size += batch.num_rows
+        if size > 2 * SMALL_GRAPH:
+            a, b = out()
+            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+            held, size = [], 0
+    if size:
+        a, b = out()
+        yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def connected(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b), root the least node reachable.
-
-    Alternates two steps on an edge table until nothing changes: every node
-    links its larger neighbours to its least neighbour, then its smaller ones.
-    The number of rounds grows with the logarithm of the longest path. Each
-    group is only ever reduced by ``min``, so hot nodes aggregate map-side.
+    """(node, root) for every node of ``edges`` (a, b) that reaches a lesser one, root the least.
+
+    Tasks first reduce their own edges to stars. A table of at most SMALL_GRAPH
+    edges is finished by one task. Beyond that, two steps alternate until
+    nothing changes or the table is small: every node links its larger
+    neighbours to its least neighbour, then its smaller ones. The number of
+    rounds grows with the logarithm of the longest path. Each group is only
+    ever reduced by ``min``, so hot nodes aggregate map-side.
     """
     spark = edges.sparkSession
     now: list[str] = []
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
     e = e.mapInArrow(_local_roots, "a long, b long")
-    e = materialize(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), now)
-    before = None
+    e = materialize(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), now)
+    before, size = None, e.count()
     for _ in range(rounds):
+        if size <= SMALL_GRAPH:
+            return e.coalesce(1).mapInArrow(_local_roots, "a long, b long").toDF("node", "root")
         both = e.union(e.select("b", "a").toDF("a", "b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         large = e.join(least, e.b == least.n).select(e.a, F.col("m").alias("b"))
@@ -209,5 +230,5 @@ def connected(edges: DataFrame, rounds: int = 40) -> DataFrame:
         release(spark, last)
         if before == (state.n, state.h):
             break
-        before = (state.n, state.h)
+        before, size = (state.n, state.h), state.n
     return e.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
