@@ -16,6 +16,8 @@ the stretches that share one, from whatever documents, form a group.
   sorted and named, their order is found recursively, and the rest is induced
   from it in linear passes. Common prefixes, computed in text order, split the
   array into classes of equal passages, each with its smallest key.
+* A group that a shard could not hold is split exactly: its passages are dealt
+  by their own hash, and the smallest key of each is taken map-side.
 
 Induction is written for arrays: the suffixes of one bucket are worked off
 together, round by round, in the order in which a scan would meet them.
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,10 @@ SHARD_BYTES = 1 << 20
 FILTER_BITS = (20, 28)
 REMEMBERED = 200_000
 LOW = (1 << 32) - 1
+#: Text whose passages are listed at once, with 40 bytes for each.
+PASSAGE_BYTES = 1 << 17
+#: Passages of a stretch: at most so many neighbours can share their least k-mer.
+MOST = LENGTH - KMER + 1
 
 # ---------------------------------------------------------------- suffix arrays
 
@@ -355,18 +362,21 @@ def _passes(words: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by h: h, c, least, s. Gives h, c, from, count, key of each run of passages of a stretch."""
+    """Rows sorted by h: h, c, least, s. Gives h, c, from, count of each run of a stretch's passages that smaller keys hold."""
 
     def work(rows: list[tuple]) -> pa.RecordBatch:
         keys = np.array([r[2] for r in rows], np.int64)
         found = earliest([r[3] for r in rows], keys)
         out: list[list[np.ndarray]] = []
-        for (h, c, _, _), least in zip(rows, found, strict=True):
+        for (h, c, own, _), least in zip(rows, found, strict=True):
             cut = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
             count = np.diff(np.append(cut, len(least)))
-            out.append([np.full(len(cut), h), np.full(len(cut), c), cut, count, least[cut]])
+            # later rows of the same content are gone as a whole
+            earlier = least[cut] < own
+            cut, count = cut[earlier], count[earlier]
+            out.append([np.full(len(cut), h), np.full(len(cut), c), cut, count])
         columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)]
-        return pa.record_batch(columns, names=["h", "c", "off", "count", "least"])
+        return pa.record_batch(columns, names=["h", "c", "off", "count"])
 
     held: list[tuple] = []
     size = 0
@@ -381,6 +391,47 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield work(held)
 
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows h, c, least, s. Gives h, passage's hash, c, place in the stretch, least of every passage."""
+    for batch in batches:
+        for piece in pieces(batch, "s", PASSAGE_BYTES):
+            sizes = pc.binary_length(piece.column(3)).to_numpy(zero_copy_only=False).astype(np.int64)
+            data = np.frombuffer(b"".join(piece.column(3).to_pylist()), np.uint8)
+            count = np.maximum(0, sizes - LENGTH + 1)
+            row = np.repeat(np.arange(len(sizes)), count)
+            off = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            start = (np.cumsum(sizes) - sizes)[row] + off
+            p = PrefixHash(data).of(start, start + LENGTH).view(np.int64)
+            h, c, least = (piece.column(i).to_numpy(zero_copy_only=False)[row] for i in range(3))
+            yield pa.record_batch([pa.array(x) for x in (h, p, c, off, least)], names=["h", "p", "c", "off", "least"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows h, c, mask, a bit for each place. Gives h, c, from, count of each run of bits."""
+    for batch in batches:
+        h, c, mask = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        on = np.zeros((len(mask), MOST + 2), np.int8)
+        on[:, 1:-1] = (mask[:, None] >> np.arange(MOST)) & 1
+        edge = np.diff(on, axis=1)
+        row, start = np.nonzero(edge == 1)
+        end = np.nonzero(edge == -1)[1]
+        yield pa.record_batch([pa.array(x) for x in (h[row], c[row], start, end - start)], names=["h", "c", "off", "count"])
+
+
+def split_runs(rows: DataFrame) -> DataFrame:
+    """What ``_shards`` gives, for rows (h, c, least, s) of groups of any size.
+
+    Passages meet by group and hash, so a group spreads over all tasks. A
+    passage that many contents hold is one row of ``first`` for each task
+    before the shuffle; its rows on the other side of the join can be divided.
+    """
+    passages = rows.select("h", "c", "least", "s").mapInArrow(_passages, "h long, p long, c long, off long, least long")
+    first = passages.groupBy("h", "p").agg(F.min("least").alias("first"))
+    gone = passages.join(first, ["h", "p"]).where("first < least")
+    masks = gone.groupBy("h", "c").agg(F.bit_or(F.expr("shiftleft(1L, cast(off as int))")).alias("mask"))
+    return masks.mapInArrow(_runs, "h long, c long, off long, count long")
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """(key, tag, a, b): byte ranges to remove, unmerged. ``docs`` has key (long), text and tag."""
     scratch: list[str] = []
@@ -389,9 +440,12 @@ def removals(docs: DataFrame) -> DataFrame:
     swept = materialize(posted.repartition("h").sortWithinPartitions("h", "c", "key", "at").mapInArrow(_sweep, "h long, key long, a long, b long"))
     whole = swept.where("h is null").select("key", "a", "b")
     contents = swept.where("h is not null").select("h", F.col("key").alias("c"), F.col("a").alias("least"))
-    n = contents.select("h").distinct().count()
+    sizes = materialize(contents.groupBy("h").agg(F.count("*").alias("contents")), scratch)
+    # no content is longer than that
+    large = sizes.where(F.col("contents") * (MOST + LENGTH - 1) > SHARD_BYTES).select("h")
+    n = sizes.count()
     bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (10 * n).bit_length()))
-    words = docs.sparkSession.sparkContext.broadcast(_filter(contents.select("h").distinct(), bits))
+    words = docs.sparkSession.sparkContext.broadcast(_filter(sizes.select("h"), bits))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[tuple[int, int]] = set()
@@ -415,10 +469,16 @@ def removals(docs: DataFrame) -> DataFrame:
     fetched = materialize(source.mapInArrow(fetch, "h long, c long, key long, start long, s binary"), scratch)
     bytes_of = fetched.where("s is not null").groupBy("h", "c").agg(F.first("s").alias("s"))
     shard_rows = contents.join(bytes_of, ["h", "c"]).select("h", "c", "least", "s")
-    shard_rows = shard_rows.repartition("h").sortWithinPartitions("h", "c")
+    several = large.limit(1).count() > 0
+    if several:
+        shard_rows = materialize(shard_rows.join(large.withColumn("large", F.lit(True)), "h", "left"), scratch)
+    small = shard_rows.where("large is null").drop("large") if several else shard_rows
+    small = small.repartition("h").sortWithinPartitions("h", "c")
     # only what an earlier content explains matters to later keys
-    runs = materialize(shard_rows.mapInArrow(_shards, "h long, c long, off long, count long, least long"), scratch)
-    edges = fetched.select("h", "c", "key", "start").join(runs, ["h", "c"]).where("least < key")
+    runs = materialize(small.mapInArrow(_shards, "h long, c long, off long, count long"), scratch)
+    if several:
+        runs = runs.union(materialize(split_runs(shard_rows.where("large")), scratch))
+    edges = fetched.select("h", "c", "key", "start").join(runs, ["h", "c"])
     edges = edges.select("key", (F.col("start") + F.col("off")).alias("a"), (F.col("start").bitwiseAND(LOW) + F.col("off") + F.col("count") + LENGTH - 1).alias("b"))
     return whole.union(edges).select("key", F.shiftright("a", 32).alias("tag"), F.col("a").bitwiseAND(LOW).alias("a"), "b")
 

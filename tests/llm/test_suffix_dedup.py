@@ -61,3 +61,29 @@ def test_against_brute_force(spark):
     got = sorted((tuple(r) for r in sd.dedup(docs).collect()), key=str)
     assert got == brute(rows)
     assert sd.dedup(docs.limit(0)).count() == 0
+
+
+def test_large_groups_are_split(spark, monkeypatch):
+    draw = random.Random(7)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    line = letters(70)
+    near = line[:33] + "é" + line[34:]
+    rows = [(k // 2, letters(draw.randint(0, 40)) + draw.choice([line, line, near]) + letters(draw.randint(0, 40))) for k in range(240)]
+    rows += [(500 + k, rows[k][1][draw.randint(0, 9) :] + rows[-k][1]) for k in range(1, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    limit, seen, split = 2000, [], []
+    monkeypatch.setattr(sd, "SHARD_BYTES", limit)
+    materialize = sd.materialize
+
+    def watched(df, keep=None):
+        out = materialize(df, keep)
+        if out.columns == ["h", "c", "off", "count"]:
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(sd, "materialize", watched)
+    work = sd.split_runs
+    monkeypatch.setattr(sd, "split_runs", lambda rows: split.append(rows.groupBy("h").count().count()) or work(rows))
+    got = sorted((tuple(r) for r in sd.dedup(docs).collect()), key=str)
+    assert got == brute(rows)
+    assert split and split[0] > 0 and all(x.count() for x in seen)
