@@ -7,33 +7,49 @@ would give by chance, decide.
 
 Learning counts character n-grams of each language over all its texts. An
 n-gram enters a language's filter if it is at least ``share`` as frequent
-there as in the language where it is most frequent. The filter has 2**SLOT_BITS
-slots whatever the corpus, and is all that reaches the driver.
+there as in the language where it is most frequent. The filter is sized from
+the counted entries: languages with similar numbers of entries share a block
+of slots, which is at least 2**SLOT_BITS and doubles until no language sets more
+than FILL of its bits. The blocks and a row for each language are all that
+reaches the driver.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.shared import materialize, mix, pieces, release
 
 ORDERS = (3, 4)
 SLOT_BITS = 20
+#: The most of a language's bits that may be set; false positives are the square of it.
+FILL = 0.4
+#: Languages of one block: bits of a slot.
+BLOCK = 64
 MAX_LANGUAGES = 64
 FLUSH = 1 << 20
 UNDETERMINED = "und"
 
 
+class Block(NamedTuple):
+    """Slots of up to BLOCK languages, one bit each; ``members`` are their places in the filter's languages."""
+
+    members: list[int]
+    bits: int
+    slots: np.ndarray
+
+
 class LanguageFilter(NamedTuple):
     languages: list[str]
-    slots: np.ndarray
+    blocks: list[Block]
     false_positive: np.ndarray
 
 
@@ -115,40 +131,67 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", share: float
     rows = docs.where(docs[text].isNotNull() & docs[lang].isNotNull()).select(docs[text].alias("text"), docs[lang].cast("string").alias("lang"))
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     known = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = [r.lang for r in known]
-    if not languages:
-        return LanguageFilter([], np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(0))
-    held: list[str] = []
+    if not known:
+        return LanguageFilter([], [], np.zeros(0))
+    spark, held = docs.sparkSession, []
     counts = materialize(counts, held)
-    totals = {r.lang: r.n for r in counts.where(F.col("lang").isin(languages)).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = [x for x in languages if totals.get(x)]
-    # one column for each language: a gram's row holds its frequency in all of them
-    by_gram = counts.groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)])
-    rates = [F.col(f"n{k}") / F.lit(float(totals[x])) for k, x in enumerate(languages)]
-    most = F.greatest(*rates) if len(rates) > 1 else rates[0]
-    bits = [F.when((F.col(f"n{k}") >= least) & (r >= share * F.col("most")), F.lit(1).cast("long") * F.lit(1 << k if k < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long")) for k, r in enumerate(rates)]
-    mask = functools.reduce(lambda a, b: a.bitwiseOR(b), bits)
-    masks = by_gram.withColumn("most", most).select("gram", mask.alias("mask")).where("mask <> 0")
-    low = (1 << SLOT_BITS) - 1
-    slots = masks.select("mask", F.explode(F.array(F.col("gram").bitwiseAND(low), F.shiftright("gram", SLOT_BITS).bitwiseAND(low))).alias("slot"))
-    table = slots.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    release(docs.sparkSession, held)
-    filled = np.zeros(1 << SLOT_BITS, np.uint64)
+    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = [r.lang for r in known if totals.get(r.lang)]
+    if not languages:
+        release(spark, held)
+        return LanguageFilter([], [], np.zeros(0))
+    of = spark.createDataFrame([(x, k, float(totals[x])) for k, x in enumerate(languages)], "lang string, k int, total double")
+    rates = counts.join(F.broadcast(of), "lang").select("gram", F.struct("k", "n", (F.col("n") / F.col("total")).alias("rate")).alias("x"))
+    # a gram's row holds its frequency in all languages that have it
+    by_gram = rates.groupBy("gram").agg(F.collect_list("x").alias("xs"), F.max("x.rate").alias("most"))
+    entries = by_gram.select("gram", "most", F.explode("xs").alias("x")).where((F.col("x.n") >= least) & (F.col("x.rate") >= share * F.col("most")))
+    entries = materialize(entries.select("gram", F.col("x.k").alias("k")), held)
+    size = dict.fromkeys(range(len(languages)), 0) | {r.k: r.n for r in entries.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    order = sorted(size, key=lambda k: (-size[k], k))
+    blocks, full = [], np.zeros(len(languages))
+    for at in range(0, len(order), BLOCK):
+        members = order[at : at + BLOCK]
+        bits = slot_bits(size[members[0]])
+        while True:
+            slots = _slots(spark, entries, members, bits)
+            part = np.array([((slots >> np.uint64(j)) & np.uint64(1)).mean() for j in range(len(members))])
+            if part.max() <= FILL:
+                break
+            bits += 1
+        blocks.append(Block(members, bits, slots))
+        full[members] = part
+    release(spark, held)
+    return LanguageFilter(languages, blocks, full**2)
+
+
+def slot_bits(entries: int) -> int:
+    """The least size, as a power of two, at which so many entries of two slots are expected to set up to FILL of the bits."""
+    return max(SLOT_BITS, math.ceil(math.log2(max(1.0, 2 * entries / -math.log1p(-FILL)))))
+
+
+def _slots(spark: SparkSession, entries: DataFrame, members: list[int], bits: int) -> np.ndarray:
+    """The slots of 2**bits that the entries (gram, k) of some languages set, language j of ``members`` in bit j."""
+    of = spark.createDataFrame([(k, 1 << j if j < 63 else -(1 << 63)) for j, k in enumerate(members)], "k int, mask long")
+    low = (1 << bits) - 1
+    both = F.array(F.col("gram").bitwiseAND(low), F.shiftright("gram", bits).bitwiseAND(low))
+    rows = entries.join(F.broadcast(of), "k").select("mask", F.explode(both).alias("slot"))
+    table = rows.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    filled = np.zeros(1 << bits, np.uint64)
     filled[table.column("slot").to_numpy()] = table.column("mask").to_numpy().view(np.uint64)
-    full = np.array([((filled >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
-    return LanguageFilter(languages, filled, full**2)
+    return filled
 
 
 def judge(f: LanguageFilter, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """The language of each text and its share of all corrected counts."""
     hashes, owner, letters = grams(texts)
-    low = np.uint64((1 << SLOT_BITS) - 1)
-    found = f.slots[(hashes & low).astype(np.int64)] & f.slots[((hashes >> np.uint64(SLOT_BITS)) & low).astype(np.int64)]
     total = np.bincount(owner, minlength=len(texts))
     counts = np.zeros((len(texts), max(1, len(f.languages))))
-    for k in range(len(f.languages)):
-        got = np.bincount(owner[(found >> np.uint64(k)) & np.uint64(1) == 1], minlength=len(texts))
-        counts[:, k] = np.maximum(0, (got - total * f.false_positive[k]) / max(1e-9, 1 - f.false_positive[k]))
+    for block in f.blocks:
+        low = np.uint64((1 << block.bits) - 1)
+        found = block.slots[(hashes & low).astype(np.int64)] & block.slots[((hashes >> np.uint64(block.bits)) & low).astype(np.int64)]
+        for j, k in enumerate(block.members):
+            got = np.bincount(owner[(found >> np.uint64(j)) & np.uint64(1) == 1], minlength=len(texts))
+            counts[:, k] = np.maximum(0, (got - total * f.false_positive[k]) / (1 - f.false_positive[k]))
     best = counts.argmax(axis=1)
     score = counts[np.arange(len(texts)), best] / np.maximum(counts.sum(axis=1), 1e-9)
     none = (letters == 0) | (not f.languages)

@@ -30,6 +30,15 @@ def test_language_on_held_out_texts(spark):
     assert langid.predict(docs.limit(0), learned).count() == 0
 
 
+def test_language_filter_grows_with_its_entries(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SLOT_BITS", 6)
+    docs = corpus(spark)
+    learned = langid.learn(docs.where("doc_id % 4 <> 2"))
+    assert 0 < learned.false_positive.max() <= langid.FILL**2
+    rows = docs.where("doc_id < 160 and doc_id % 4 = 2").collect()
+    assert langid.judge(learned, [r.text for r in rows])[0] == [r.lang for r in rows]
+
+
 def test_quality_separates_and_calibrates(spark):
     draw = random.Random(6)
     rows, marks = [], []
