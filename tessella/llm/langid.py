@@ -34,7 +34,6 @@ SLOT_BITS = 20
 FILL = 0.4
 #: Languages of one block: bits of a slot.
 BLOCK = 64
-MAX_LANGUAGES = 64
 FLUSH = 1 << 20
 UNDETERMINED = "und"
 
@@ -125,12 +124,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", share: float = 0.2, least: int = 3) -> LanguageFilter:
     """The filter of all rows whose text and language are there.
 
-    Rows lacking either teach nothing. Up to MAX_LANGUAGES languages, the most
-    frequent ones, are learned. Without any labelled row the filter has none.
+    Rows lacking either teach nothing. Every language is learned. Without any
+    labelled row the filter has none.
     """
     rows = docs.where(docs[text].isNotNull() & docs[lang].isNotNull()).select(docs[text].alias("text"), docs[lang].cast("string").alias("lang"))
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    known = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES).collect()
+    known = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").collect()
     if not known:
         return LanguageFilter([], [], np.zeros(0))
     spark, held = docs.sparkSession, []

@@ -39,6 +39,17 @@ def test_language_filter_grows_with_its_entries(spark, monkeypatch):
     assert langid.judge(learned, [r.text for r in rows])[0] == [r.lang for r in rows]
 
 
+def test_more_languages_than_a_block_holds(spark):
+    draw = random.Random(11)
+    text = lambda k: " ".join("".join(chr(0x4E00 + 40 * k + draw.randrange(6)) for _ in range(4)) for _ in range(60))
+    rows = [(r * 150 + k, text(k), f"l{k:03}") for k in range(150) for r in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.learn(docs.where("doc_id < 150"), least=1)
+    assert len(learned.languages) == 150
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, learned).collect()}
+    assert got == {k: lang for k, _, lang in rows}
+
+
 def test_quality_separates_and_calibrates(spark):
     draw = random.Random(6)
     rows, marks = [], []
