@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def n50(contigs: DataFrame, keys: list[str], length: str = "length_bp") -> DataFrame:
@@ -72,9 +77,39 @@ def masked_bases(sequences: DataFrame, keys: list[str], seq: str = "sequence") -
 
 
 def sequence_digest(sequences: DataFrame, keys: list[str], name: str = "name", seq: str = "sequence") -> DataFrame:
-    """A digest of each group's records that neither their order nor the letters' case changes."""
-    records = F.array_sort(F.collect_list(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.upper(seq), F.lit("\n"))))
-    return sequences.groupBy(*keys).agg(F.sha2(F.array_join(records, ""), 256).alias("digest"))
+    """A digest of each group's records that neither their order nor the letters' case changes.
+
+    A task reads its groups' records in order and hashes them as they come, so
+    a group may be of any size.
+    """
+    record = F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.upper(seq), F.lit("\n"))
+    rows = sequences.select(*keys, record.alias("_record")).repartition(*keys).sortWithinPartitions(*keys, "_record")
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("digest", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sha, kinds = None, None, []
+
+        def out(done: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*[(*k, d) for k, d in done], strict=True)
+            return pa.record_batch([pa.array(x, t) for x, t in zip(columns, [*kinds, pa.string()], strict=True)], names=[*keys, "digest"])
+
+        for batch in batches:
+            kinds = [c.type for c in batch.columns[:-1]]
+            done = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, text in zip(zip(*columns[:-1], strict=True), columns[-1], strict=True):
+                if sha is None or key != group:
+                    if sha is not None:
+                        done.append((group, sha.hexdigest()))
+                    group, sha = key, hashlib.sha256()
+                if text is not None:
+                    sha.update(text.encode())
+            if done:
+                yield out(done)
+        if sha is not None:
+            yield out([(group, sha.hexdigest())])
+
+    return rows.mapInArrow(run, schema)
 
 
 def covered_bases(alignments: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
@@ -432,6 +432,7 @@ def read_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH x AS (SELECT o_custkey % 40 AS stage, o_orderpriority || ':' || o_orderkey || ':x' AS k FROM orders) SELECT stage, split_part(k, ':', 1) AS collection, substr(k, strpos(k, ':') + 1) AS record_id, CAST(row_number() OVER (PARTITION BY stage ORDER BY k) - 1 AS INTEGER) AS position FROM x""")
 def expected_keys_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat("o_orderpriority", F.lit(":"), F.col("o_orderkey"), F.lit(":x"))
-    lists = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 40).alias("stage")).agg(F.array_sort(F.collect_list(key)).alias("keys"))
-    rows = lists.select("stage", F.posexplode("keys").alias("position", "k")).withColumn("part", F.split("k", ":", 2))
+    keyed = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("stage"), key.alias("k"))
+    position = F.row_number().over(Window.partitionBy("stage").orderBy(F.asc_nulls_last("k"))) - 1
+    rows = keyed.select("stage", position.alias("position"), F.split("k", ":", 2).alias("part"))
     return rows.select("stage", F.col("part")[0].alias("collection"), F.col("part")[1].alias("record_id"), "position")
