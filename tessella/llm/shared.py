@@ -4,13 +4,15 @@
 * ``flat`` / ``pieces`` turn Arrow string columns into flat byte arrays in
   pieces of bounded size, so that a task's memory follows the piece and the
   longest text, never the partition.
-* ``PrefixHash`` hashes any byte range in constant time.
+* ``PrefixHash`` hashes any short byte range in constant time; ``word_hashes``
+  hashes words of any length.
 * ``connected`` labels graph components with joins only.
 """
 
 from __future__ import annotations
 
 import atexit
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -26,10 +28,12 @@ SMALL_GRAPH = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local default where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder; a default of one machine only where Spark runs on one (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints/tessella"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "/tmp/checkpoints/tessella"
     return found.rstrip("/")
 
 
@@ -123,7 +127,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PrefixHash:
-    """64-bit hashes of arbitrary ranges of one byte array."""
+    """64-bit hashes of arbitrary ranges of one byte array.
+
+    A polynomial modulo 2**64: fit for ranges of at most some hundred bytes.
+    For longer ones there are pairs of regular texts that it cannot tell apart.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
         up, self.down = powers(len(data) + 1)
@@ -134,6 +142,33 @@ class PrefixHash:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
+#: Words of more bytes are hashed one by one with a cryptographic digest.
+LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, eight bytes at a time, all words together."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * _BASE + np.uint64(1))
+    if not len(h):
+        return h
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+    long = size > LONG_WORD
+    at = np.flatnonzero(~long & (size > 0))
+    done = 0
+    while len(at):
+        left = np.minimum(size[at] - done, 8).astype(np.uint64)
+        chunk = eight[starts[at] + done] & (~np.uint64(0) >> (np.uint64(8) - left) * np.uint64(8))
+        h[at] = mix((h[at] ^ chunk) * _BASE)
+        done += 8
+        at = at[size[at] > done]
+    raw = memoryview(data)
+    for k in np.flatnonzero(long).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(raw[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return h
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of ``inside`` bytes, and their text's index."""
     n = len(data)
@@ -198,7 +233,7 @@ def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def connected(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b) that reaches a lesser one, root the least.
 
     Tasks first reduce their own edges to stars. A table of at most SMALL_GRAPH
@@ -214,7 +249,7 @@ def connected(edges: DataFrame, rounds: int = 40) -> DataFrame:
     e = e.mapInArrow(_local_roots, "a long, b long")
     e = materialize(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), now)
     before, size = None, e.count()
-    for _ in range(rounds):
+    while True:
         if size <= SMALL_GRAPH:
             return e.coalesce(1).mapInArrow(_local_roots, "a long, b long").toDF("node", "root")
         both = e.union(e.select("b", "a").toDF("a", "b"))

@@ -53,7 +53,7 @@ def rows_of(seed):
 
 @pytest.mark.parametrize("seed", [0, 1])
 def test_components_equal_brute_force_with_small_limits(spark, monkeypatch, seed):
-    for name, value in (("SHORT_LIST", 3), ("LIST_ROWS", 16), ("TILE", 5)):
+    for name, value in (("SHORT_LIST", 3), ("LIST_ROWS", 16), ("TILE", 5), ("HOT_ROWS", 20), ("STAR", 4)):
         monkeypatch.setattr(nj, name, value)
     rows = rows_of(seed)
     got = nj.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
@@ -63,12 +63,37 @@ def test_components_equal_brute_force_with_small_limits(spark, monkeypatch, seed
 def test_representatives_and_empty_table(spark):
     docs = spark.createDataFrame(rows_of(2), "doc_id long, text string").selectExpr("*", "doc_id as component_id", "1 as n")
     kept = nj.representatives(docs)
-    want = {k: c for k, _, c in brute(rows_of(2)) if k is not None}
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({k for k, c in want.items() if k == c})
+    # rows are nodes of their own: a key that two texts share is judged by text, equal rows count once
+    rows = sorted({r for r in rows_of(2) if r[0] is not None}, key=lambda r: (r[0], r[1] or ""))
+    parts = brute([(k, t) for k, (_, t) in enumerate(rows)])
+    firsts = {}
+    for k, _, c in parts:
+        firsts[c] = min(firsts.get(c, rows[k][0]), rows[k][0])
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(firsts.values())
+    assert kept.where("doc_id is null").count() == sum(k is None for k, _ in rows_of(2))
     assert kept.columns == docs.columns
     assert nj.components(docs.limit(0)).count() == 0
 
 
+def test_regular_long_words_and_long_texts_are_told_apart(spark):
+    """Thue-Morse words collide under any polynomial hash modulo a power of two."""
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    rows = [(1, "".join("ab"[b] for b in bits)), (2, "".join("ba"[b] for b in bits))]
+    rows += [(3, "".join("ab"[b] for b in bits[:1024])), (4, "".join("ba"[b] for b in bits[:1024]))]
+    rows += [(5, " ".join("ab"[b] + str(k % 700) for k, b in enumerate(bits * 8))), (6, " ".join("ba"[b] + str(k % 700) for k, b in enumerate(bits * 8)))]
+    rows += [(7, rows[4][1] + " more"), (8, "x" * 70), (9, "x" * 71), (10, "X" * 70)]
+    got = nj.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_clashing_sets_draw_other_numbers(spark, monkeypatch):
+    real = nj._digests
+    monkeypatch.setattr(nj, "_digests", lambda sets, at, seed=0: real(sets, at, seed) & (0 if seed == 0 else -1))
+    rows = rows_of(3)
+    got = nj.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
 @pytest.mark.parametrize("small", [0, 10_000])
 def test_connected(spark, monkeypatch, small):
     monkeypatch.setattr(shared, "SMALL_GRAPH", small)
