@@ -68,7 +68,8 @@ def base_spans(text: str) -> list[Span]:
     """The patterns' spans by start, then kind; leftmost and non-overlapping for each kind."""
     found: list[tuple[int, int, int]] = [(s, 0, e) for s, e in emails(text)] if "@" in text else []
     for m in ADDRESS.finditer(text):
-        if all(len(p) < 40 and int(p) <= 255 for p in m.group().split(".")):
+        # zeros in front are no limit to a part's length
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")

@@ -1,6 +1,10 @@
 import hashlib
+import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from tessella.llm import decontaminate, url_filter
 from tessella.llm.queries import URL_RULES
 
@@ -58,3 +62,96 @@ def test_template_with_mostly_blocked_pages_is_rejected(spark):
     rows = [(k, f"http://h.net/{'bad' if k % 2 else 'good'}/{'1' if k < 60 else '2'}{k}") for k in range(100)]
     got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule is null").collect()
     assert {(r.path.split("/")[1], r.verdict) for r in got} == {("bad", "block"), ("good", "allow")}
+
+
+def brute_templates(rows, variety=20, share=0.3, z=1.96):
+    """Final template and label counts of each (host, first template); rows are (host, t0, mark)."""
+    trees = {}
+    for host, t0, mark in rows:
+        node = trees.setdefault(host, {}).setdefault(t0, [0, 0, 0])
+        node[0] += 1
+        node[1] += mark == "block"
+        node[2] += mark == "allow"
+    final = {}
+    for host, leaves in trees.items():
+        groups = {"": list(leaves)}
+        names = dict.fromkeys(leaves, "")
+        for level in range(max(len(t.split("/")) for t in leaves)):
+            for name, members in groups.items():
+                below = [t for t in members if len(t.split("/")) > level]
+                kinds = {}
+                for t in below:
+                    parts = t.split("/")
+                    form = re.sub(r"[^\W\d_]+", "a", "/".join(parts[level + 1 :]))
+                    kind = kinds.setdefault(parts[level], {"n": 0, "b": 0, "a": 0, "forms": {}})
+                    kind["n"], kind["b"], kind["a"] = kind["n"] + leaves[t][0], kind["b"] + leaves[t][1], kind["a"] + leaves[t][2]
+                    kind["forms"][form] = kind["forms"].get(form, 0) + leaves[t][0]
+                all_n = sum(k["n"] for k in kinds.values())
+                models = [(k["n"], seg) for seg, k in kinds.items() if k["a"] + k["b"]]
+                model = kinds[max(models)[1]] if models else None
+                for k in kinds.values():
+                    k["shaped"] = False
+                    if model and len(kinds) > 1:
+                        forms = set(k["forms"]) | set(model["forms"])
+                        ratio = (model["n"] / k["n"]) ** 0.5
+                        chi = sum((ratio * k["forms"].get(f, 0) - model["forms"].get(f, 0) / ratio) ** 2 / (k["forms"].get(f, 0) + model["forms"].get(f, 0)) for f in forms)
+                        k["shaped"] = chi <= len(forms) - 1 + z * (2 * (len(forms) - 1)) ** 0.5 + 1e-6
+                some = [k for k in kinds.values() if k["shaped"]]
+                base = (sum(k["b"] for k in some) + 1) / (sum(k["a"] + k["b"] for k in some) + 2)
+                for k in kinds.values():
+                    n = k["a"] + k["b"]
+                    k["fits"] = k["shaped"] and abs(k["b"] - n * base) / (n * base * (1 - base) + 0.25) ** 0.5 < z
+                labelled = [k for k in some if k["a"] + k["b"]]
+                agree = bool(labelled) and all(k["fits"] for k in labelled)
+                free = len(kinds) > variety and len(kinds) > share * all_n
+                for t in below:
+                    seg = t.split("/")[level]
+                    k = kinds[seg]
+                    alike = k["fits"] if k["a"] + k["b"] else k["shaped"] and agree
+                    step = "*" if free or alike else seg
+                    names[t] = f"{name}/{step}"
+            groups = {}
+            for t, name in names.items():
+                groups.setdefault(name, []).append(t)
+        for name, members in groups.items():
+            for t in members:
+                final[host, t] = (name, sum(leaves[x][1] for x in members), sum(leaves[x][2] for x in members))
+    return final
+
+
+def test_templates_equal_brute_force(spark):
+    draw = random.Random(5)
+    rows = []
+    for host in ("a.net", "b.net", "c.org", ""):
+        for _ in range(300):
+            first = draw.choice(["en", "de", "es", "fr", "tag"])
+            rest = draw.choice(["#", "#.html", "#/more"]) if first != "tag" else draw.choice("xyz") * draw.randint(1, 30)
+            mark = {"a.net": {"es": "block", "fr": "block"}, "b.net": {"en": "block", "de": "allow", "fr": "allow"}}.get(host, {}).get(first)
+            rows.append((host, f"{first}/{rest}", mark if draw.random() < 0.9 else None))
+        rows += [(host, "", None), (host, "solo", "block"), (host, "a/b/c/d/e/f/g", None)]
+    found = url_filter.templates(spark.createDataFrame(rows, "host string, t0 string, mark string"))
+    got = {(r.host, r.t0): (r.template, r.blocked, r.allowed) for r in found.collect()}
+    assert got == {k: v for k, v in brute_templates(rows).items()}
+    # labels of two branches reach the others of the same form on their host, and no other host
+    assert got["a.net", "en/#"][0] == got["a.net", "es/#"][0] and got["a.net", "en/#"][1] > 0
+    assert got["c.org", "en/#"][1] == 0
+
+
+@pytest.mark.parametrize("whole_branches", [False, True])
+def test_held_out_labels_are_found_again(spark, whole_branches):
+    """Rule labels of a third of the pages, or of a third of the branches of every host, are hidden and then judged."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    host, path = url_filter.host_and_path(F.col("url"))
+    rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    _, mark = url_filter.rule_of(F.col("host"), F.col("path"), URL_RULES)
+    rows = rows.withColumn("truth", mark).withColumn("t0", url_filter.first_template(F.col("path")))
+    unit = [F.col("host"), F.substring_index("t0", "/", 1)] if whole_branches else [F.col("page_id")]
+    rows = rows.withColumn("hidden", F.pmod(F.xxhash64(*unit), F.lit(3)) == 0).withColumn("mark", F.expr("if(hidden, null, truth)"))
+    left = rows.groupBy("host").agg(F.count_if(F.col("mark") == "block").alias("bad"), F.count_if(F.col("mark") == "allow").alias("good"))
+    judged = rows.join(url_filter.templates(rows), ["host", "t0"]).join(left, "host").withColumn("blocked_here", url_filter.smoothed() >= 0.5).where("hidden and truth is not null")
+    # a hidden branch can be known by its siblings only if some are labelled, and all as bad
+    judged = judged.withColumn("known", F.expr("bad >= 4 and good = 0") if whole_branches else F.lit(True))
+    r = judged.selectExpr("count_if(blocked_here and truth = 'block' and known) as hit", "count_if(blocked_here and truth = 'allow') as wrong", "count_if(truth = 'block' and known) as all").first()
+    assert r["all"] > (0 if whole_branches else 20)
+    assert r.hit / (r.hit + r.wrong) >= 0.9
+    assert r.hit / r["all"] >= 0.7
