@@ -75,10 +75,15 @@ def child_cover(completed: DataFrame, pending: DataFrame, bins: DataFrame, key:
 ANNOTATION = ["gene_id", "database_name", "database_version", "accession", "function_name", "start", "end", "score", "evalue"]
 
 
+def annotation_id() -> Column:
+    """``ann:<source>:`` and a digest of what a hit is: source, gene, database, accession and place."""
+    return F.concat(F.lit("ann:"), F.col("source"), F.lit(":"), row_digest(*[F.col(c) for c in ("source", "gene_id", "database_name", "accession", "start", "end")]))
+
+
 def annotation_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with their digest as key, keys whose rows differ); equal repeats collapse."""
-    cells = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ANNOTATION])
-    keyed = cells.withColumn("annotation_id", row_digest(*[F.col(c) for c in ("gene_id", "database_name", "database_version", "accession", "start", "end")]))
+    """(rows with their identity as key, keys whose rows differ); equal repeats collapse."""
+    cells = rows.select("source", *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ANNOTATION])
+    keyed = cells.withColumn("annotation_id", annotation_id()).drop("source")
     return deduplicated(keyed, ["annotation_id"])
 
 
@@ -86,7 +91,8 @@ def eggnog(table: DataFrame, version: str) -> DataFrame:
     """One row for each term of the list columns; ``table`` has the tool's columns as text."""
     named = table.select(F.col("#query").alias("gene_id"), present(F.col("Description"), ("", "-")).alias("function_name"), number(F.col("evalue"), ("", "-")).alias("evalue"), number(F.col("score"), ("", "-")).alias("score"), "eggNOG_OGs", "GOs", "EC", "KEGG_ko")
     found = terms(named, {"eggNOG_OGs": "eggNOG", "GOs": "GO", "EC": "EC", "KEGG_ko": "KEGG"}).withColumnRenamed("database", "database_name")
-    return found.withColumn("database_version", F.lit(version))
+    described = F.when(F.col("database_name") == "eggNOG", F.col("function_name"))
+    return found.withColumns({"function_name": described, "database_version": F.lit(version), "source": F.lit("eggnog")})
 
 
 def interpro(table: DataFrame, version: str) -> DataFrame:
@@ -94,4 +100,4 @@ def interpro(table: DataFrame, version: str) -> DataFrame:
     rows = table.select(F.col("protein").alias("gene_id"), F.col("analysis").alias("member_db"), F.col("signature").alias("member"), F.col("entry").alias("integrated"), present(F.col("signature_name"), ("", "-")).alias("member_name"), present(F.col("entry_name"), ("", "-")).alias("entry_name"), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("end"), number(F.col("score"), ("", "-")).alias("score"))
     both = member_and_integrated(rows)
     entry = F.col("accession").startswith("IPR")
-    return both.select("gene_id", F.when(entry, F.lit("InterPro")).otherwise(F.col("member_db")).alias("database_name"), F.lit(version).alias("database_version"), "accession", F.when(entry, F.col("entry_name")).otherwise(F.col("member_name")).alias("function_name"), "start", "end", "score")
+    return both.select("gene_id", F.when(entry, F.lit("InterPro")).otherwise(F.concat(F.lit("InterProScan:"), F.col("member_db"))).alias("database_name"), F.lit(version).alias("database_version"), "accession", F.when(entry, F.col("entry_name")).otherwise(F.col("member_name")).alias("function_name"), "start", "end", "score", F.lit("interproscan").alias("source"))

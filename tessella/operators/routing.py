@@ -7,10 +7,13 @@ aggregation and the joins on the bin.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import fixed, stripped
+from tessella.operators.keys import coverage, duplicates
 
 #: Labels, thresholds and sentences that results must show.
 QUICK_DOMAINS = {
@@ -21,6 +24,16 @@ MAJORITY_DOMAINS = {
     "d_BAC": "prokaryotic", "d_ARC": "prokaryotic", "d_EUK": "eukaryotic", "d_NCLDV": "viral", "d_PPV": "viral",
     "d_MIRUS": "viral", "d_PHAGE": "viral", "d_PLASTID": "organelle", "d_MITO": "organelle", "d_EUK-pEVE": "ambiguous",
 }
+NO_MAJORITY = ["", "d_", "nd"]
+STATUSES = ["ok", "filtered"]
+TIARA_FIRST_STAGE = {"archaea": "prokaryote", "bacteria": "prokaryote", "prokarya": "prokaryote", "eukarya": "eukaryote", "organelle": "organelle", "unknown": "unclassified"}
+TIARA_ORGANELLES = ["mitochondrion", "plastid"]
+DUPLICATED = "_duplicated-yes"
+LEDGER = [
+    "sample_id", "run_id", "bin_id", "route", "candidate_class", "reason", "checkeuk_status", "checkeuk_lineage", "taxonomy", "taxonomy_source", "quickclade_domain", "quickclade_lineage", "quickclade_confidence",
+    "gvclass_domain", "gvclass_taxonomy_majority", "gvclass_taxonomy_confidence", "linked_eukaryotic_ssu", "linked_genomad_viruses", "supporting_evidence", "conflicting_evidence", "bin_bp", "tiara_eukaryote_fraction",
+    "tiara_prokaryote_fraction", "tiara_organelle_fraction", "tiara_unclassified_fraction", "viral_contig_fraction", "checkm2_completeness", "checkm2_contamination", "duplicated_contig_fraction",
+]
 LEAST_MARKERS = 5
 HALF, STRONG = 0.5, 0.8
 ORGANELLE_BP = 2_000_000
@@ -45,13 +58,14 @@ def _mapped(table: dict[str, str], c: Column) -> Column:
 def composition(contigs: DataFrame, keys: list[str]) -> DataFrame:
     """Base pairs of each bin by class of its contigs, and those of whole-contig viruses.
 
-    ``contigs`` has the keys, length_bp, contig_class and is_virus.
+    ``contigs`` has the keys, contig_id, length_bp, contig_class and is_virus.
     """
     of = lambda name: F.sum(F.when(F.col("contig_class") == name, F.col("length_bp")).otherwise(0)).cast("long")
     return contigs.groupBy(*keys).agg(
         F.sum("length_bp").cast("long").alias("bin_bp"), of("eukaryote").alias("euk_bp"), of("prokaryote").alias("prok_bp"),
         of("organelle").alias("org_bp"), of("unclassified").alias("uncl_bp"),
         F.sum(F.when(F.col("is_virus"), F.col("length_bp")).otherwise(0)).cast("long").alias("viral_bp"),
+        F.sum(F.when(F.col("contig_id").contains(DUPLICATED), F.col("length_bp")).otherwise(0)).cast("long").alias("dup_bp"),
     )
 
 
@@ -60,16 +74,62 @@ def classified(contigs: DataFrame, calls: DataFrame) -> DataFrame:
     return contigs.join(calls, "contig_id", "left").withColumn("contig_class", F.coalesce("contig_class", F.lit("unclassified")))
 
 
+def tiara_calls(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(contig_id, contig_class) from the two stages of native rows, and the rows with a problem.
+
+    The second stage only counts where it names an organelle. A contig named
+    twice, an empty name and an unknown class are problems.
+    """
+    first, second = stripped(F.col("class_fst_stage")), stripped(F.col("class_snd_stage"))
+    name = F.regexp_extract("sequence_id", r"^\s*(\S*)", 1)
+    kind = F.when(_mapped(TIARA_FIRST_STAGE, first).isNull(), F.lit(None)).when(second.isin(TIARA_ORGANELLES), F.lit("organelle")).otherwise(_mapped(TIARA_FIRST_STAGE, first))
+    rows = table.select(name.alias("contig_id"), kind.alias("contig_class"), first.alias("label"))
+    twice = rows.groupBy("contig_id").agg(F.count("*").alias("n")).where("n > 1").select("contig_id", F.lit("repeated").alias("problem"))
+    bad = rows.where(F.col("contig_class").isNull()).select("contig_id", F.concat(F.lit("unsupported class: "), "label").alias("problem"))
+    return rows.select("contig_id", "contig_class"), bad.union(rows.where("contig_id = ''").select("contig_id", F.lit("empty name").alias("problem"))).union(twice)
+
+
+def input_problems(bins: DataFrame, lineage: DataFrame, majority: DataFrame, quick: DataFrame, completeness: DataFrame, keys: list[str]) -> DataFrame:
+    """(table, keys, problem) for which routing must be refused.
+
+    lineage, majority and quick must hold each bin exactly once; completeness
+    may hold fewer bins, but no unknown and no repeated one. Statuses and
+    domains must be known.
+    """
+    found = []
+    for name, rows, whole in (("lineage", lineage, True), ("majority", majority, True), ("quick", quick, True), ("completeness", completeness, False)):
+        cover = coverage(bins, rows, keys)
+        cover = cover if whole else cover.where("side = 'unexpected'")
+        found.append(cover.select(F.lit(name).alias("table"), *keys, F.col("side").alias("problem")))
+        found.append(duplicates(rows, keys).select(F.lit(name).alias("table"), *keys, F.lit("repeated").alias("problem")))
+    status = lineage.where(~F.coalesce(F.col("status").isin(STATUSES), F.lit(False)))
+    found.append(status.select(F.lit("lineage").alias("table"), *keys, F.concat(F.lit("unsupported status: "), F.coalesce("status", F.lit("null"))).alias("problem")))
+    domain = F.substring_index(stripped(F.col("majority")), ";", 1)
+    known = F.coalesce(domain.isin([*MAJORITY_DOMAINS, *NO_MAJORITY]), F.lit(False))
+    found.append(majority.where(~known).select(F.lit("majority").alias("table"), *keys, F.concat(F.lit("unsupported domain: "), F.coalesce(domain, F.lit("null"))).alias("problem")))
+    empty = stripped(F.col("quick_lineage")).rlike(r"\A(d|sk)__\s*(;|\z)")
+    found.append(quick.where(empty).select(F.lit("quick").alias("table"), *keys, F.lit("malformed domain").alias("problem")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def require_inputs(problems: DataFrame) -> None:
+    """Raise with the first problems of ``input_problems``, if there are any."""
+    some = problems.limit(5).collect()
+    if some:
+        raise ValueError("; ".join(" ".join(str(x) for x in row) for row in some))
+
+
 def bin_facts(bins: DataFrame, contigs: DataFrame, lineage: DataFrame, majority: DataFrame, quick: DataFrame, loci: DataFrame, viruses: DataFrame, completeness: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each bin with all evidence.
 
-    lineage, majority and quick must hold every bin; loci, viruses and
-    completeness may be partial. Loci and viruses carry ``ordinal``, their
+    lineage, majority and quick must hold every bin (``input_problems`` tells;
+    a bin that they lack keeps nulls here and is not dropped); loci, viruses
+    and completeness may be partial. Loci and viruses carry ``ordinal``, their
     place in the source, and come as arrays in that order.
     """
     ordered = lambda d, name: d.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "item"))), lambda x: x["item"]).alias(name))
-    facts = bins.join(composition(contigs, keys), keys, "left").na.fill(0, ["bin_bp", "euk_bp", "prok_bp", "org_bp", "uncl_bp", "viral_bp"])
-    facts = facts.join(lineage, keys).join(majority, keys).join(quick, keys)
+    facts = bins.join(composition(contigs, keys), keys, "left").na.fill(0, ["bin_bp", "euk_bp", "prok_bp", "org_bp", "uncl_bp", "viral_bp", "dup_bp"])
+    facts = facts.join(lineage, keys, "left").join(majority, keys, "left").join(quick, keys, "left")
     facts = facts.join(ordered(loci, "ssu"), keys, "left").join(ordered(viruses, "virus_items"), keys, "left").join(completeness, keys, "left")
     none = F.array().cast("array<string>")
     return facts.withColumn("ssu", F.coalesce("ssu", none)).withColumn("virus_items", F.coalesce("virus_items", none))
@@ -78,8 +138,9 @@ def bin_facts(bins: DataFrame, contigs: DataFrame, lineage: DataFrame, majority:
 def signals(facts: DataFrame) -> DataFrame:
     """The support flags that the rules use, beside the facts."""
     share = lambda c: F.when(F.col("bin_bp") > 0, F.col(c) / F.col("bin_bp")).otherwise(0.0)
-    out = facts.withColumn("gv", _mapped(MAJORITY_DOMAINS, F.substring_index("majority", ";", 1)))
-    out = out.withColumn("quick_domain", F.substring_index("quick_lineage", ";", 1)).withColumn("quick", _mapped(QUICK_DOMAINS, F.col("quick_domain")))
+    out = facts.withColumn("gv", _mapped(MAJORITY_DOMAINS, F.substring_index(stripped(F.col("majority")), ";", 1)))
+    first = F.substring_index(stripped(F.col("quick_lineage")), ";", 1)
+    out = out.withColumn("quick_domain", F.when(first.startswith("d__") | first.startswith("sk__"), first).otherwise("")).withColumn("quick", _mapped(QUICK_DOMAINS, F.col("quick_domain")))
     out = out.withColumns({"euk_share": share("euk_bp"), "prok_share": share("prok_bp"), "org_share": share("org_bp"), "uncl_share": share("uncl_bp"), "viral_share": share("viral_bp")})
     gv_is = lambda x: F.col("gv").eqNullSafe(x)
     named = stripped(F.col("lineage")) != ""
@@ -148,3 +209,25 @@ def route(facts: DataFrame) -> DataFrame:
     named = F.when(F.col("resolved"), stripped(F.col("lineage"))).when(F.col("reason") == FALLBACK, F.col("majority")).otherwise("")
     source = F.when(F.col("resolved"), F.lit("checkeuk")).when(F.col("reason") == FALLBACK, F.lit("gvclass_fallback")).otherwise("")
     return s.withColumns({"supporting": supporting, "conflicting": conflicting, "taxonomy": named, "taxonomy_source": source})
+
+
+def ledger(routed: DataFrame, loci: DataFrame, viruses: DataFrame, keys: list[str]) -> DataFrame:
+    """The ledger's text columns (``LEDGER`` but for scope columns that are not keys).
+
+    ``routed`` has quick_confidence and majority_confidence; loci and viruses
+    have ``ordinal`` and ``record``, a struct that becomes one JSON object.
+    """
+    listed = lambda d, name: d.groupBy(*keys).agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "record"))), lambda x: x["record"])).alias(name))
+    rows = routed.join(listed(loci, "ssu_json"), keys, "left").join(listed(viruses, "virus_json"), keys, "left")
+    share = lambda c: fixed(F.col(c), 4)
+    dup = F.when(F.col("bin_bp") > 0, F.col("dup_bp") / F.col("bin_bp")).otherwise(0.0)
+    none = F.lit("[]")
+    shown = {
+        "route": F.col("route"), "candidate_class": F.col("candidate_class"), "reason": F.col("reason"), "checkeuk_status": F.col("status"), "checkeuk_lineage": F.col("lineage"), "taxonomy": F.col("taxonomy"), "taxonomy_source": F.col("taxonomy_source"),
+        "quickclade_domain": F.col("quick_domain"), "quickclade_lineage": F.col("quick_lineage"), "quickclade_confidence": F.col("quick_confidence"), "gvclass_domain": F.substring_index(stripped(F.col("majority")), ";", 1), "gvclass_taxonomy_majority": F.col("majority"),
+        "gvclass_taxonomy_confidence": F.col("majority_confidence"), "linked_eukaryotic_ssu": F.coalesce("ssu_json", none), "linked_genomad_viruses": F.coalesce("virus_json", none), "supporting_evidence": F.to_json("supporting"), "conflicting_evidence": F.to_json("conflicting"),
+        "bin_bp": F.col("bin_bp").cast("string"), "tiara_eukaryote_fraction": share("euk_share"), "tiara_prokaryote_fraction": share("prok_share"), "tiara_organelle_fraction": share("org_share"), "tiara_unclassified_fraction": share("uncl_share"),
+        "viral_contig_fraction": share("viral_share"), "checkm2_completeness": F.coalesce(fixed(F.col("completeness"), 2), F.lit("")), "checkm2_contamination": F.when(F.col("completeness").isNull(), F.lit("")).otherwise(fixed(F.col("contamination"), 2)),
+        "duplicated_contig_fraction": fixed(dup, 4),
+    }
+    return rows.select(*[F.col(k).cast("string").alias(k) for k in keys], *[c.alias(n) for n, c in shown.items()])

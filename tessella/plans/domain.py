@@ -51,32 +51,14 @@ def routing_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     pick = lambda names, k: F.get(F.array(*[F.lit(n) for n in names]), F.pmod(k, F.lit(len(names))).cast("int"))
     status = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in STATES.items()], F.lit("error"))
     locus = (F.col("discount") == 7) & (F.col("linestatus") == "O")
+    called = F.when(F.col("discount") == 9, F.concat("contig_id", F.lit("|provirus_1_9"))).otherwise(F.col("contig_id"))
     return {
         "bins": o.select(key),
         "contigs": c,
         "lineage": o.select(key, status.alias("status"), F.when(F.col("o_orderstatus") == "F", F.concat(F.lit(" k__"), F.col("o_orderpriority"))).otherwise(" ").alias("lineage"), F.pmod(F.col("o_orderkey"), F.lit(10)).cast("int").alias("markers")),
-        "majority": o.select(key, pick(MAJORITIES, F.col("o_custkey")).alias("majority")),
-        "quick": o.select(key, pick(QUICK, F.col("o_orderkey") + F.col("o_custkey")).alias("quick_lineage")),
-        "loci": c.where(locus).select("bin_id", F.struct("ordinal", "contig_id").alias("ordinal"), F.concat(F.lit("l"), F.col("ordinal"), F.lit("@"), F.col("contig_id")).alias("item")),
-        "viruses": c.where(F.col("is_virus")).select("bin_id", F.struct("ordinal", "contig_id").alias("ordinal"), F.when(F.col("discount") == 9, F.concat("contig_id", F.lit("|provirus_1_9"))).otherwise(F.col("contig_id")).alias("item")),
-        "completeness": o.where(F.pmod(F.col("o_custkey"), F.lit(7)) != 0).select(key, (F.pmod(F.col("o_custkey"), F.lit(300)) / 10.0).alias("completeness"), (F.pmod(F.col("o_orderkey"), F.lit(64)) / 32.0).alias("contamination")),
+        "majority": o.select(key, pick(MAJORITIES, F.col("o_custkey")).alias("majority"), F.concat(F.lit("m"), F.col("o_custkey") % 4).alias("majority_confidence")),
+        "quick": o.select(key, pick(QUICK, F.col("o_orderkey") + F.col("o_custkey")).alias("quick_lineage"), F.concat(F.lit("c"), F.col("o_custkey") % 3).alias("quick_confidence")),
+        "loci": c.where(locus).select("bin_id", F.struct("ordinal", "contig_id").alias("ordinal"), F.concat(F.lit("l"), F.col("ordinal"), F.lit("@"), F.col("contig_id")).alias("item"), F.struct(F.concat(F.lit("l"), F.col("ordinal")).alias("name"), F.col("contig_id").alias("contig_name"), F.concat(F.lit("k__"), F.col("returnflag")).alias("taxonomy"), F.lit("Eukaryota").alias("taxonomy_domain"), F.lit("").alias("reference_taxonomy"), F.lit("").alias("blast_candidate_taxonomy")).alias("record")),
+        "viruses": c.where(F.col("is_virus")).select("bin_id", F.struct("ordinal", "contig_id").alias("ordinal"), called.alias("item"), F.struct(called.alias("seq_name"), F.concat(F.lit("0."), F.col("discount")).alias("virus_score"), F.concat(F.lit("Viruses;"), F.col("returnflag")).alias("taxonomy")).alias("record")),
+        "completeness": o.select(key, F.when(F.pmod(F.col("o_custkey"), F.lit(7)) != 0, F.pmod(F.col("o_custkey"), F.lit(300)) / 10.0).alias("completeness"), (F.pmod(F.col("o_orderkey"), F.lit(64)) / 32.0).alias("contamination")),
     }
-
-
-def catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """A few relational tables of the catalog: stages, taxonomy, genes, annotations, expected keys and more."""
-    li, o, p, s = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "supplier"))
-    stage = F.concat(F.lit("st"), F.pmod("l_suppkey", F.lit(40)))
-    return {
-        "stages": s.where("s_suppkey <= 60").select(
-            F.concat(F.lit("st"), F.col("s_suppkey")).alias("stage_id"), F.lower("s_name").alias("name"),
-            F.when(F.pmod("s_suppkey", F.lit(4)) == 0, F.lit("braker_run")).otherwise(F.concat(F.lit("tool"), F.pmod("s_suppkey", F.lit(7)))).alias("tool_name"),
-            F.when(F.col("s_acctbal") < 0, F.lit("pending")).otherwise("completed").alias("status"),
-        ),
-        "taxonomy": li.select(F.col("l_orderkey").alias("target_id"), F.col("l_linestatus").alias("rank"), F.col("l_returnflag").alias("taxon_name"), stage.alias("stage_id")),
-        "genes": li.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("gene_id"), F.when(F.col("l_discount") > 0.02, F.col("l_orderkey")).alias("bin_id"), stage.alias("stage_id")),
-        "annotations": li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("gene_id"), F.year("l_shipdate").cast("string").alias("database_version"), F.concat(F.lit("db"), F.col("l_linestatus")).alias("database_name")),
-        "inputs": li.select(stage.alias("stage_id"), F.pmod("l_partkey", F.lit(50)).cast("int").alias("position")),
-        "expected": o.select(F.concat(F.lit("st"), F.pmod("o_custkey", F.lit(40))).alias("stage_id"), F.concat_ws(":", "o_orderpriority", "o_orderkey").alias("key")),
-        "parts": p,
-    }

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
-from tessella.operators import keys, measures, parse, routing
-from tessella.plans.domain import BINS, CONTIGS, bins, catalog, contigs, routing_inputs, table
+from tessella.operators import collect, keys, measures, parse, routing
+from tessella.plans import catalog, report
+from tessella.plans.domain import BINS, CONTIGS, bins, contigs, routing_inputs, table
 from tessella.sources.scratch import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,15 +32,18 @@ def query(sql: str | None = None) -> Callable:
 
 FACTS = f"""WITH {CONTIGS}, comp AS (SELECT bin_id, CAST(sum(length_bp) AS BIGINT) AS bin_bp,
  CAST(sum(CASE WHEN contig_class = 'eukaryote' THEN length_bp ELSE 0 END) AS BIGINT) AS euk_bp, CAST(sum(CASE WHEN contig_class = 'prokaryote' THEN length_bp ELSE 0 END) AS BIGINT) AS prok_bp,
- CAST(sum(CASE WHEN contig_class = 'organelle' THEN length_bp ELSE 0 END) AS BIGINT) AS org_bp, CAST(sum(CASE WHEN is_virus THEN length_bp ELSE 0 END) AS BIGINT) AS viral_bp FROM contigs GROUP BY bin_id),
+ CAST(sum(CASE WHEN contig_class = 'organelle' THEN length_bp ELSE 0 END) AS BIGINT) AS org_bp, CAST(sum(CASE WHEN is_virus THEN length_bp ELSE 0 END) AS BIGINT) AS viral_bp,
+ CAST(sum(CASE WHEN contig_class = 'unclassified' THEN length_bp ELSE 0 END) AS BIGINT) AS uncl_bp, CAST(sum(CASE WHEN contains(contig_id, '_duplicated-yes') THEN length_bp ELSE 0 END) AS BIGINT) AS dup_bp FROM contigs GROUP BY bin_id),
 loci AS (SELECT bin_id, list('SSU:l' || ordinal || '@' || contig_id ORDER BY ordinal, contig_id) AS ssu FROM contigs WHERE discount = 7 AND linestatus = 'O' GROUP BY bin_id),
+loci_json AS (SELECT bin_id, to_json(list(struct_pack(name := 'l' || ordinal, contig_name := contig_id, taxonomy := 'k__' || returnflag, taxonomy_domain := 'Eukaryota', reference_taxonomy := '', blast_candidate_taxonomy := '') ORDER BY ordinal, contig_id)) AS j FROM contigs WHERE discount = 7 AND linestatus = 'O' GROUP BY bin_id),
+vir_json AS (SELECT bin_id, to_json(list(struct_pack(seq_name := CASE WHEN discount = 9 THEN contig_id || '|provirus_1_9' ELSE contig_id END, virus_score := '0.' || discount, taxonomy := 'Viruses;' || returnflag) ORDER BY ordinal, contig_id)) AS j FROM contigs WHERE is_virus GROUP BY bin_id),
 vir AS (SELECT bin_id, list('geNomad:' || contig_id ORDER BY ordinal, contig_id) AS calls FROM contigs WHERE is_virus AND discount <> 9 GROUP BY bin_id),
 f AS (SELECT o.o_orderkey AS bin_id, CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'ok' WHEN 'P' THEN 'filtered' ELSE 'error' END AS status,
  CASE WHEN o_orderstatus = 'F' THEN ' k__' || o_orderpriority ELSE ' ' END AS lineage, o_orderkey % 10 AS markers,
  (['d_BAC;p_x','d_EUK;p_y','d_NCLDV;c_z','nd','d_MITO','d_EUK-pEVE','d_ARC',''])[o_custkey % 8 + 1] AS majority,
  (['d__Bacteria;p__a','d__Eukaryota;p__b','sk__Archaea','d__Viruses;x',''])[(o_orderkey + o_custkey) % 5 + 1] AS quick_lineage,
  CASE WHEN o_custkey % 7 <> 0 THEN (o_custkey % 300) / 10.0::DOUBLE END AS completeness, (o_orderkey % 64) / 32.0::DOUBLE AS contamination,
- coalesce(bin_bp, 0) AS bin_bp, coalesce(euk_bp, 0) AS euk_bp, coalesce(prok_bp, 0) AS prok_bp, coalesce(org_bp, 0) AS org_bp, coalesce(viral_bp, 0) AS viral_bp,
+ coalesce(bin_bp, 0) AS bin_bp, coalesce(euk_bp, 0) AS euk_bp, coalesce(prok_bp, 0) AS prok_bp, coalesce(org_bp, 0) AS org_bp, coalesce(viral_bp, 0) AS viral_bp, coalesce(uncl_bp, 0) AS uncl_bp, coalesce(dup_bp, 0) AS dup_bp, o_custkey,
  coalesce(ssu, []) AS ssu, coalesce(calls, []) AS calls
  FROM orders o LEFT JOIN comp c ON o.o_orderkey = c.bin_id LEFT JOIN loci l ON o.o_orderkey = l.bin_id LEFT JOIN vir v ON o.o_orderkey = v.bin_id),
 g AS (SELECT *, CASE split_part(majority, ';', 1) WHEN 'd_BAC' THEN 'prokaryotic' WHEN 'd_ARC' THEN 'prokaryotic' WHEN 'd_EUK' THEN 'eukaryotic' WHEN 'd_NCLDV' THEN 'viral' WHEN 'd_MITO' THEN 'organelle' WHEN 'd_EUK-pEVE' THEN 'ambiguous' ELSE '' END AS gv,
@@ -77,9 +80,48 @@ def route_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.route(facts).select("bin_id", "route", "candidate_class", F.array_join("supporting", " ~ ").alias("supporting"), F.array_join("conflicting", " ~ ").alias("conflicting"), "taxonomy")
 
 
+LEDGER_LISTS = [
+    """list_filter([
+ CASE WHEN gv = 'organelle' THEN 'GVClass:' || majority END, CASE WHEN torg THEN 'Tiara:' || printf('%.4f', os) END,
+ CASE WHEN euk AND route <> 'prokaryotic' AND resolved THEN 'CheckEUK:' || lineage END, CASE WHEN euk AND route <> 'prokaryotic' AND gv = 'eukaryotic' THEN 'GVClass:' || majority END,
+ NULL], lambda x: x IS NOT NULL) || CASE WHEN euk AND route <> 'prokaryotic' THEN ssu ELSE [] END || list_filter([ CASE WHEN euk AND route <> 'prokaryotic' AND te THEN 'Tiara:' || printf('%.4f', es + os) END,
+ CASE WHEN gv = 'prokaryotic' THEN 'GVClass:' || majority END, CASE WHEN gv = 'prokaryotic' AND quick = 'prokaryotic' THEN 'QuickClade:' || quick_lineage END,
+ CASE WHEN tcp THEN 'Tiara:' || printf('%.4f', ps) END, CASE WHEN tcp THEN 'CheckM2:' || printf('%.2f', completeness) || '/' || printf('%.2f', contamination) END,
+ CASE WHEN gv = 'viral' THEN 'GVClass:' || majority END, NULL], lambda x: x IS NOT NULL) || CASE WHEN vs >= 0.5 THEN calls ELSE [] END""",
+    """list_filter([CASE WHEN qd <> '' AND quick = '' THEN 'QuickClade-unresolved:' || quick_lineage END, CASE WHEN euk AND quick = 'prokaryotic' THEN 'QuickClade:' || quick_lineage END,
+ CASE WHEN viral AND prok THEN 'prokaryotic evidence conflicts with viral evidence' END, CASE WHEN viral AND other THEN 'eukaryotic evidence conflicts with viral evidence' END,
+ CASE WHEN euk AND gv = 'prokaryotic' THEN 'GVClass:' || majority END, CASE WHEN euk AND tp AND NOT tcp THEN 'Tiara:' || printf('%.4f', ps) END, CASE WHEN gv = 'ambiguous' THEN 'GVClass:' || majority END,
+ CASE WHEN organelle AND (euk OR viral) THEN 'organelle evidence conflicts with supported routing evidence' END, CASE WHEN tcp AND resolved THEN 'CheckEUK:' || lineage END, CASE WHEN tcp AND gv = 'eukaryotic' THEN 'GVClass:' || majority END,
+ CASE WHEN vs > 0 AND vs < 0.5 THEN 'geNomad-minority:' || printf('%.4f', vs) END], lambda x: x IS NOT NULL)""",
+]
+
+
+@query(FACTS + f""", q AS (SELECT *, CASE WHEN gv = 'ambiguous' THEN 'GVClass reports an ambiguous eukaryote-virus class' WHEN organelle AND gv = 'organelle' THEN 'GVClass reports an organelle class without a gene-calling route'
+ WHEN organelle THEN 'Tiara classifies most of the bin as organelle sequence without a gene-calling route' WHEN tcp AND viral THEN 'supported evidence conflicts across routes'
+ WHEN tcp AND gv = 'prokaryotic' THEN 'GVClass supports a prokaryotic route without a supported eukaryotic or viral conflict' WHEN tcp THEN 'Tiara and CheckM2 support a prokaryotic route'
+ WHEN euk AND (viral OR gv = 'prokaryotic' OR tp) THEN 'supported evidence conflicts across routes' WHEN euk AND fallback THEN 'GVClass supports a eukaryotic route; CheckEUK has too few markers to name a lineage'
+ WHEN euk THEN lines[1] || ' and ' || lines[2] || ' support a eukaryotic route' WHEN viral AND (prok OR other) THEN 'supported evidence conflicts across routes'
+ WHEN viral THEN 'GVClass or linked whole-contig geNomad evidence supports a viral route' WHEN gv = 'prokaryotic' THEN 'GVClass supports a prokaryotic route without a supported eukaryotic or viral conflict'
+ WHEN len(lines) > 0 THEN 'eukaryotic evidence does not meet the combined support rule' ELSE 'no supported routing evidence' END AS reason FROM r)
+SELECT 's1' AS sample_id, 'r1' AS run_id, CAST(bin_id AS VARCHAR) AS bin_id, route, candidate_class, reason, status AS checkeuk_status, lineage AS checkeuk_lineage,
+ CASE WHEN resolved THEN trim(lineage) WHEN euk AND fallback AND route = 'eukaryotic' THEN majority ELSE '' END AS taxonomy,
+ CASE WHEN resolved THEN 'checkeuk' WHEN euk AND fallback AND route = 'eukaryotic' THEN 'gvclass_fallback' ELSE '' END AS taxonomy_source,
+ qd AS quickclade_domain, quick_lineage AS quickclade_lineage, 'c' || (o_custkey % 3) AS quickclade_confidence, split_part(majority, ';', 1) AS gvclass_domain,
+ majority AS gvclass_taxonomy_majority, 'm' || (o_custkey % 4) AS gvclass_taxonomy_confidence, coalesce(CAST(lj.j AS VARCHAR), '[]') AS linked_eukaryotic_ssu, coalesce(CAST(vj.j AS VARCHAR), '[]') AS linked_genomad_viruses,
+ CAST(to_json({LEDGER_LISTS[0]}) AS VARCHAR) AS supporting_evidence, CAST(to_json({LEDGER_LISTS[1]}) AS VARCHAR) AS conflicting_evidence, CAST(bin_bp AS VARCHAR) AS bin_bp,
+ printf('%.4f', es) AS tiara_eukaryote_fraction, printf('%.4f', ps) AS tiara_prokaryote_fraction, printf('%.4f', os) AS tiara_organelle_fraction,
+ printf('%.4f', CASE WHEN bin_bp > 0 THEN uncl_bp::DOUBLE / bin_bp ELSE 0 END) AS tiara_unclassified_fraction, printf('%.4f', vs) AS viral_contig_fraction,
+ coalesce(printf('%.2f', completeness), '') AS checkm2_completeness, CASE WHEN completeness IS NULL THEN '' ELSE printf('%.2f', contamination) END AS checkm2_contamination,
+ printf('%.4f', CASE WHEN bin_bp > 0 THEN dup_bp::DOUBLE / bin_bp ELSE 0 END) AS duplicated_contig_fraction FROM q LEFT JOIN loci_json lj USING (bin_id) LEFT JOIN vir_json vj USING (bin_id)""")
+def evidence_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = routing_inputs(spark, sf_dir)
+    facts = routing.bin_facts(**given, keys=["bin_id"])
+    return routing.ledger(routing.route(facts), given["loci"], given["viruses"], ["bin_id"]).withColumns({"sample_id": F.lit("s1"), "run_id": F.lit("r1")}).select(*routing.LEDGER)
+
+
 @query(f"""WITH {CONTIGS} SELECT bin_id, CAST(sum(length_bp) AS BIGINT) AS bin_bp, CAST(sum(CASE WHEN contig_class = 'eukaryote' THEN length_bp ELSE 0 END) AS BIGINT) AS euk_bp,
  CAST(sum(CASE WHEN contig_class = 'prokaryote' THEN length_bp ELSE 0 END) AS BIGINT) AS prok_bp, CAST(sum(CASE WHEN contig_class = 'organelle' THEN length_bp ELSE 0 END) AS BIGINT) AS org_bp,
- CAST(sum(CASE WHEN contig_class = 'unclassified' THEN length_bp ELSE 0 END) AS BIGINT) AS uncl_bp, CAST(sum(CASE WHEN is_virus THEN length_bp ELSE 0 END) AS BIGINT) AS viral_bp FROM contigs GROUP BY bin_id""")
+ CAST(sum(CASE WHEN contig_class = 'unclassified' THEN length_bp ELSE 0 END) AS BIGINT) AS uncl_bp, CAST(sum(CASE WHEN is_virus THEN length_bp ELSE 0 END) AS BIGINT) AS viral_bp, CAST(sum(CASE WHEN contains(contig_id, '_duplicated-yes') THEN length_bp ELSE 0 END) AS BIGINT) AS dup_bp FROM contigs GROUP BY bin_id""")
 def bin_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.composition(contigs(spark, sf_dir), ["bin_id"])
 
@@ -166,86 +208,24 @@ def covered_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.covered_bases(rows, ["contig"])
 
 
-@query("""SELECT c_nationkey, retained_reads, rejected_reads, total FROM (SELECT c_nationkey, CAST(sum(o_orderkey % 1000) AS BIGINT) AS retained_reads, CAST(sum(o_custkey % 100) AS BIGINT) AS rejected_reads, CAST(sum(o_orderkey % 1000 + o_custkey % 100) AS BIGINT) AS total
- FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey) ORDER BY total DESC, c_nationkey LIMIT 30""")
-def read_outcomes_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    sums = rows.groupBy("c_nationkey").agg(F.sum(F.col("o_orderkey") % 1000).alias("retained_reads"), F.sum(F.col("o_custkey") % 100).alias("rejected_reads"))
-    return measures.top_totals(sums.withColumn("total", F.col("retained_reads") + F.col("rejected_reads")), ["c_nationkey"], "total")
-
-
-@query(f"WITH {CONTIGS} SELECT bin_id, CAST(sum(length_bp) AS BIGINT) AS assembly_length_bp FROM contigs GROUP BY bin_id ORDER BY 2 DESC, 1 LIMIT 30")
-def assembly_bp_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = contigs(spark, sf_dir).groupBy("bin_id").agg(F.sum("length_bp").alias("assembly_length_bp"))
-    return measures.top_totals(sums, ["bin_id"], "assembly_length_bp")
-
-
 @query(FACTS + "SELECT candidate_class, count(*) AS bins FROM r GROUP BY candidate_class")
 def bins_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = routing.bin_facts(**routing_inputs(spark, sf_dir), keys=["bin_id"])
-    return routing.route(facts).groupBy("candidate_class").agg(F.count("*").alias("bins"))
+    return report.bins_per_class({"bins": routing.route(facts)})
 
 
 # ---------------------------------------------------------------- report tables
 
-STAGE = "'st' || (l_suppkey % 40)"
-STAGES = """stages AS (SELECT 'st' || s_suppkey AS stage_id, lower(s_name) AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'braker_run' ELSE 'tool' || (s_suppkey % 7) END AS tool_name, CASE WHEN s_acctbal < 0 THEN 'pending' ELSE 'completed' END AS status FROM supplier WHERE s_suppkey <= 60)"""
-
-
-@query(f"""WITH {STAGES}, t AS (SELECT l_orderkey AS target_id, l_linestatus AS rank, l_returnflag AS taxon_name, {STAGE} AS stage_id FROM lineitem)
-SELECT target_id, rank, count(DISTINCT taxon_name) AS "values", string_agg(DISTINCT tool_name || ': ' || taxon_name, ',' ORDER BY tool_name || ': ' || taxon_name) AS assertions FROM t JOIN stages USING (stage_id) GROUP BY target_id, rank HAVING count(DISTINCT taxon_name) > 1""")
-def taxonomy_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = catalog(spark, sf_dir)
-    rows = t["taxonomy"].join(t["stages"], "stage_id")
-    return keys.conflicts(rows, ["target_id", "rank"], "taxon_name", F.concat("tool_name", F.lit(": "), "taxon_name"))
-
-
-@query(f"""WITH {STAGES}, g AS (SELECT CASE WHEN l_discount > 0.02 THEN l_orderkey END AS bin_id, {STAGE} AS stage_id FROM lineitem)
-SELECT bin_id, stage_id, name, status, tool_name, count(*) AS coding_models FROM g JOIN stages USING (stage_id) GROUP BY ALL""")
-def coding_model_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = catalog(spark, sf_dir)
-    # counted before the join: each stage's row is met once for each bin
-    counted = t["genes"].groupBy("bin_id", "stage_id").agg(F.count("*").alias("coding_models"))
-    return counted.join(t["stages"], "stage_id").select("bin_id", "stage_id", "name", "status", "tool_name", "coding_models")
-
-
-@query("""SELECT 'db' || l_linestatus AS database_name, CAST(year(l_shipdate) AS VARCHAR) AS database_version, count(*) AS annotation_hits, count(DISTINCT l_orderkey || '-' || l_linenumber) AS annotated_models FROM lineitem GROUP BY 1, 2""")
-def annotation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir)["annotations"].groupBy("database_name", "database_version").agg(F.count("*").alias("annotation_hits"), F.countDistinct("gene_id").alias("annotated_models"))
-
-
-@query(f"""WITH {STAGES}, g AS (SELECT {STAGE} AS stage_id, 1 AS x FROM lineitem) SELECT stage_id, name, status, tool_name, count(x) AS cataloged_models FROM stages LEFT JOIN g USING (stage_id) WHERE lower(name) LIKE '%braker%' OR lower(tool_name) LIKE '%braker%' GROUP BY ALL""")
-def braker_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = catalog(spark, sf_dir)
-    wanted = t["stages"].where(F.lower("name").contains("braker") | F.lower("tool_name").contains("braker"))
-    counted = t["genes"].groupBy("stage_id").agg(F.count("gene_id").alias("cataloged_models"))
-    return wanted.join(counted, "stage_id", "left").na.fill(0, ["cataloged_models"])
-
-
-@query(f"""WITH {STAGES}, i AS (SELECT {STAGE} AS stage_id, l_partkey % 50 AS position FROM lineitem), e AS (SELECT 'st' || (o_custkey % 40) AS stage_id, o_orderpriority || ':' || o_orderkey AS k FROM orders)
-SELECT stage_id, name, status, tool_name, (SELECT count(DISTINCT position) FROM i WHERE i.stage_id = s.stage_id) AS input_artifacts, (SELECT count(DISTINCT k) FROM e WHERE e.stage_id = s.stage_id) AS expected_records FROM stages s""")
-def stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = catalog(spark, sf_dir)
-    # each child is counted before it meets the stages, so the two never multiply
-    i = t["inputs"].groupBy("stage_id").agg(F.countDistinct("position").alias("input_artifacts"))
-    e = t["expected"].groupBy("stage_id").agg(F.countDistinct("key").alias("expected_records"))
-    return t["stages"].join(i, "stage_id", "left").join(e, "stage_id", "left").na.fill(0, ["input_artifacts", "expected_records"])
-
-
-NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
-
-@query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS records FROM {n}" for n in NAMES))
-def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(DataFrame.union, [table(spark, sf_dir, n).agg(F.count("*").alias("records")).select(F.lit(n).alias("table"), "records") for n in NAMES])
+QUERIES |= catalog.QUERIES
+ORACLE_SQL |= catalog.ORACLE_SQL
 
 
 # ---------------------------------------------------------------- keys
 
 
-@query("""WITH e AS (SELECT DISTINCT o_orderkey AS bin_id FROM orders WHERE o_orderkey % 5 <> 0), a AS (SELECT DISTINCT l_orderkey AS bin_id FROM lineitem) SELECT bin_id, 'missing' AS side FROM e WHERE bin_id NOT IN (SELECT bin_id FROM a) UNION ALL SELECT bin_id, 'unexpected' FROM a WHERE bin_id NOT IN (SELECT bin_id FROM e)""")
+@query("""WITH e AS (SELECT DISTINCT o_orderkey AS bin_id FROM orders), a AS (SELECT DISTINCT l_orderkey AS bin_id FROM lineitem) SELECT bin_id, 'missing' AS side FROM e WHERE bin_id NOT IN (SELECT bin_id FROM a) UNION ALL SELECT bin_id, 'unexpected' FROM a WHERE bin_id NOT IN (SELECT bin_id FROM e)""")
 def coverage_missing_unexpected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("bin_id"))
+    expected = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("bin_id"))
     return keys.coverage(expected, contigs(spark, sf_dir), ["bin_id"])
 
 
@@ -329,9 +309,9 @@ def union_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(s).unionByName(p, allowMissingColumns=True)
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT s_suppkey FROM supplier")
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "supplier").select("s_suppkey"))
 
 
 @query("SELECT s_suppkey AS k FROM supplier INTERSECT SELECT o_custkey FROM orders")
@@ -383,9 +363,11 @@ def member_integrated_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.member_and_integrated(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("member"), entry.alias("integrated"), F.col("p_retailprice").alias("score")))
 
 
-@query("SELECT p_partkey, sha256(concat_ws(chr(31), p_brand, p_type, coalesce(CASE WHEN p_size > 9 THEN CAST(p_size AS VARCHAR) END, 'None'))) AS annotation_id FROM part")
+@query("""SELECT p_partkey, 'ann:' || p_brand || ':' || sha256(concat_ws(chr(31), p_brand, 'g' || p_partkey, p_type, 'a' || p_size, coalesce(CASE WHEN p_size > 9 THEN CAST(p_size AS VARCHAR) END, 'None'), coalesce(CASE WHEN p_size > 9 THEN CAST(p_size + 5 AS VARCHAR) END, 'None'))) AS annotation_id FROM part""")
 def annotation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", text.row_digest(F.col("p_brand"), F.col("p_type"), F.when(F.col("p_size") > 9, F.col("p_size"))).alias("annotation_id"))
+    placed = F.col("p_size") > 9
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("source"), F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.col("p_type").alias("database_name"), F.concat(F.lit("a"), "p_size").alias("accession"), F.when(placed, F.col("p_size")).alias("start"), F.when(placed, F.col("p_size") + 5).alias("end"))
+    return rows.select("p_partkey", collect.annotation_id().alias("annotation_id"))
 
 
 @query("""WITH n AS (SELECT p_partkey, 'a/b/' || p_name || CASE p_size % 5 WHEN 0 THEN '.fasta' WHEN 1 THEN '.FA' WHEN 2 THEN '.fa.gz' WHEN 3 THEN '.faa' ELSE '.x.1' END AS p FROM part), b AS (SELECT p_partkey, split_part(p, '/', -1) AS s FROM n)
@@ -423,9 +405,9 @@ def alignment_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.kept_alignments(rows, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("SELECT doc_id, length(text) AS n FROM documents WHERE length(text) >= 1000 AND doc_id % 20 >= 10")
+@query("SELECT doc_id, length(text) AS n FROM documents WHERE length(text) >= 1000 AND length(text) % 20 >= 10")
 def read_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("length"), (F.col("doc_id") % 20).cast("double").alias("mean_quality"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("length"), (F.length("text") % 20).cast("double").alias("mean_quality"))
     return parse.kept_reads(rows).select("doc_id", F.col("length").cast("long").alias("n"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,15 @@ def read_table(spark: SparkSession, path: str | list[str], required: list[str] =
 
     Raises if the header is missing, repeats a column or lacks a required one.
     A row with more or fewer cells than the header fails when it is read. With
-    ``hash_header``, a leading # of the first column's name goes.
+    ``hash_header``, a leading # of the first column's name goes. Each of
+    several files is read by its own header; a column that only some files
+    have is empty in the rows of the others.
     """
-    first = path if isinstance(path, str) else path[0]
+    if not isinstance(path, str):
+        parts = [read_table(spark, p, required, hash_header) for p in path]
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return whole.na.fill("")
+    first = path
     head = spark.read.text(first).first()
     if head is None or not head[0].strip():
         raise ValueError(f"no header: {first}")
@@ -107,7 +115,21 @@ def verified(files: DataFrame, receipts: DataFrame) -> DataFrame:
 
 
 def bundle(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """A metadata bundle per file by an explicit schema; a cell of another type fails the read."""
+    """A metadata bundle per file by an explicit schema; a cell of another type fails the read.
+
+    So does a field that the schema does not name, at the top or in a record.
+    """
+    text = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
+    known = {f.name: f.dataType for f in schema.fields}
+    lists = {n: t.elementType for n, t in known.items() if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType)}
+    keys = lambda v: F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    strange = [F.array_except(keys(F.col("v")), F.array(*[F.lit(n) for n in known]))]
+    for name, record in lists.items():
+        own = F.flatten(F.transform(F.try_variant_get("v", f"$.{name}", "array<map<string,variant>>"), F.map_keys))
+        strange.append(F.coalesce(F.array_except(own, F.array(*[F.lit(f.name) for f in record.fields])), F.array().cast("array<string>")))
+    found = text.select(F.array_distinct(F.flatten(F.array(*strange))).alias("names")).where(F.size("names") > 0).first()
+    if found:
+        raise ValueError(f"unknown fields: {', '.join(found.names)}")
     return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
 
 

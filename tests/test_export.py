@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from test_integrity import SCHEMAS, tables, valid
@@ -64,4 +65,7 @@ def test_annotations(spark):
     names = ["protein", "analysis", "signature", "entry", "signature_name", "entry_name", "start", "stop", "score"]
     table = spark.createDataFrame([("g1", "Pfam", "PF1", "IPR1", "a", "b", "1", "9", "2.5"), ("g1", "Pfam", "PF2", "-", "-", "-", "2", "8", "-")], ", ".join(f"{c} string" for c in names))
     got = {(r.database_name, r.accession, r.function_name, r.score) for r in collect.interpro(table, "1").collect()}
-    assert got == {("Pfam", "PF1", "a", 2.5), ("InterPro", "IPR1", "b", None), ("Pfam", "PF2", None, None)}
+    assert got == {("InterProScan:Pfam", "PF1", "a", 2.5), ("InterPro", "IPR1", "b", None), ("InterProScan:Pfam", "PF2", None, None)}
+    identity = "\x1f".join(("interproscan", "g1", "InterPro", "IPR1", "1", "9"))
+    rows, _ = collect.annotation_rows(collect.interpro(table, "1"))
+    assert "ann:interproscan:" + hashlib.sha256(identity.encode()).hexdigest() in {r.annotation_id for r in rows.collect()}

@@ -52,3 +52,25 @@ def test_evidence_in_order(decided):
     assert decided[17].conflicting == ["geNomad-minority:0.4990"]
     assert decided[21].conflicting == ["prokaryotic evidence conflicts with viral evidence"]
     assert decided[12].taxonomy == "d_EUK" and decided[12].taxonomy_source == "gvclass_fallback"
+
+
+def test_incomplete_or_unknown_inputs_are_refused(spark):
+    one = lambda rows, schema: spark.createDataFrame(rows, schema)
+    bins = one([("a",), ("b",)], "bin_id string")
+    good = dict(lineage=one([("a", "ok"), ("b", "filtered")], "bin_id string, status string"), majority=one([("a", "d_BAC;x"), ("b", "nd")], "bin_id string, majority string"), quick=one([("a", "d__Bacteria;p"), ("b", "none")], "bin_id string, quick_lineage string"), completeness=one([("a", 1.0)], "bin_id string, completeness double"))
+    routing.require_inputs(routing.input_problems(bins, **good, keys=["bin_id"]))
+    bad = dict(lineage=one([("a", "odd")], "bin_id string, status string"), majority=one([("a", "d_X"), ("b", "nd"), ("b", "nd")], "bin_id string, majority string"), quick=one([("a", "d__;p"), ("b", ""), ("c", "")], "bin_id string, quick_lineage string"), completeness=one([("z", 1.0)], "bin_id string, completeness double"))
+    problems = routing.input_problems(bins, **bad, keys=["bin_id"])
+    assert sorted(tuple(r) for r in problems.collect()) == [
+        ("completeness", "z", "unexpected"), ("lineage", "a", "unsupported status: odd"), ("lineage", "b", "missing"), ("majority", "a", "unsupported domain: d_X"),
+        ("majority", "b", "repeated"), ("quick", "a", "malformed domain"), ("quick", "c", "unexpected"),
+    ]
+    with pytest.raises(ValueError, match="unsupported|missing|repeated|unexpected|malformed"):
+        routing.require_inputs(problems)
+
+
+def test_two_stage_classes(spark):
+    rows = [("c1 x", "bacteria", "n/a"), ("c2", "organelle", "mitochondrion"), ("c3", "unknown", "plastid"), ("c4", "eukarya", ""), ("c4", "archaea", ""), (" ", "unknown", ""), ("c5", "alien", "")]
+    calls, problems = routing.tiara_calls(spark.createDataFrame(rows, "sequence_id string, class_fst_stage string, class_snd_stage string"))
+    assert {(r.contig_id, r.contig_class) for r in calls.where("contig_id in ('c1', 'c2', 'c3')").collect()} == {("c1", "prokaryote"), ("c2", "organelle"), ("c3", "organelle")}
+    assert sorted(tuple(r) for r in problems.collect()) == [("", "empty name"), ("c4", "repeated"), ("c5", "unsupported class: alien")]

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.functions import text
 from tessella.sources import sinks
@@ -73,3 +74,24 @@ def test_stage_lists(spark):
     inputs, expected = src.stage_lists(stages)
     assert sorted((r.position, r.artifact_id) for r in inputs.collect()) == [(0, "a"), (1, "b")]
     assert [(r.collection, r.record_id) for r in expected.collect()] == [("bins", "b:1")]
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("x\ty\n1\t2\n")
+    (tmp_path / "b.tsv").write_text("y\tx\tz\n10\t20\t30\n")
+    rows = src.read_table(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], required=["x", "y"])
+    assert sorted((r.x, r.y, r.z) for r in rows.collect()) == [("1", "2", ""), ("20", "10", "30")]
+    with pytest.raises(ValueError, match="missing columns y"):
+        (tmp_path / "c.tsv").write_text("x\n1\n")
+        src.read_table(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "c.tsv")], required=["x", "y"])
+
+
+def test_bundle_refuses_unknown_fields(spark, tmp_path):
+    schema = T.StructType().add("schema_version", "string").add("bins", T.ArrayType(T.StructType().add("bin_id", "string")))
+    good = tmp_path / "good.json"
+    good.write_text('{"schema_version": "1", "bins": [{"bin_id": "a"}]}')
+    assert src.collections(src.bundle(spark, str(good), schema))["bins"].first().bin_id == "a"
+    for text in ('{"schema_version": "1", "bins": [], "other": 1}', '{"schema_version": "1", "bins": [{"bin_id": "a"}, {"bin_id": "b", "x": {}}]}'):
+        (tmp_path / "bad.json").write_text(text)
+        with pytest.raises(ValueError, match="unknown fields: (other|x)"):
+            src.bundle(spark, str(tmp_path / "bad.json"), schema)
