@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text
 from tessella.operators import collect, keys, measures, parse, routing
-from tessella.plans import catalog, report
+from tessella.plans import catalog, native_tables, report
 from tessella.plans.domain import BINS, CONTIGS, bins, contigs, routing_inputs, table
 from tessella.sources.scratch import stable
 
@@ -216,8 +216,8 @@ def bins_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- report tables
 
-QUERIES |= catalog.QUERIES
-ORACLE_SQL |= catalog.ORACLE_SQL
+QUERIES |= catalog.QUERIES | native_tables.QUERIES
+ORACLE_SQL |= catalog.ORACLE_SQL | native_tables.ORACLE_SQL
 
 
 # ---------------------------------------------------------------- keys
