@@ -274,13 +274,34 @@ def _places(piece: pa.RecordBatch, text: np.ndarray, start: np.ndarray) -> np.nd
     return (tags[text] << 32) | start
 
 
+#: Beside the number of passages: a smaller key has the same stretch, whatever the other tasks hold.
+GONE = 128
+
+
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows h, c, key, at of every stretch.
+
+    Of equal stretches in one piece of the table, those of larger keys are
+    sure to go. They need not meet their group: they are marked and dealt by
+    their own place, so that a passage that very many documents share sends
+    its group few rows from each task.
+    """
     for batch in batches:
         for piece in pieces(batch, "text"):
             data, offsets = flat(piece.column(1))
             text, first, count, group, content = stretches(data, offsets)
-            keys = piece.column(0).to_numpy(zero_copy_only=False)
-            yield pa.record_batch([pa.array(group.view(np.int64)), pa.array(content.view(np.int64)), pa.array(keys[text].astype(np.int64)), pa.array((_places(piece, text, first - offsets[text]) << 8) | count)], names=["h", "c", "key", "at"])
+            key = piece.column(0).to_numpy(zero_copy_only=False)[text].astype(np.int64)
+            at = (_places(piece, text, first - offsets[text]) << 8) | count
+            h, c = group.view(np.int64), content.view(np.int64)
+            order = np.argsort(c, kind="stable")
+            run = np.append(True, (c[order][1:] != c[order][:-1]) | (h[order][1:] != h[order][:-1])) if len(order) else np.zeros(0, bool)
+            starts = np.flatnonzero(run)
+            if len(starts) < len(order):
+                least = np.minimum.reduceat(key[order], starts)
+                gone = order[key[order] > np.repeat(least, np.diff(np.append(starts, len(order))))]
+                at[gone] |= GONE
+                h[gone] = mix(key[gone].view(np.uint64) ^ mix(at[gone].view(np.uint64))).view(np.int64)
+            yield pa.record_batch([pa.array(h), pa.array(c), pa.array(key), pa.array(at)], names=["h", "c", "key", "at"])
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,6 +312,11 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several = False
     for batch in batches:
         h, c, key, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        sure = at & GONE != 0
+        if sure.any():
+            start = at[sure] >> 8
+            yield pa.record_batch([pa.nulls(len(start), pa.int64()), pa.array(key[sure]), pa.array(start), pa.array((start & LOW) + (at[sure] & (GONE - 1)) + LENGTH - 1)], names=["h", "key", "a", "b"])
+            h, c, key, at = (x[~sure] for x in (h, c, key, at))
         n = len(h)
         if not n:
             continue
