@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import materialize
+from tessella.llm.shared import free_name, materialize
 
 WINDOW = 10
 SHINGLE = 3
@@ -111,9 +111,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns."""
-    tagged = docs.withColumn("__row", F.xxhash64(docs[text]))
-    source = tagged.select(F.col(key).alias("key"), F.col("__row").alias("row"), words(F.col(text)).alias("w"))
+    own = free_name(docs, "__row")
+    tagged = docs.withColumn(own, F.xxhash64(docs[text]))
+    source = tagged.select(F.col(key).alias("key"), F.col(own).alias("row"), words(F.col(text)).alias("w"))
     found = hits(source, windows(benchmark, item, item_text))
     hit = materialize(found.where("start is not null").select("key", "row").distinct())
     # an equal hash of the text beside the key tells rows that share a key apart
-    return tagged.join(hit, F.col(key).eqNullSafe(hit["key"]) & (F.col("__row") == hit["row"]), "left_anti").select(*docs.columns)
+    return tagged.join(hit, tagged[key].eqNullSafe(hit["key"]) & (tagged[own] == hit["row"]), "left_anti").select(*docs.columns)

@@ -3,9 +3,11 @@
 Every occurrence of a common word is a spot. The spot and the chain of the
 next content words form one signature; text between articles' boilerplate has
 few common words and so few spots. A fingerprint is the sorted set of a
-text's signatures. Its likeness to another is their Jaccard coefficient, for
-which the sizes alone give an upper bound: only texts of similar set length
-are ever compared signature by signature.
+text's signatures, and its likeness to another is their Jaccard coefficient.
+
+Near copies in a whole table (``near_duplicates``) are found by the exact set
+join: sets in bands of similar length, candidates by the signatures in their
+prefixes, overlaps bounded by bitmaps before any set is compared.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm import ngram_join
 from tessella.llm.shared import LOWER, PrefixHash, mix, pieces, word_bounds
 
 #: Common words of four languages, at which signatures start.
@@ -51,16 +54,23 @@ _ANCHOR_HASHES = np.unique(_hash_words(sorted(set(ANCHORS))))
 
 
 def signatures(texts: list[str | None]) -> list[np.ndarray]:
-    """The sorted set of 32-bit signatures of each text.
+    """The sorted set of 32-bit signatures of each text; see ``signature_sets``."""
+    raw = [(t or "").encode() for t in texts]
+    offsets = np.append(0, np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))))
+    low, bounds = signature_sets(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    low = low.astype(np.uint32)
+    return [low[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def signature_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted 32-bit signatures of flat texts in one array, and each text's offsets in it.
 
     Where a text has no spot yet, or none among its last SPARSE words, every
     word takes a spot's place. A text without signatures otherwise has its
     whole as one; null and empty texts have none. Equal texts have equal sets.
     """
-    raw = [(t or "").encode() for t in texts]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    offsets = np.append(0, np.cumsum(sizes))
-    data = LOWER[np.frombuffer(b"".join(raw), np.uint8)]
+    n, sizes, plain = len(offsets) - 1, np.diff(offsets), data
+    data = LOWER[data]
     starts, ends, owner = word_bounds(data, offsets, WORD)
     h = PrefixHash(data).of(starts, ends)
     at = np.searchsorted(_ANCHOR_HASHES, h)
@@ -88,16 +98,15 @@ def signatures(texts: list[str | None]) -> list[np.ndarray]:
             after = np.minimum(words + k, len(h) - 1)
             more = more * np.uint64(0x9E3779B97F4A7C15) + np.where((words + k < len(h)) & (owner[after] == owner[words]), h[after], np.uint64(0))
         sig, of = np.concatenate([sig, mix(more)]), np.concatenate([of, owner[words]])
-    whole = np.flatnonzero((sizes > 0) & (np.bincount(of, minlength=len(raw)) == 0))
+    whole = np.flatnonzero((sizes > 0) & (np.bincount(of, minlength=n) == 0))
     if len(whole):
-        rest = np.array([int.from_bytes(hashlib.blake2b(raw[k], digest_size=8).digest(), "big") for k in whole], np.uint64)
+        rest = np.array([int.from_bytes(hashlib.blake2b(plain[offsets[k] : offsets[k + 1]].tobytes(), digest_size=8).digest(), "big") for k in whole], np.uint64)
         sig, of = np.concatenate([sig, rest]), np.concatenate([of, whole])
     low = (sig >> np.uint64(32)).astype(np.uint32)
     key = (of.astype(np.uint64) << np.uint64(32)) | low
     key = np.unique(key)
-    bounds = np.searchsorted(key, np.arange(len(raw) + 1, dtype=np.uint64) << np.uint64(32)).tolist()
-    low = key.astype(np.uint32)
-    return [low[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    bounds = np.searchsorted(key, np.arange(n + 1, dtype=np.uint64) << np.uint64(32))
+    return key & np.uint64((1 << 32) - 1), bounds
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
@@ -133,6 +142,17 @@ def fingerprint(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return source.mapInArrow(run, f"key {kind}, fingerprint string").withColumnRenamed("key", key)
 
 
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", num: int = 75, den: int = 100) -> DataFrame:
+    """(key, n_signatures, component_id) of every row.
+
+    Rows are linked if num / den or more of their signatures are common to
+    both; component_id is the least key reachable by links. Null and empty
+    texts have no signatures and stand alone; null keys keep a null component.
+    Rows that share a key are one node; repeated rows give a row each.
+    """
+    return ngram_join.components(docs, text, key, num, den, signature_sets).withColumnRenamed("n_shingles", "n_signatures")
+
+
 def with_next(docs: DataFrame, parts: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(part, tail, key, text): the texts in parts of consecutive keys, in order.
 

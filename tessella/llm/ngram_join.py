@@ -26,15 +26,17 @@ Components come from joins; links and documents never meet on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import LOWER, NOT_SPACE, connected, flat, materialize, mix, pieces, release, word_bounds, word_hashes
+from tessella.llm.shared import LOWER, NOT_SPACE, connected, flat, free_name, materialize, mix, pieces, release, word_bounds, word_hashes
 
+#: From flat texts and their offsets to sorted sets of 64-bit numbers in one array, and each text's offsets in it.
+Sets = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 WORDS = 5
 SHORT_LIST = 12
 #: Shingles by which prefixes are longer than needed for one common shingle, in percent of the set.
@@ -105,7 +107,7 @@ def _digests(sets: np.ndarray, at: np.ndarray, seed: int = 0) -> np.ndarray:
     return mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)).view(np.int64)
 
 
-def _first_pass(seed: int):
+def _first_pass(seed: int, sets_of: Sets):
     """(kind, a, b, n, d, row): 0 with key, class, size, second digest and tag of a text;
     1 with a shingle and its count in a run."""
 
@@ -122,7 +124,7 @@ def _first_pass(seed: int):
 
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets, at = shingle_sets(*flat(piece.column(1)))
+                sets, at = sets_of(*flat(piece.column(1)))
                 n = np.diff(at)
                 yield pa.record_batch([pa.array(np.zeros(len(n), np.int32)), piece.column(0), pa.array(_digests(sets, at, seed)), pa.array(n.astype(np.int64)), pa.array(_digests(sets, at, ~seed & 0xFFFF)), piece.column(2)], names=names)
                 held.append(sets)
@@ -450,7 +452,7 @@ def _tiled(gathered: DataFrame, num: int, den: int) -> DataFrame:
     return one.union(own).union(up).union(down)
 
 
-def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key: bool) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key: bool, sets_of: Sets) -> tuple[DataFrame, DataFrame]:
     """(key, class, n, row) of every row, row a hash of its text; and (class, component_id, first)
     with the least key of the class's component and the least (key, row) of it.
 
@@ -461,7 +463,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
     scratch: list[str] = []
     source = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("row"))
     for seed in range(SEEDS):
-        first = materialize(source.mapInArrow(_first_pass(seed), "kind int, a long, b long, n long, d long, row long"))
+        first = materialize(source.mapInArrow(_first_pass(seed, sets_of), "kind int, a long, b long, n long, d long, row long"))
         rows = first.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("class"), "n", "d", "row")
         # two sets with one number differ in the second digest; then other numbers are drawn
         if not rows.groupBy("class").agg((F.min("d") != F.max("d")).alias("clash")).where("clash").limit(1).count():
@@ -488,7 +490,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
         seen = _Seen()
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets, at = shingle_sets(*flat(piece.column(0)))
+                sets, at = sets_of(*flat(piece.column(0)))
                 classes, n = _digests(sets, at, seed), np.diff(at)
                 new = [k for k, c in enumerate(classes.tolist()) if n[k] and seen.add(c)]
                 lead = _prefixes(sets, at, heavy.value, num, den)
@@ -523,7 +525,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
         seen = _Seen()
         for batch in batches:
             for piece in pieces(batch, "text"):
-                sets, at = shingle_sets(*flat(piece.column(0)))
+                sets, at = sets_of(*flat(piece.column(0)))
                 classes = _digests(sets, at, seed)
                 hit = _in_filter(maybe.value, classes)
                 some = [k for k, c in enumerate(classes.tolist()) if hit[k] and at[k + 1] > at[k] and seen.add(c)]
@@ -592,16 +594,17 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
     return rows.select("key", "class", "n", "row"), final
 
 
-def components(docs: DataFrame, text: str = "text", key: str = "doc_id", num: int = 75, den: int = 100) -> DataFrame:
+def components(docs: DataFrame, text: str = "text", key: str = "doc_id", num: int = 75, den: int = 100, sets_of: Sets = shingle_sets) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
-    Rows are linked if num / den or more of their shingles are common to both;
+    ``sets_of`` turns flat texts into their sets; shingles of words unless it
+    is given. Rows are linked if num / den or more of their shingles are common to both;
     component_id is the least key reachable by links. A text without words has
     no shingles and stands alone. Keys are whole numbers; rows that share a
     key are one node. Rows with a null key keep a null component and link to
     nothing. Repeated rows give a row each.
     """
-    rows, final = _classes(docs, text, key, num, den, same_key=True)
+    rows, final = _classes(docs, text, key, num, den, True, sets_of)
     out = rows.join(final.select("class", "component_id").hint("shuffle_merge"), "class", "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "key")).otherwise(F.col("key"))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), own).alias("component_id"))
@@ -614,16 +617,17 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", nu
     differ in text are judged by their texts: both stay unless these are
     linked. Of rows with one key and one text, one stays.
     """
-    rows, final = _classes(docs, text, key, num, den, same_key=False)
+    rows, final = _classes(docs, text, key, num, den, False, shingle_sets)
     found = rows.where("n > 0 and key is not null").join(final.select("class", "first"), "class")
     gone = found.where(~F.struct("key", "row").eqNullSafe(F.col("first"))).select(F.col("key").alias("__gone"), F.col("row").alias("__row")).distinct()
     kept = docs.join(gone, (docs[key].cast("long") == gone["__gone"]) & (F.xxhash64(docs[text]) == gone["__row"]), "left_anti")
     twice = docs.where(docs[key].isNotNull()).groupBy(docs[key]).agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
     if not twice:
         return kept
-    tagged = kept.withColumn("__row", F.xxhash64(kept[text]))
-    one = tagged.where(F.col(key).isNotNull()).dropDuplicates([key, "__row"])
-    return one.unionByName(tagged.where(F.col(key).isNull())).drop("__row")
+    own = free_name(docs, "__row")
+    tagged = kept.withColumn(own, F.xxhash64(kept[text]))
+    one = tagged.where(F.col(key).isNotNull()).dropDuplicates([key, own])
+    return one.unionByName(tagged.where(F.col(key).isNull())).drop(own)
 
 
 def _slots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -68,6 +68,14 @@ def release(spark: SparkSession, paths: list[str]) -> None:
     paths.clear()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

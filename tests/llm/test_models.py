@@ -136,5 +136,59 @@ def test_edited_texts_and_neighbours(spark, parts):
         edited = t[: len(t) - cut] + ordered[(i + 1) % len(ordered)][1][:cut]
         assert got[k].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[k].n_chars == len(t)
         assert got[k].fingerprint == fp.as_text(fp.signatures([t])[0])
+        # likenesses by plain sets, read back from the fingerprints
+        of = lambda s: {s[j : j + 8] for j in range(0, len(s), 8)}
+        for near, other in ((got[k].near_edited, got[k].edited_fingerprint), (got[k].near_next, got[ordered[(i + 1) % len(ordered)][0]].fingerprint)):
+            a, b = of(got[k].fingerprint), of(other)
+            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        assert got[k].edited_fingerprint == fp.as_text(fp.signatures([edited])[0])
     assert got[0].fingerprint == got[1004].fingerprint and got[1001].fingerprint == ""
     assert fp.compare_edits(docs.limit(0)).count() == 0
+
+
+def plain_signatures(text):
+    """Signatures by their definition, word by word, as tuples."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode())
+    anchors = {a.encode() for a in fp.ANCHORS}
+    out, behind = set(), None
+    for i, w in enumerate(words):
+        if w in anchors:
+            behind = i
+            chain = [x for x in words[i + 1 :] if x not in anchors][: fp.CHAIN]
+            if len(chain) == fp.CHAIN:
+                out.add(("spot", w, *chain))
+        elif behind is None or i - behind > fp.SPARSE:
+            out.add(("word", *(words[i + k] if i + k < len(words) else b"" for k in range(fp.CHAIN + 1))))
+    return out or ({("whole", text)} if text else set())
+
+
+def test_signatures_follow_their_definition():
+    draw = random.Random(3)
+    texts = [None, "", "!!", "The", "the river"] + [" ".join(draw.choice(EN + DE) for _ in range(draw.randint(1, 40))) for _ in range(60)]
+    assert [len(s) for s in fp.signatures(texts)] == [len(plain_signatures(t)) for t in texts]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    draw = random.Random(4)
+    rows = [(0, None), (1, ""), (2, "!!"), (3, "!!")]
+    for _ in range(6):
+        base = [draw.choice(EN + DE) + str(draw.randint(0, 9)) * draw.randint(0, 1) for _ in range(60)]
+        for _ in range(8):
+            words = list(base)
+            for _ in range(draw.randint(0, 6)):
+                words[draw.randrange(60)] = draw.choice(EN)
+            rows.append((len(rows), " ".join(words)))
+    sets = {k: plain_signatures(t) for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        return k if root[k] == k else find(root[k])
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "'x' as class").repartition(3)
+    got = {r.doc_id: (r.n_signatures, r.component_id) for r in fp.near_duplicates(docs).collect()}
+    assert got == {k: (len(s), find(k)) for k, s in sets.items()}
+    assert fp.near_duplicates(docs.limit(0)).count() == 0

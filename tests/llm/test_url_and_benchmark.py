@@ -33,14 +33,14 @@ def test_contamination_equals_brute_force(spark, monkeypatch):
                     hit.update(range(k, k + len(win)))
                     items |= ids
         want.append((d, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
-    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as start", "2 as n", "'a' as key")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as start", "2 as n", "'a' as key", "7 as __row")
     items = spark.createDataFrame(benchmark, "item_id long, text string")
     got = [tuple(r) for r in decontaminate.contamination(frame, items).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert not any(r.contaminated for r in decontaminate.contamination(frame, items.limit(0)).collect())
     assert decontaminate.contamination(frame.limit(0), items).count() == 0
     clean = decontaminate.clean(frame, items)
-    assert clean.columns == frame.columns
+    assert clean.columns == frame.columns and {r["__row"] for r in clean.collect()} == {7}
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(w[0]) for w in want if not w[-1])
 
 
