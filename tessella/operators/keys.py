@@ -34,7 +34,7 @@ def dangling_targets(rows: DataFrame, kinds: dict[str, tuple[DataFrame, str]], s
 
 def conflicts(rows: DataFrame, keys: list[str], value: str, label: Column) -> DataFrame:
     """Groups with more than one value, and their sorted labels."""
-    found = rows.groupBy(*keys).agg(F.countDistinct(value).alias("values"), F.array_join(F.array_sort(F.collect_set(label)), ",").alias("assertions"))
+    found = rows.groupBy(*keys).agg(F.size(F.collect_set(value)).alias("values"), F.array_join(F.array_sort(F.collect_set(label)), ",").alias("assertions"))
     return found.where(F.col("values") > 1)
 
 

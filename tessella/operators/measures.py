@@ -32,8 +32,16 @@ def gc_fraction(contigs: DataFrame, keys: list[str], gc: str = "gc_bp", length:
 
 
 def assembly_summary(assemblies: DataFrame, contigs: DataFrame, keys: list[str]) -> DataFrame:
-    """Totals and N50 of every assembly; one without contigs has zero counts and no N50."""
-    return assemblies.join(totals(contigs, keys), keys, "left").join(n50(contigs, keys), keys, "left").na.fill(0, ["contig_count", "assembly_length_bp"])
+    """Totals and N50 of every assembly; one without contigs has zero counts and no N50.
+
+    All come from the counts of equal lengths, so contigs are read and aggregated once.
+    """
+    by_length = contigs.groupBy(*keys, "length_bp").agg(F.count("*").alias("n"), F.sum("length_bp").cast("long").alias("bp"))
+    w = Window.partitionBy(*keys)
+    run = by_length.withColumn("upto", F.sum("bp").over(w.orderBy(F.desc("length_bp")).rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("bp").over(w))
+    half = F.when(F.col("upto") >= F.expr("(total + 1) div 2"), F.col("length_bp"))
+    whole = run.groupBy(*keys).agg(F.sum("n").alias("contig_count"), F.sum("bp").alias("assembly_length_bp"), F.max("length_bp").cast("long").alias("longest_bp"), F.max(half).cast("long").alias("n50_bp"))
+    return assemblies.join(whole, keys, "left").na.fill(0, ["contig_count", "assembly_length_bp"])
 
 
 def conserved_reads(raw: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessella.operators import collect
 from tessella.plans import report
 
 RUN = {"sample_id": "'s1'", "run_id": "'r1'"}
@@ -89,3 +91,23 @@ _add("record_counts", report.record_counts, " UNION ALL ".join(f"SELECT '{n}' AS
 _add("read_outcomes_top30", report.read_outcomes, f"{_views('read_stats')} SELECT sample_id, run_id, CAST(sum(retained_reads) AS BIGINT) AS retained_reads, CAST(sum(rejected_reads) AS BIGINT) AS rejected_reads, CAST(sum(retained_reads + rejected_reads) AS BIGINT) AS total FROM read_stats_v GROUP BY ALL ORDER BY total DESC, sample_id, run_id LIMIT 30")
 _add("assembly_bp_top30", report.assembly_lengths, f"{_views('assemblies')} SELECT sample_id, run_id, CAST(sum(assembly_length_bp) AS BIGINT) AS assembly_length_bp FROM assemblies_v GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 30")
 _add("report_bins_per_class", report.bins_per_class, f"{_views('bins')} SELECT candidate_class, count(*) AS bins FROM bins_v GROUP BY candidate_class")
+
+# ---------------------------------------------------------------- stage results
+
+_add(
+    "expected_result_keys", lambda t: collect.expected_keys({n: t[n] for n in ("genes", "qc", "taxonomy")}).withColumn("expected_result_keys", F.array_join("expected_result_keys", "|")),
+    f"{_views('genes', 'qc', 'taxonomy')}, k AS (SELECT sample_id, run_id, stage_id, 'genes:' || gene_id AS key FROM genes_v UNION SELECT sample_id, run_id, stage_id, 'qc:' || record_id FROM qc_v UNION SELECT sample_id, run_id, stage_id, 'taxonomy:' || record_id FROM taxonomy_v) SELECT sample_id, run_id, stage_id, string_agg(key, '|' ORDER BY key) AS expected_result_keys FROM k GROUP BY ALL",
+)
+_SET = ["st1", "st2", "checkv", "routing"]
+_add(
+    "skipped_stages", lambda t: collect.skipped_stages(t["stages"].sparkSession, t["stages"], _SET, "not asked for"),
+    f"{_views('stages')} SELECT 's1' AS sample_id, 'r1' AS run_id, n AS stage_id, 'skipped' AS status, 'not asked for' AS status_reason FROM (SELECT unnest({_SET}) AS n) WHERE n NOT IN (SELECT stage_id FROM stages_v)",
+)
+_add(
+    "bins_with_routes", lambda t: collect.with_routes(t["bins"], t["phenotypes"].groupBy("sample_id", "run_id", "bin_id").agg(F.max("raw_class").alias("candidate_class"))),
+    f"{_views('bins', 'phenotypes')}, d AS (SELECT bin_id, max(raw_class) AS routed FROM phenotypes_v GROUP BY bin_id) SELECT sample_id, run_id, bin_id, assembly_id, CASE WHEN candidate_class = 'chaff' OR routed IS NULL THEN candidate_class ELSE routed END AS candidate_class FROM bins_v LEFT JOIN d USING (bin_id)",
+)
+_add(
+    "child_cover", lambda t: collect.child_cover(t["genes"].where("bin_id is not null"), t["phenotypes"].where("is_applicable"), t["bins"]),
+    f"{_views('bins', 'genes', 'phenotypes')}, c AS (SELECT DISTINCT bin_id, true AS c FROM genes_v WHERE bin_id IS NOT NULL), p AS (SELECT DISTINCT bin_id, true AS p FROM phenotypes_v WHERE is_applicable), b AS (SELECT DISTINCT bin_id, true AS b FROM bins_v), j AS (SELECT bin_id, coalesce(c, false) AS c, coalesce(p, false) AS p, coalesce(b, false) AS b FROM c FULL JOIN p USING (bin_id) FULL JOIN b USING (bin_id)) SELECT * FROM (SELECT bin_id, CASE WHEN c AND p THEN 'completed and pending' WHEN b AND NOT c AND NOT p THEN 'neither' WHEN NOT b THEN 'unknown' END AS detail FROM j) WHERE detail IS NOT NULL",
+)

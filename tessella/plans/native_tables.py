@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.operators import native
+from tessella.operators import collect, native
 
 BIN = "concat('b', p_partkey)"
 LINEAGE = "concat('d__Bacteria;p__', p_brand, CASE WHEN p_size % 2 = 0 THEN concat('; c__', p_size, ';o__') ELSE ';;g__x' END)"
@@ -27,6 +27,8 @@ CELLS: dict[str, dict[str, str]] = {
     "genomad": {"seq_name": "CASE WHEN p_size % 2 = 0 THEN concat('c', p_partkey, '|provirus_', p_size, '_', p_size + 9) ELSE concat('c', p_partkey) END", "length": "CASE WHEN p_size % 2 = 0 THEN '10' ELSE '1000' END", "topology": "CASE WHEN p_size % 2 = 0 THEN 'Provirus' ELSE 'Linear' END", "coordinates": "CASE WHEN p_size % 2 = 0 THEN concat(p_size, '-', p_size + 9) ELSE 'NA' END", "n_genes": "'4'", "genetic_code": "'11'", "virus_score": "concat('0.', p_size + 10)", "fdr": "'NA'", "n_hallmarks": "'1'", "marker_enrichment": "'1.5'", "taxonomy": "CASE WHEN p_size % 3 = 0 THEN 'Unclassified' ELSE concat('Viruses;R;', p_brand) END"},
     "contigs": {"contig_id": "concat('c', p_partkey)", "length_bp": "CAST(1000 AS BIGINT)"},
     "checkv": {"contig_id": "concat('v', p_partkey)", "contig_length": "'500'", "provirus": "CASE WHEN p_size % 2 = 0 THEN 'Yes' ELSE 'No' END", "proviral_length": "CASE WHEN p_size % 2 = 0 THEN '400' ELSE 'NA' END", "gene_count": "'9'", "viral_genes": "'5'", "host_genes": "concat('', p_size % 6)", "checkv_quality": "'Low'", "miuvig_quality": "'Genome-fragment'", "completeness": "CASE WHEN p_size % 3 = 0 THEN 'NA' ELSE concat(p_size, '.0') END", "completeness_method": "CASE WHEN p_size % 3 = 0 THEN 'NA' ELSE 'AAI' END", "contamination": "CASE WHEN p_size % 4 = 0 THEN '' ELSE concat('', p_size % 9) END", "kmer_freq": "'1.0'"},
+    "eggnog": {"#query": "concat('g', p_partkey)", "Description": "CASE WHEN p_size % 4 = 0 THEN '-' ELSE p_type END", "evalue": "CASE WHEN p_size % 5 = 0 THEN '-' ELSE '0.25' END", "score": "concat(p_size, '.5')", "eggNOG_OGs": "concat('O', p_size, '@1|root,O', p_size, '@2|x')", "GOs": "concat('GO:000000', p_size % 10, ',GO:000000', p_size % 10)", "EC": "CASE WHEN p_size % 3 = 0 THEN '-' ELSE concat('1.1.1.', p_size, ',2.-.-.-') END", "KEGG_ko": "concat('ko:K0000', p_size % 10)"},
+    "interpro": {"protein": "concat('g', p_partkey)", "analysis": "'Pfam'", "signature": "concat('PF', p_size)", "signature_name": "p_type", "start": "concat('', p_size)", "stop": "concat('', p_size + 9)", "score": "CASE WHEN p_size % 4 = 0 THEN '-' ELSE concat(p_size, '.5') END", "entry": "CASE WHEN p_size % 3 = 0 THEN '-' ELSE concat('IPR00000', p_size % 10) END", "entry_name": "p_brand"},
     "viruses": {"target": "concat('v', p_partkey)", "record_id": "concat('r', p_partkey)"},
 }
 
@@ -83,3 +85,17 @@ _add("native_ssu", lambda t: native.ssu(t("ssu")).rows["ssu"], "SELECT 'ssuextra
 _add("native_ssu_problems", lambda t: native.ssu(t("ssu")).problems, "SELECT 'n' || p_partkey AS target, 'length disagrees with coordinates' AS detail FROM part WHERE p_size % 17 = 0")
 _add("native_genomad", lambda t: native.genomad(t("genomad"), t("contigs")).rows["viruses"], "SELECT CASE WHEN p_size % 2 = 0 THEN 'c' || p_partkey || '|provirus_' || p_size || '_' || (p_size + 9) ELSE 'c' || p_partkey END AS target, 'genomad:virus:c' || p_partkey || CASE WHEN p_size % 2 = 0 THEN ':' || p_size || '-' || (p_size + 9) ELSE '' END AS record_id, 'c' || p_partkey AS contig_id, CAST(CASE WHEN p_size % 2 = 0 THEN p_size ELSE 1 END AS BIGINT) AS start, CAST(CASE WHEN p_size % 2 = 0 THEN p_size + 9 ELSE 1000 END AS BIGINT) AS \"end\", 'unknown' AS strand, CAST('0.' || (p_size + 10) AS DOUBLE) AS score, CASE WHEN p_size % 3 = 0 THEN 'Unclassified' ELSE 'Viruses;R;' || p_brand END AS viral_taxon FROM part")
 _add("native_checkv", lambda t: native.checkv(t("checkv"), t("viruses")).rows["qc"], "SELECT 'checkv:qc:r' || p_partkey AS record_id, 'virus' AS target_kind, 'r' || p_partkey AS target_id, CASE WHEN p_size % 3 <> 0 THEN p_size::DOUBLE END AS completeness_percent, CASE WHEN p_size % 3 <> 0 THEN 'AAI' END AS completeness_basis, CASE WHEN p_size % 4 <> 0 THEN (p_size % 9)::DOUBLE END AS contamination_percent, CASE WHEN p_size % 4 <> 0 THEN 'CheckV predicted host-region fraction' END AS contamination_basis FROM part WHERE p_size % 3 <> 0 OR p_size % 4 <> 0")
+
+# ---------------------------------------------------------------- annotations
+
+_add(
+    "native_eggnog", lambda t: collect.annotation_rows(collect.eggnog(t("eggnog"), "5.0"))[0].select("annotation_id", "gene_id", "database_name", "database_version", "accession", "function_name", "score", "evalue"),
+    """WITH x AS (SELECT DISTINCT 'g' || p_partkey AS gene_id, 'eggNOG' AS database_name, unnest(['O' || p_size || '@1|root', 'O' || p_size || '@2|x']) AS accession, CASE WHEN p_size % 4 <> 0 THEN p_type END AS function_name, p_size FROM part
+UNION SELECT 'g' || p_partkey, 'GO', 'GO:000000' || (p_size % 10), NULL, p_size FROM part UNION SELECT 'g' || p_partkey, 'EC', unnest(['1.1.1.' || p_size, '2.-.-.-']), NULL, p_size FROM part WHERE p_size % 3 <> 0 UNION SELECT 'g' || p_partkey, 'KEGG', 'ko:K0000' || (p_size % 10), NULL, p_size FROM part)
+SELECT 'ann:eggnog:' || sha256(concat_ws(chr(31), 'eggnog', gene_id, database_name, accession, 'None', 'None')) AS annotation_id, gene_id, database_name, '5.0' AS database_version, accession, function_name, p_size + 0.5::DOUBLE AS score, CASE WHEN p_size % 5 <> 0 THEN 0.25::DOUBLE END AS evalue FROM x""",
+)
+_add(
+    "native_interpro", lambda t: collect.annotation_rows(collect.interpro(t("interpro"), "9"))[0].select("annotation_id", "gene_id", "database_name", "database_version", "accession", "function_name", "start", "end", "score"),
+    """WITH x AS (SELECT 'g' || p_partkey AS gene_id, 'InterProScan:Pfam' AS database_name, 'PF' || p_size AS accession, p_type AS function_name, CASE WHEN p_size % 4 <> 0 THEN p_size + 0.5::DOUBLE END AS score, p_size FROM part UNION ALL SELECT 'g' || p_partkey, 'InterPro', 'IPR00000' || (p_size % 10), p_brand, NULL, p_size FROM part WHERE p_size % 3 <> 0)
+SELECT 'ann:interproscan:' || sha256(concat_ws(chr(31), 'interproscan', gene_id, database_name, accession, p_size, p_size + 9)) AS annotation_id, gene_id, database_name, '9' AS database_version, accession, function_name, CAST(p_size AS BIGINT) AS start, CAST(p_size + 9 AS BIGINT) AS "end", score FROM x""",
+)
