@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame
 def stable(df: DataFrame) -> DataFrame:
     """Write and reread ``df``, so that values drawn once stay the same in every later use."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints/tessella"
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "/tmp/checkpoints/tessella"  # one machine: tests
     path = f"{folder.rstrip('/')}/tessella-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
