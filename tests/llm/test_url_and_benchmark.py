@@ -154,4 +154,4 @@ def test_held_out_labels_are_found_again(spark, whole_branches):
     r = judged.selectExpr("count_if(blocked_here and truth = 'block' and known) as hit", "count_if(blocked_here and truth = 'allow') as wrong", "count_if(truth = 'block' and known) as all").first()
     assert r["all"] > (0 if whole_branches else 20)
     assert r.hit / (r.hit + r.wrong) >= 0.9
-    assert r.hit / r["all"] >= 0.7
+    assert r.hit / r["all"] >= (0.7 if whole_branches else 0.9)
