@@ -19,8 +19,10 @@ the stretches that share one, from whatever documents, form a group.
 * A group that a shard could not hold is split exactly: its passages are dealt
   by their own hash, and the smallest key of each is taken map-side.
 
-Induction is written for arrays: the suffixes of one bucket are worked off
-together, round by round, in the order in which a scan would meet them.
+Where buckets are large, induction is written for arrays: the suffixes of one
+bucket are worked off together, round by round, in the order in which a scan
+would meet them. The names of substrings have an alphabet that grows with the
+shard, so their few suffixes a bucket are induced one by one, at every level.
 """
 
 from __future__ import annotations
@@ -117,23 +119,44 @@ def _induce(t: np.ndarray, smaller: np.ndarray, seeds: dict[int, np.ndarray], sy
     return np.concatenate(out[::-1])
 
 
-def _rank_names(names: np.ndarray) -> np.ndarray:
-    """The suffix array of a string of names, by doubling the ranked length."""
-    n, rank, step = len(names), names.astype(np.int64), 1
-    while True:
-        follow = np.zeros(n, np.int64)
-        follow[: n - step] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + 2) + follow
-        order = np.argsort(key)
-        new = np.zeros(n, np.int64)
-        new[order] = np.cumsum(np.append(0, key[order][1:] != key[order][:-1]))
-        if new.max(initial=0) == n - 1 or step >= n:
-            return order
-        rank, step = new, step * 2
-
-
-#: Alphabets up to this size are sorted by induction, bucket by bucket.
-BUCKETS = 1024
+def _scan(t: np.ndarray, smaller: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """What ``_induce`` gives, suffix by suffix: for buckets of few suffixes each, whatever the alphabet."""
+    count = np.bincount(t)
+    ends = np.cumsum(count)
+    # seeds stand in their order at the ends of their buckets
+    order = order[np.argsort(t[order], kind="stable")]
+    c = t[order]
+    held = np.bincount(c, minlength=len(count))
+    at = ends[c] - held[c] + np.arange(len(c)) - (np.cumsum(held) - held)[c]
+    start = np.full(len(t), -1, np.int64)
+    start[at] = order
+    sa, heads, tails = start.tolist(), (ends - count).tolist(), ends.tolist()
+    # the bucket of the suffix before, if it is larger (smaller) than its successor; an empty place reads the last entry
+    before = np.append(np.append(-1, t[:-1]), -1)
+    up = np.append(False, smaller)
+    up[0] = True
+    into = np.where(np.append(up[:-1], True), -1, before).tolist()
+    # a scan meets what it has put further on
+    for p in sa:
+        c = into[p]
+        if c >= 0:
+            at_head = heads[c]
+            sa[at_head] = p - 1
+            heads[c] = at_head + 1
+    sa[0] = len(t) - 1
+    into = np.where(np.append(up[:-1], False), before, -1)
+    into[0] = -1
+    into = into.tolist()
+    for p in reversed(sa):
+        c = into[p]
+        if c >= 0:
+            tails[c] = at_tail = tails[c] - 1
+            sa[at_tail] = p - 1
+    return np.array(sa, np.int64)
+
+
+#: Suffixes for each symbol from which whole buckets are worked off together.
+BUCKET = 256
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
@@ -141,20 +164,20 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     if len(t) < 2:
         return np.arange(len(t))
     symbols = np.flatnonzero(np.bincount(t)).tolist()
-    if len(symbols) > BUCKETS:
-        return _rank_names(t)
     smaller = _types(t)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    if len(lms) < 2:
-        return _induce(t, smaller, {int(t[p]): np.array([p]) for p in lms}, symbols)
 
-    def seeds(order: np.ndarray) -> dict[int, np.ndarray]:
+    def induced(order: np.ndarray) -> np.ndarray:
+        if len(symbols) * BUCKET > len(t) or symbols[-1] >= 1 << 16:
+            return _scan(t, smaller, order)
         queues: dict[int, list[np.ndarray]] = {}
         _hand_out(queues, t[order], order)
-        return {c: np.concatenate(q) for c, q in queues.items()}
+        return _induce(t, smaller, {c: np.concatenate(q) for c, q in queues.items()}, symbols)
 
+    if len(lms) < 2:
+        return induced(lms)
     # any order of the seeds sorts the substrings between them
-    rough = _induce(t, smaller, seeds(lms), symbols)
+    rough = induced(lms)
     leading = np.zeros(len(t), bool)
     leading[lms] = True
     rough = rough[leading[rough]]
@@ -162,24 +185,20 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     number = np.zeros(len(t), np.int64)
     number[lms] = np.arange(len(lms))
     ends = np.minimum(np.append(lms[1:], len(t) - 1) + 1, len(t))
-    words = t.astype(np.uint64) + np.uint64(1)
-    up = np.multiply.accumulate(np.append(np.uint64(1), np.full(len(t), 0x9E3779B97F4A7C15, np.uint64)))
-    sums = np.append(np.uint64(0), np.cumsum(mix(words) * up[:-1], dtype=np.uint64))
     k = number[rough]
     size = ends[k] - rough
-    # hashes of neighbours compare equal after both are moved to the later start
-    a, b = rough[:-1], rough[1:]
-    ha, hb = sums[a + size[:-1]] - sums[a], sums[b + size[1:]] - sums[b]
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    shift = up[high - low]
-    equal = (size[:-1] == size[1:]) & (np.where(a < b, ha * shift, ha) == np.where(a < b, hb, hb * shift))
+    # neighbours of one length are compared symbol by symbol
+    equal = size[:-1] == size[1:]
+    pair = np.flatnonzero(equal)
+    if len(pair):
+        begin = np.cumsum(size[pair]) - size[pair]
+        step = np.arange(int(size[pair].sum())) - np.repeat(begin, size[pair])
+        same = t[np.repeat(rough[pair], size[pair]) + step] == t[np.repeat(rough[pair + 1], size[pair]) + step]
+        equal[pair] = np.logical_and.reduceat(same, begin)
     names = np.zeros(len(lms), np.int64)
     names[k] = np.append(0, np.cumsum(~equal))
-    if names.max() == len(lms) - 1:
-        order = np.argsort(names)
-    else:
-        order = suffix_array(names)
-    return _induce(t, smaller, seeds(lms[order]), symbols)
+    order = np.argsort(names) if names.max() == len(lms) - 1 else suffix_array(names)
+    return induced(lms[order])
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:

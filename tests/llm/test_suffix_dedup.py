@@ -34,6 +34,27 @@ def test_suffix_array(letters):
         assert sd.suffix_array(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+@pytest.mark.parametrize("bucket", [1, sd.BUCKET])
+def test_induced_at_every_level(monkeypatch, bucket):
+    """Copies with changes give several levels of names; both forms of induction give the one order."""
+    monkeypatch.setattr(sd, "BUCKET", bucket)
+    draw = random.Random(8)
+    base = [draw.randint(1, 90) for _ in range(400)]
+    t = []
+    for _ in range(20):
+        part = list(base)
+        for _ in range(5):
+            part[draw.randrange(len(part))] = draw.randint(1, 70_000)
+        t += part
+    t.append(0)
+    assert sd.suffix_array(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+def test_long_runs():
+    t = [3] * 3000 + [2] * 50 + [3] * 2999 + [0]
+    assert sd.suffix_array(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
 def test_earliest():
     draw = random.Random(4)
     for _ in range(100):
