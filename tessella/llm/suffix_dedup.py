@@ -19,10 +19,11 @@ the stretches that share one, from whatever documents, form a group.
 * A group that a shard could not hold is split exactly: its passages are dealt
   by their own hash, and the smallest key of each is taken map-side.
 
-Where buckets are large, induction is written for arrays: the suffixes of one
+Induction is written for arrays. Where buckets are large, the suffixes of one
 bucket are worked off together, round by round, in the order in which a scan
 would meet them. The names of substrings have an alphabet that grows with the
-shard, so their few suffixes a bucket are induced one by one, at every level.
+shard, so that buckets hold few suffixes: there all buckets are induced together, by
+the runs that lead from a suffix to the one that it is induced from.
 """
 
 from __future__ import annotations
@@ -119,43 +120,73 @@ def _induce(t: np.ndarray, smaller: np.ndarray, seeds: dict[int, np.ndarray], sy
     return np.concatenate(out[::-1])
 
 
-def _scan(t: np.ndarray, smaller: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """What ``_induce`` gives, suffix by suffix: for buckets of few suffixes each, whatever the alphabet."""
-    count = np.bincount(t)
-    ends = np.cumsum(count)
-    # seeds stand in their order at the ends of their buckets
-    order = order[np.argsort(t[order], kind="stable")]
-    c = t[order]
-    held = np.bincount(c, minlength=len(count))
-    at = ends[c] - held[c] + np.arange(len(c)) - (np.cumsum(held) - held)[c]
-    start = np.full(len(t), -1, np.int64)
-    start[at] = order
-    sa, heads, tails = start.tolist(), (ends - count).tolist(), ends.tolist()
-    # the bucket of the suffix before, if it is larger (smaller) than its successor; an empty place reads the last entry
-    before = np.append(np.append(-1, t[:-1]), -1)
-    up = np.append(False, smaller)
-    up[0] = True
-    into = np.where(np.append(up[:-1], True), -1, before).tolist()
-    # a scan meets what it has put further on
-    for p in sa:
-        c = into[p]
-        if c >= 0:
-            at_head = heads[c]
-            sa[at_head] = p - 1
-            heads[c] = at_head + 1
-    sa[0] = len(t) - 1
-    into = np.where(np.append(up[:-1], False), before, -1)
-    into[0] = -1
-    into = into.tolist()
-    for p in reversed(sa):
-        c = into[p]
-        if c >= 0:
-            tails[c] = at_tail = tails[c] - 1
-            sa[at_tail] = p - 1
-    return np.array(sa, np.int64)
-
-
-#: Suffixes for each symbol from which whole buckets are worked off together.
+def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the rank of each number among the different ones, the order of the numbers)."""
+    order = np.argsort(key)
+    inorder = key[order]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.cumsum(np.append(0, inorder[1:] != inorder[:-1]))
+    return out, order
+
+
+def _runs_of_kind(t: np.ndarray, smaller: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rank of each suffix's run, place of the run's end).
+
+    A run is the symbols from a suffix to the next one of the other kind. At
+    one symbol, larger suffixes come before smaller ones, so of two runs that
+    agree until one ends, the kinds there decide.
+    """
+    n = len(t)
+    place = np.arange(n)
+    last = np.where(np.append(smaller[1:] != smaller[:-1], True), place, n)
+    end = np.minimum(np.minimum.accumulate(last[::-1])[::-1] + 1, n - 1)
+    code = 2 * t + smaller
+    width = int(code.max() + 1).bit_length()
+    have = max(1, 62 // width)
+    padded = np.append(code + 1, np.zeros(have, np.int64))
+    left = end - place
+    key = code + 1
+    for k in range(1, have):
+        key = (key << width) + np.where(k <= left, padded[k : k + n], 0)
+    rank, order = _dense(key)
+    longest = int(left.max()) + 1
+    while have < longest:
+        # runs longer than the symbols ranked so far go on with the rank of their rest, or with their end's symbol
+        floor = np.zeros(int(code.max()) + 1, np.int64)
+        floor[code[order[::-1]]] = rank[order[::-1]]
+        there = np.minimum(place + have, n - 1)
+        rest = np.where(have < left, rank[there] + 1, np.where(have == left, floor[code[there]] + 1, 0))
+        rank, order = _dense(rank * (n + 1) + rest)
+        have *= 2
+    return rank, end
+
+
+def _by_runs(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The suffix array where buckets hold few suffixes each: all buckets are induced together.
+
+    A larger suffix stands by its run down to a leftmost-smaller one and that
+    one's place; a smaller suffix by its run up to a larger one and that one's.
+    """
+    n = len(t)
+    rank, end = _runs_of_kind(t, smaller)
+    names, order = _dense(rank[lms] * (n + 1) + rank[end[lms]])
+    if names.max() < len(lms) - 1:
+        order = suffix_array(names)
+    place = np.zeros(n, np.int64)
+    place[lms[order]] = np.arange(len(lms))
+    large, small = np.flatnonzero(~smaller), np.flatnonzero(smaller)
+    large = large[np.argsort(rank[large] * (n + 1) + place[end[large]])]
+    place[large] = np.arange(len(large))
+    small = small[np.argsort(rank[small] * (n + 1) + place[end[small]])]
+    # in a bucket, larger suffixes come first
+    counts = np.bincount(2 * t + smaller)
+    kinds = np.repeat(np.arange(len(counts)) & 1, counts)
+    out = np.empty(n, np.int64)
+    out[kinds == 0], out[kinds == 1] = large, small
+    return out
+
+
+#: Suffixes for each symbol from which buckets are worked off one after the other.
 BUCKET = 256
 
 
@@ -166,18 +197,18 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     symbols = np.flatnonzero(np.bincount(t)).tolist()
     smaller = _types(t)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    if len(symbols) * BUCKET > len(t) or symbols[-1] >= 1 << 16:
+        return _by_runs(t, smaller, lms)
 
-    def induced(order: np.ndarray) -> np.ndarray:
-        if len(symbols) * BUCKET > len(t) or symbols[-1] >= 1 << 16:
-            return _scan(t, smaller, order)
+    def seeds(order: np.ndarray) -> dict[int, np.ndarray]:
         queues: dict[int, list[np.ndarray]] = {}
         _hand_out(queues, t[order], order)
-        return _induce(t, smaller, {c: np.concatenate(q) for c, q in queues.items()}, symbols)
+        return {c: np.concatenate(q) for c, q in queues.items()}
 
     if len(lms) < 2:
-        return induced(lms)
+        return _induce(t, smaller, seeds(lms), symbols)
     # any order of the seeds sorts the substrings between them
-    rough = induced(lms)
+    rough = _induce(t, smaller, seeds(lms), symbols)
     leading = np.zeros(len(t), bool)
     leading[lms] = True
     rough = rough[leading[rough]]
@@ -198,7 +229,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     names = np.zeros(len(lms), np.int64)
     names[k] = np.append(0, np.cumsum(~equal))
     order = np.argsort(names) if names.max() == len(lms) - 1 else suffix_array(names)
-    return induced(lms[order])
+    return _induce(t, smaller, seeds(lms[order]), symbols)
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
