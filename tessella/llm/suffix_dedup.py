@@ -260,24 +260,33 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(out, most)
 
 
-def earliest(parts: list[bytes], keys: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each passage start of each part, the smallest key among parts that hold the passage."""
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    t = np.full(int(sizes.sum()) + len(parts) + 1, 1, np.int64)
+def least_keys(data: np.ndarray, sizes: np.ndarray, keys: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, place in it, smallest key among parts that hold the passage) of every passage of parts that follow each other in ``data``."""
+    t = np.full(len(data) + len(sizes) + 1, 1, np.int64)
     starts = np.append(0, np.cumsum(sizes + 1))[:-1]
-    owner = np.repeat(np.arange(len(parts)), sizes)
-    place = np.arange(int(sizes.sum())) + owner
-    t[place] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 2
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(data)) + owner
+    t[place] = data.astype(np.int64) + 2
     t[-1] = 0
     sa = suffix_array(t)
     shared = permuted_prefixes(t, sa, length)[sa]
-    of = np.full(len(t), len(parts), np.int64)
-    of[place] = owner
+    own = np.full(len(t), np.iinfo(np.int64).max)
+    own[place] = keys[owner]
     first = np.flatnonzero(shared < length)
-    least = np.minimum.reduceat(np.append(keys, np.iinfo(np.int64).max)[of[sa]], first)
-    answer = np.zeros(len(t), np.int64)
+    least = np.minimum.reduceat(own[sa], first)
+    answer = np.empty(len(t), np.int64)
     answer[sa] = np.repeat(least, np.diff(np.append(first, len(t))))
-    return [answer[s : s + max(0, n - length + 1)] for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+    count = np.maximum(0, sizes - length + 1)
+    part = np.repeat(np.arange(len(sizes)), count)
+    off = np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+    return part, off, answer[starts[part] + off]
+
+
+def earliest(parts: list[bytes], keys: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For each passage start of each part, the smallest key among parts that hold the passage."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    part, _, least = least_keys(np.frombuffer(b"".join(parts), np.uint8), sizes, keys, length)
+    return np.split(least, np.cumsum(np.bincount(part, minlength=len(parts)))[:-1]) if parts else []
 
 
 # ---------------------------------------------------------------- stretches
@@ -306,7 +315,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: in
     if have < w:
         least = np.minimum(least[: len(least) - (w - have)], least[w - have :])
     at = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    text = np.searchsorted(offsets, np.arange(len(at)), side="right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(at)]
     whole = np.flatnonzero(np.arange(len(at)) + length <= offsets[text + 1])
     if not len(whole):
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
@@ -440,29 +449,41 @@ def _passes(words: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by h: h, c, least, s. Gives h, c, from, count of each run of a stretch's passages that smaller keys hold."""
 
-    def work(rows: list[tuple]) -> pa.RecordBatch:
-        keys = np.array([r[2] for r in rows], np.int64)
-        found = earliest([r[3] for r in rows], keys)
-        out: list[list[np.ndarray]] = []
-        for (h, c, own, _), least in zip(rows, found, strict=True):
-            cut = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-            count = np.diff(np.append(cut, len(least)))
-            # later rows of the same content are gone as a whole
-            earlier = least[cut] < own
-            cut, count = cut[earlier], count[earlier]
-            out.append([np.full(len(cut), h), np.full(len(cut), c), cut, count])
-        columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)]
-        return pa.record_batch(columns, names=["h", "c", "off", "count"])
-
-    held: list[tuple] = []
-    size = 0
+    def work(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        h, c, own = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(3))
+        sizes = np.concatenate([pc.binary_length(r.column(3)).to_numpy(zero_copy_only=False) for r in rows]).astype(np.int64)
+        data = np.frombuffer(b"".join(x for r in rows for x in r.column(3).to_pylist()), np.uint8)
+        part, off, least = least_keys(data, sizes, own)
+        cut = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (part[1:] != part[:-1]))) if len(part) else part
+        count = np.diff(np.append(cut, len(part)))
+        # later rows of the same content are gone as a whole
+        earlier = least[cut] < own[part[cut]]
+        cut, count = cut[earlier], count[earlier]
+        return pa.record_batch([pa.array(x) for x in (h[part[cut]], c[part[cut]], off[cut], count)], names=["h", "c", "off", "count"])
+
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            if size > SHARD_BYTES and row[0] != held[-1][0]:
-                yield work(held)
-                held, size = [], 0
-            held.append(row)
-            size += len(row[3])
+        if not batch.num_rows:
+            continue
+        h = batch.column(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.binary_length(batch.column(3)).to_numpy(zero_copy_only=False).astype(np.int64))
+        new = np.flatnonzero(np.append(h[0] != last, h[1:] != h[:-1]))
+        low = done = 0
+        while True:
+            # the first group that begins when the shard is full
+            full = np.searchsorted(np.append(0, ends), SHARD_BYTES - size + done, side="right")
+            k = np.searchsorted(new, max(int(full), low + (not held)))
+            if k == len(new):
+                break
+            high = int(new[k])
+            held.append(batch.slice(low, high - low))
+            yield work(held)
+            held, size, low = [], 0, high
+            done = int(ends[high - 1]) if high else 0
+        held.append(batch.slice(low))
+        size += int(ends[-1]) - done
+        last = h[-1]
     if held:
         yield work(held)
 

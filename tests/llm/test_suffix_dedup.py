@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessella.llm import suffix_dedup as sd
@@ -68,6 +69,27 @@ def test_earliest():
             assert got.tolist() == [least[p[i : i + 4]] for i in range(max(0, len(p) - 3))]
 
 
+@pytest.mark.parametrize("limit", [1, 300, sd.SHARD_BYTES])
+def test_shards_hold_whole_groups(monkeypatch, limit):
+    """Wherever batches and shards end, a group is decided as one."""
+    monkeypatch.setattr(sd, "SHARD_BYTES", limit)
+    draw = random.Random(6)
+    rows = []
+    for h in range(30):
+        base = bytes(draw.choice(b"abc") for _ in range(80))
+        for c in range(draw.randint(1, 6)):
+            begin = draw.randint(0, 10)
+            rows.append((h, c, draw.randint(0, 9), base[begin : begin + draw.randint(50, 70)]))
+    want = []
+    for h, c, own, s in rows:
+        hold = [min(k for g, _, k, x in rows if g == h and s[i : i + 50] in x) for i in range(len(s) - 49)]
+        want += [(h, c, i) for i, k in enumerate(hold) if k < own]
+    for step in (1, 7, 1000):
+        batches = [pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows[i : i + step]), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["h", "c", "least", "s"]) for i in range(0, len(rows), step)]
+        got = [(h, c, off + i) for b in sd._shards(iter(batches)) for h, c, off, n in zip(*(x.to_pylist() for x in b.columns)) for i in range(n)]
+        assert sorted(got) == sorted(want) and want
+
+
 def test_against_brute_force(spark):
     draw = random.Random(3)
     word = lambda: "".join(draw.choice("abcdé") for _ in range(draw.randint(1, 5)))
