@@ -149,6 +149,10 @@ class PrefixHash:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
+    def windows(self, size: int) -> np.ndarray:
+        """Of every range of that many bytes."""
+        return mix((self.sums[size:] - self.sums[:-size]) * self.down[: len(self.sums) - size])
+
 
 #: Words of more bytes are hashed one by one with a cryptographic digest.
 LONG_WORD = 64

@@ -303,11 +303,10 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: in
     if n < length:
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     hashes = PrefixHash(data)
-    starts = np.arange(n - k + 1)
-    h = hashes.of(starts, starts + k)
+    h = hashes.windows(k)
     bits = np.uint64(max(20, int(n).bit_length()))
     # the place in the low bits lets the leftmost of equal k-mers win
-    key = (h >> bits << bits) | starts.astype(np.uint64)
+    key = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
     least, have = key, 1
     while have * 2 <= w:
         least = np.minimum(least[:-have], least[have:])
@@ -316,7 +315,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: in
         least = np.minimum(least[: len(least) - (w - have)], least[w - have :])
     at = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(at)]
-    whole = np.flatnonzero(np.arange(len(at)) + length <= offsets[text + 1])
+    whole = np.flatnonzero(np.arange(length, length + len(at)) <= np.repeat(offsets[1:], np.diff(offsets))[: len(at)])
     if not len(whole):
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     at, text = at[whole], text[whole]
@@ -556,10 +555,13 @@ def removals(docs: DataFrame) -> DataFrame:
                     told.clear()
                 raw = data.tobytes()
                 s = []
-                for k in at.tolist():
-                    pair = (int(h[k]), int(c[k]))
-                    s.append(None if pair in told else raw[first[k] : first[k] + count[k] + LENGTH - 1])
-                    told.add(pair)
+                begin, end = first[at], first[at] + count[at] + LENGTH - 1
+                for pair, a, b in zip(zip(h[at].tolist(), c[at].tolist(), strict=True), begin.tolist(), end.tolist(), strict=True):
+                    if pair in told:
+                        s.append(None)
+                    else:
+                        told.add(pair)
+                        s.append(raw[a:b])
                 keys = piece.column(0).to_numpy(zero_copy_only=False)
                 yield pa.record_batch([pa.array(h[at]), pa.array(c[at]), pa.array(keys[text[at]].astype(np.int64)), pa.array(_places(piece, text, first - offsets[text])[at]), pa.array(s, pa.binary())], names=["h", "c", "key", "start", "s"])
 
