@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
-from tessella.operators import collect, keys, measures, parse, routing
+from tessella.operators import collect, cover, keys, measures, parse, routing
 from tessella.plans import catalog, native_tables, report, violations
 from tessella.plans.domain import BINS, CONTIGS, bins, contigs, routing_inputs, table
 from tessella.sources.scratch import stable
@@ -418,3 +418,41 @@ def expected_keys_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     position = F.row_number().over(Window.partitionBy("stage").orderBy(F.asc_nulls_last("k"))) - 1
     rows = keyed.select("stage", position.alias("position"), F.split("k", ":", 2).alias("part"))
     return rows.select("stage", F.col("part")[0].alias("collection"), F.col("part")[1].alias("record_id"), "position")
+
+
+# ---------------------------------------------------------------- outputs that must agree
+
+
+def _bins_told(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Parts as bins: those of a size divisible by five are left out, every other one of them without a warning."""
+    p = table(spark, sf_dir, "part").select(F.concat(F.lit("b"), "p_partkey").alias("bin_id"), F.col("p_size").cast("long").alias("size"))
+    lines = p.where("size % 10 = 0").select(F.concat(F.lit("[01] WARNING: Skipping protein file /p/"), "bin_id", F.lit(".faa as it was empty.")).alias("value"))
+    return cover.omitted_bins(p, p.where("size % 5 <> 0"), p.selectExpr("bin_id", "size % 5 AS size_bytes"), cover.warned_bins(lines))
+
+
+@query("SELECT 'b' || p_partkey AS bin_id FROM part WHERE p_size % 5 = 0")
+def omitted_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bins_told(spark, sf_dir)[0]
+
+
+@query("SELECT 'b' || p_partkey AS bin_id, 'evidence disagrees' AS detail FROM part WHERE p_size % 10 = 5")
+def omitted_bin_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bins_told(spark, sf_dir)[1]
+
+
+@query("SELECT c_name || ' ' || c_custkey AS name, o_orderpriority AS sequence FROM orders JOIN customer ON o_custkey = c_custkey")
+def masked_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "orders").select(F.concat(F.lit("s"), "o_custkey").alias("name"), F.col("o_orderpriority").alias("sequence"))
+    aliases = table(spark, sf_dir, "customer").select(F.concat(F.lit("s"), "c_custkey").alias("alias"), F.concat_ws(" ", "c_name", "c_custkey").alias("original"))
+    return cover.restored(records, aliases)[0]
+
+
+@query("SELECT l_suppkey AS contig_id, l_orderkey AS read, l_linenumber AS mate, s_nationkey AS bin_id FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 0")
+def bin_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alignments = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("contig_id"), F.col("l_orderkey").alias("read"), F.col("l_linenumber").alias("mate"))
+    return cover.of_bins(alignments, table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("contig_id"), F.col("s_nationkey").alias("bin_id")))
+
+
+@query("SELECT l_partkey AS contig_id, CASE WHEN count(DISTINCT l_suppkey) > 1 THEN 'several bins' ELSE 'repeated' END AS detail FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def contig_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover.contig_problems(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("contig_id"), F.col("l_suppkey").alias("bin_id")))
