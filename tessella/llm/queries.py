@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, decontaminate, fingerprints, langid, ngram_join, pii, quality, suffix_dedup, token_counts, url_filter
+from tessella.llm import alignment, bpe, decontaminate, fingerprints, hard_negatives, langid, ngram_join, pii, quality, simhash, suffix_dedup, token_counts, url_filter
 from tessella.llm.shared import materialize
 
 
@@ -83,6 +83,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(_documents(spark, sf_dir))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.groups(_documents(spark, sf_dir), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vector are moved on by one, as mislabelled rows are what the search must bear."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), moved)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -94,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_simhash": op11_simhash,
+    "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -125,4 +143,11 @@ h AS (SELECT doc_id, k, n, item FROM p JOIN b USING (n, win)),
 c AS (SELECT doc_id, count(DISTINCT x) AS hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS x FROM h) GROUP BY doc_id),
 m AS (SELECT doc_id, count(DISTINCT item) AS items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM h GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, hit IS NOT NULL AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op13_hard_negatives": """WITH v AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+ FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_sum(list_transform(list_zip(a.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10""",
 }
