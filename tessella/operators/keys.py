@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,11 +46,35 @@ def deduplicated(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame
     return rows.dropDuplicates(keys), clash
 
 
-def overlaps(intervals: DataFrame, parent: list[str], start: str = "start", end: str = "end", name: str = "name") -> DataFrame:
-    """Intervals that begin before the one ahead of them ends, both ends counted in."""
-    w = Window.partitionBy(*parent).orderBy(start, end, name)
-    seen = intervals.withColumn("before", F.lag(name).over(w)).withColumn("before_end", F.lag(end).over(w))
-    return seen.where(F.col("before_end") >= F.col(start)).select(*parent, name, "before")
+#: Positions of a block: what lies in one block of a contig is one task's, however long the contig.
+WIDTH = 1 << 20
+
+
+def in_blocks(rows: DataFrame, by: list[str], place: str, width: int, state: Column, over: Callable[[Column], Column]) -> DataFrame:
+    """Adds ``_block``, where ``place`` lies, and ``_carry``, what the earlier blocks of the group hand on.
+
+    ``state`` sums a block up and aggregates map-side; ``over`` takes the
+    states of earlier blocks, in their order. Only these meet in one window.
+    """
+    blocks = rows.withColumn("_block", F.floor(F.col(place) / F.lit(width)))
+    earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    states = blocks.groupBy(*by, "_block").agg(state.alias("_state")).withColumn("_carry", over(F.col("_state")).over(earlier)).drop("_state")
+    keys = [*by, "_block"]
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys])
+    return blocks.alias("l").join(states.alias("r"), same).select("l.*", "r._carry")
+
+
+def overlaps(intervals: DataFrame, parent: list[str], start: str = "start", end: str = "end", name: str = "name", width: int = WIDTH) -> DataFrame:
+    """Intervals that begin before the one ahead of them ends, both ends counted in.
+
+    The one ahead is looked up within a block of positions; the first of a
+    block has the last of the blocks before it ahead.
+    """
+    last = F.max_by(F.struct(F.col(name).alias("name"), F.col(end).alias("end")), F.struct(start, end, name))
+    seen = in_blocks(intervals, parent, start, width, last, lambda s: F.last(s, ignorenulls=True))
+    w = Window.partitionBy(*parent, "_block").orderBy(start, end, name)
+    ahead = F.coalesce(F.lag(F.struct(F.col(name).alias("name"), F.col(end).alias("end"))).over(w), F.col("_carry"))
+    return seen.withColumn("_ahead", ahead).where(F.col("_ahead.end") >= F.col(start)).select(*parent, name, F.col("_ahead.name").alias("before"))
 
 
 def not_contained(inner: DataFrame, outer: DataFrame, on: str) -> DataFrame:
@@ -73,7 +98,9 @@ def edge_phase(cds: DataFrame, transcript: str = "transcript") -> DataFrame:
     return both.select(transcript, "strand", F.when(F.col("strand") == "-", F.col("last")).otherwise(F.col("first")).alias("phase"))
 
 
-def carried(rows: DataFrame, value: str, order: str, partition: list[str]) -> DataFrame:
-    """``value`` filled from the last row before that has one."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(value, F.last(value, ignorenulls=True).over(w))
+def carried(rows: DataFrame, value: str, order: str, partition: list[str], width: int = WIDTH) -> DataFrame:
+    """``value`` filled from the last row before that has one; ``order`` is a whole number."""
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    seen = in_blocks(rows, partition, order, width, last, lambda s: F.last(s, ignorenulls=True))
+    w = Window.partitionBy(*partition, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return seen.withColumn(value, F.coalesce(F.last(value, ignorenulls=True).over(w), F.col("_carry"))).select(*rows.columns)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.operators.keys import WIDTH, in_blocks
+
 
 def n50(contigs: DataFrame, keys: list[str], length: str = "length_bp") -> DataFrame:
     """The length at which contigs of that length or more hold half of the total.
@@ -120,13 +122,32 @@ def sequence_digest(sequences: DataFrame, keys: list[str], name: str = "name", s
     return rows.mapInArrow(run, schema)
 
 
-def covered_bases(alignments: DataFrame, keys: list[str]) -> DataFrame:
-    """numreads, aligned bases and covered bases from one-based inclusive start and end."""
-    w = Window.partitionBy(*keys).orderBy("start", "end")
-    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.greatest(F.lit(0), F.col("end") - F.greatest(F.coalesce(before, F.lit(0)), F.col("start") - 1))
-    step = alignments.withColumn("fresh", fresh)
-    return step.groupBy(*keys).agg(F.count("*").alias("numreads"), F.sum(F.expr("end - start + 1")).cast("long").alias("aligned_bp"), F.sum("fresh").cast("long").alias("covbases"))
+def covered_bases(alignments: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """numreads, aligned bases and covered bases from one-based inclusive start and end.
+
+    Alignments with one start are counted map-side and only the longest goes
+    on, so a block of ``width`` positions has that many rows at most. Each
+    block takes the furthest end of the blocks before it.
+    """
+    at = alignments.groupBy(*keys, "start").agg(F.count("*").alias("n"), F.sum(F.expr("end - start + 1")).alias("bp"), F.max("end").alias("end"))
+    seen = in_blocks(at, keys, "start", width, F.max("end"), F.max)
+    before = F.max("end").over(Window.partitionBy(*keys, "_block").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    reached = F.greatest(F.coalesce(before, F.lit(0)), F.coalesce("_carry", F.lit(0)), F.col("start") - 1)
+    step = seen.withColumn("fresh", F.greatest(F.lit(0), F.col("end") - reached))
+    return step.groupBy(*keys).agg(F.sum("n").alias("numreads"), F.sum("bp").cast("long").alias("aligned_bp"), F.sum("fresh").cast("long").alias("covbases"))
+
+
+def contig_coverage(contigs: DataFrame, alignments: DataFrame, blocks: DataFrame, keys: list[str], length: str = "length_bp", width: int = WIDTH) -> DataFrame:
+    """numreads, covbases, coverage in percent and meandepth of every contig, zero where nothing aligns.
+
+    ``alignments`` has a row for each record, ``blocks`` one for each stretch
+    of aligned bases (start, end). Records of contigs that are not listed do
+    not count.
+    """
+    reads = alignments.groupBy(*keys).agg(F.count("*").alias("numreads"))
+    bases = covered_bases(blocks, keys, width).drop("numreads")
+    both = contigs.select(*keys, length).join(reads, keys, "left").join(bases, keys, "left").na.fill(0, ["numreads", "aligned_bp", "covbases"])
+    return both.select(*keys, length, "numreads", "covbases", (100 * F.col("covbases") / F.col(length)).alias("coverage"), (F.col("aligned_bp") / F.col(length)).alias("meandepth"))
 
 
 def top_totals(rows: DataFrame, keys: list[str], total: str, n: int = 30) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.sources import splits
+
 
 def read_table(spark: SparkSession, path: str | list[str], required: list[str] = [], hash_header: bool = False) -> DataFrame:  # noqa: B006
     """All columns as text; empty cells are empty text, never null.
@@ -84,28 +86,36 @@ def contig_lengths(records: DataFrame) -> DataFrame:
 GFF = ["contig", "source", "feature", "start", "end", "score", "strand", "phase", "attributes"]
 
 
-def gff(spark: SparkSession, path: str) -> DataFrame:
+def gff(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Features with typed coordinates, an attribute map and the model code of their section.
 
     Lines after ``##FASTA`` do not count. The code in a ``# Model Data:``
-    comment holds for the features below it, file by file.
+    comment holds for the features below it, file by file; a comment without
+    one leaves them without a code. A file is read in splits, which hand on
+    the code and the mark. A row without nine columns, with an end before its
+    start, or with a coordinate, strand or phase of no known form raises when
+    it is read.
     """
-    from pyspark.sql import Window
-
     from tessella.functions.text import attributes
 
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("line", "text"))
-    lines = lines.withColumn("text", F.regexp_replace("text", r"\r$", ""))
-    w = Window.partitionBy("path").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    code = F.when(F.col("text").startswith("# Model Data:"), F.regexp_extract("text", r"transl_table=([0-9]+)", 1).try_cast("int"))
-    lines = lines.withColumn("over", F.max(F.col("text") == "##FASTA").over(w)).withColumn("transl_table", F.last(code, ignorenulls=True).over(w))
-    rows = lines.where(~F.col("over") & ~F.col("text").startswith("#") & (F.trim("text") != "")).withColumn("c", F.split("text", "\t"))
-    rows = rows.withColumn("c", F.when(F.size("c") == 9, F.col("c")).otherwise(F.raise_error(F.concat(F.lit("not nine columns: "), F.col("text")))))
-    rows = rows.select("path", "line", "transl_table", *[F.col("c")[i].alias(n) for i, n in enumerate(GFF)])
-    place = lambda c: F.when(F.col(c).rlike(r"\A[1-9][0-9]*\z"), F.col(c).cast("long")).otherwise(F.raise_error(F.concat(F.lit("bad coordinate: "), F.col(c))))
+    text, model = F.col("text"), F.regexp_replace("text", "^# Model Data: *", "")
+    code = F.when(text.startswith("# Model Data:"), F.regexp_extract(model, r"(?:^|;)transl_table=([0-9]+)(?:;|\s*$)", 1))
+    lines = splits.lines(spark, path).withColumns({"code": code, "over": F.when(text.startswith("##FASTA"), F.lit(True))})
+    lines = splits.placed(lines, ["code", "over"])[0].where("over is null")
+    rows = lines.where(~text.startswith("#") & (F.trim("text") != "")).withColumn("c", F.split("text", "\t"))
+    bad = lambda what: F.raise_error(F.concat(F.lit(f"{what} in line "), F.col("line") + 1, F.lit(" of "), F.col("path"), F.lit(": "), text))
+    rows = rows.withColumn("c", F.when(F.size("c") == 9, F.col("c")).otherwise(bad("not nine columns")))
+    rows = rows.select("path", "line", "text", F.nullif("code", F.lit("")).try_cast("int").alias("transl_table"), *[F.col("c")[i].alias(n) for i, n in enumerate(GFF)])
+    place = lambda c: F.when(F.col(c).rlike(r"\A[1-9][0-9]*\z"), F.col(c).cast("long")).otherwise(bad("bad coordinate"))
     strand = F.element_at(F.create_map(*[F.lit(x) for x in ("+", "+", "-", "-", ".", "unknown", "?", "unknown")]), F.col("strand"))
-    phase = F.when(F.col("phase").isin("0", "1", "2"), F.col("phase").cast("int"))
-    return rows.withColumns({"start": place("start"), "end": place("end"), "strand": strand, "phase": phase, "attributes": attributes(F.col("attributes"))})
+    phase = F.when(F.col("phase").isin("0", "1", "2"), F.col("phase").cast("int")).when(F.col("phase") != ".", bad("bad phase"))
+    rows = rows.withColumns({"start": place("start"), "end": place("end"), "strand": F.coalesce(strand, bad("bad strand")), "phase": phase, "attributes": attributes(F.col("attributes"))})
+    return rows.withColumn("end", F.when(F.col("end") >= F.col("start"), F.col("end")).otherwise(bad("end before start"))).drop("text")
+
+
+def feature_counts(features: DataFrame) -> DataFrame:
+    """(path, feature, n): how many rows of each kind a feature file holds."""
+    return features.groupBy("path", "feature").agg(F.count("*").alias("n"))
 
 
 def verified(files: DataFrame, receipts: DataFrame) -> DataFrame:

@@ -45,6 +45,43 @@ def test_gff(spark, tmp_path):
     assert rows["a+b+c"].transl_table == 11 and rows["a+b+c"].phase == 0 and rows["z"].transl_table == 4 and rows["z"].strand == "unknown" and len(rows) == 2
 
 
+GFF_LINE = "c{k}\ts\t{f}\t{a}\t{b}\t.\t+\t0\tID=f{k}\n"
+
+
+@pytest.mark.parametrize("size", ["20", "150", "128m"])
+def test_gff_hands_code_and_end_mark_from_split_to_split(spark, tmp_path, size):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    want, body, code = [], "##gff-version 3\n", None
+    for k in range(40):
+        if k % 9 == 4:
+            code = 11 + k
+            body += f"# Model Data: version=x;transl_table={code};y=1\n"
+        if k == 30:
+            code = None
+            body += "# Model Data: none\n"
+        body += "\n" if k % 7 == 0 else "# note\n" if k % 5 == 0 else ""
+        want.append((f"f{k}", body.count("\n"), code))
+        body += GFF_LINE.format(k=k, f="CDS", a=k + 1, b=k + 9)
+    (tmp_path / "a.gff").write_text(body + "##FASTA here\n>c\nno feature\n# Model Data: transl_table=5\n" + GFF_LINE.format(k=99, f="CDS", a=1, b=2))
+    (tmp_path / "b.gff").write_text(GFF_LINE.format(k=7, f="gene", a=1, b=2))
+    for k in old:
+        spark.conf.set(k, size)
+    rows = src.gff(spark, str(tmp_path))
+    got = sorted((r.path[-5], r.attributes["ID"], r.line, r.transl_table) for r in rows.collect())
+    counts = sorted((r.path[-5], r.feature, r.n) for r in src.feature_counts(rows).collect())
+    for k, v in old.items():
+        spark.conf.set(k, v)
+    assert got == sorted([("a", *w) for w in want] + [("b", "f7", 0, None)])
+    assert counts == [("a", "CDS", 40), ("b", "gene", 1)]
+
+
+@pytest.mark.parametrize(("line", "says"), [("c\ts\tCDS\t9\t1\t.\t+\t0\tID=a", "end before start in line 2"), ("c\ts\tCDS\t1\t9\t.\tx\t0\tID=a", "bad strand"), ("c\ts\tCDS\t1\t9\t.\t+\t3\tID=a", "bad phase"), ("c\ts\tCDS\t0\t9\t.\t+\t0\tID=a", "bad coordinate"), ("c\ts\tCDS", "not nine columns")])
+def test_broken_features_raise(spark, tmp_path, line, says):
+    (tmp_path / "a.gff").write_text(f"##gff-version 3\n{line}\n")
+    with pytest.raises(Exception, match=says):
+        src.gff(spark, str(tmp_path / "a.gff")).collect()
+
+
 def test_cells(spark):
     cells = ["", " NA ", "1_0", "1.0d", "0x1p3", "1e400", "nan", "-2.5", " 7 ", "12"]
     got = spark.createDataFrame([(c,) for c in cells], "c string").select(text.number(F.col("c")).alias("x"), text.whole(F.col("c")).alias("w"), text.is_bad_number(F.col("c"), least=0.0).alias("bad")).collect()
