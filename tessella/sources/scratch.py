@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Write and reread ``df``, so that values drawn once stay the same in every later use."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+def folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; a default of one machine only where Spark runs on one (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = "/tmp/checkpoints/tessella"  # one machine: tests
-    path = f"{folder.rstrip('/')}/tessella-{uuid.uuid4().hex}"
+        found = "/tmp/checkpoints/tessella"
+    return f"{found.rstrip('/')}/tessella-{uuid.uuid4().hex}"
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Write and reread ``df``, so that values drawn once stay the same in every later use."""
+    path = folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
