@@ -44,7 +44,6 @@ KMER = 20
 SHARD_BYTES = 1 << 20
 FILTER_BITS = (20, 28)
 REMEMBERED = 200_000
-LOW = (1 << 32) - 1
 #: Text whose passages are listed at once, with 40 bytes for each.
 PASSAGE_BYTES = 1 << 17
 #: Passages of a stretch: at most so many neighbours can share their least k-mer.
@@ -326,10 +325,13 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: in
     return text[first], begin, count, h[at[first]], hashes.of(begin, begin + count + length - 1) ^ mix(count.astype(np.uint64))
 
 
-def _places(piece: pa.RecordBatch, text: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Start within the text, with the row's tag above it."""
-    tags = piece.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-    return (tags[text] << 32) | start
+def _tags(piece: pa.RecordBatch, text: np.ndarray) -> list[np.ndarray]:
+    """The tag of the row of each text, if rows have one: a column of its own."""
+    return [piece.column(2).to_numpy(zero_copy_only=False)[text]] if piece.num_columns > 2 else []
+
+
+def _tagged(columns: list[str], tags: list) -> list[str]:
+    return [*columns, "tag"] if tags else columns
 
 
 #: Beside the number of passages: a smaller key has the same stretch, whatever the other tasks hold.
@@ -337,7 +339,7 @@ GONE = 128
 
 
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows h, c, key, at of every stretch.
+    """Rows h, c, key, at (and tag) of every stretch.
 
     Of equal stretches in one piece of the table, those of larger keys are
     sure to go. They need not meet their group: they are marked and dealt by
@@ -349,7 +351,8 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = flat(piece.column(1))
             text, first, count, group, content = stretches(data, offsets)
             key = piece.column(0).to_numpy(zero_copy_only=False)[text].astype(np.int64)
-            at = (_places(piece, text, first - offsets[text]) << 8) | count
+            at = ((first - offsets[text]) << 8) | count
+            tags = _tags(piece, text)
             h, c = group.view(np.int64), content.view(np.int64)
             order = np.argsort(c, kind="stable")
             run = np.append(True, (c[order][1:] != c[order][:-1]) | (h[order][1:] != h[order][:-1])) if len(order) else np.zeros(0, bool)
@@ -359,22 +362,23 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone = order[key[order] > np.repeat(least, np.diff(np.append(starts, len(order))))]
                 at[gone] |= GONE
                 h[gone] = mix(key[gone].view(np.uint64) ^ mix(at[gone].view(np.uint64))).view(np.int64)
-            yield pa.record_batch([pa.array(h), pa.array(c), pa.array(key), pa.array(at)], names=["h", "c", "key", "at"])
+            yield pa.record_batch([pa.array(x) for x in (h, c, key, at, *tags)], names=_tagged(["h", "c", "key", "at"], tags))
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by h, c, key, at. Gives removals (key, a, b), with a = tag and start, b = end, h null;
+    """Rows sorted by h, c, key, at. Gives removals (key, a, b, and the row's tag), from a to b, h null;
     and for groups with several contents (h, key = c, a = smallest key, b null)."""
     last_h = last_c = last_key = None
     first: tuple | None = None
     several = False
     for batch in batches:
-        h, c, key, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        h, c, key, at, *tags = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+        names = _tagged(["h", "key", "a", "b"], tags)
         sure = at & GONE != 0
         if sure.any():
             start = at[sure] >> 8
-            yield pa.record_batch([pa.nulls(len(start), pa.int64()), pa.array(key[sure]), pa.array(start), pa.array((start & LOW) + (at[sure] & (GONE - 1)) + LENGTH - 1)], names=["h", "key", "a", "b"])
-            h, c, key, at = (x[~sure] for x in (h, c, key, at))
+            yield pa.record_batch([pa.nulls(len(start), pa.int64()), *(pa.array(x) for x in (key[sure], start, start + (at[sure] & (GONE - 1)) + LENGTH - 1, *(t[sure] for t in tags)))], names=names)
+            h, c, key, at, *tags = (x[~sure] for x in (h, c, key, at, *tags))
         n = len(h)
         if not n:
             continue
@@ -390,7 +394,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             least[runs[0] :] = np.repeat(key[runs], sizes)
         gone = np.flatnonzero(key > least)
         start, count = at[gone] >> 8, at[gone] & 255
-        yield pa.record_batch([pa.nulls(len(gone), pa.int64()), pa.array(key[gone]), pa.array(start), pa.array((start & LOW) + count + LENGTH - 1)], names=["h", "key", "a", "b"])
+        yield pa.record_batch([pa.nulls(len(gone), pa.int64()), *(pa.array(x) for x in (key[gone], start, start + count + LENGTH - 1, *(t[gone] for t in tags)))], names=names)
         # groups with more than one run of contents
         h_of, c_of, k_of, is_new = h[runs], c[runs], key[runs], new_h[runs]
         if len(runs):
@@ -412,7 +416,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = (int(h_of[g]), int(c_of[g]), int(k_of[g]))
             more = np.array(rows, np.int64).reshape(-1, 3)
             hh, cc, kk = np.append(more[:, 0], hh), np.append(more[:, 1], cc), np.append(more[:, 2], kk)
-            yield pa.record_batch([pa.array(hh), pa.array(cc), pa.array(kk), pa.nulls(len(hh), pa.int64())], names=["h", "key", "a", "b"])
+            yield pa.record_batch([pa.array(hh), pa.array(cc), pa.array(kk), *[pa.nulls(len(hh), pa.int64())] * (1 + len(tags))], names=names)
         last_h, last_c, last_key = h[-1], c[-1], int(least[-1])
 
 
@@ -529,12 +533,14 @@ def split_runs(rows: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(key, tag, a, b): byte ranges to remove, unmerged. ``docs`` has key (long), text and tag."""
+    """(key, a, b, and tag): byte ranges to remove, unmerged. ``docs`` has key (long), text and, if keys repeat, a tag for each text."""
     scratch: list[str] = []
+    own = docs.columns[2:]
+    tag = "".join(f", {c} long" for c in own)
     source = docs.where("key is not null")
-    posted = source.mapInArrow(_post, "h long, c long, key long, at long")
-    swept = materialize(posted.repartition("h").sortWithinPartitions("h", "c", "key", "at").mapInArrow(_sweep, "h long, key long, a long, b long"))
-    whole = swept.where("h is null").select("key", "a", "b")
+    posted = source.mapInArrow(_post, f"h long, c long, key long, at long{tag}")
+    swept = materialize(posted.repartition("h").sortWithinPartitions("h", "c", "key", "at").mapInArrow(_sweep, f"h long, key long, a long, b long{tag}"))
+    whole = swept.where("h is null").select("key", "a", "b", *own)
     contents = swept.where("h is not null").select("h", F.col("key").alias("c"), F.col("a").alias("least"))
     sizes = materialize(contents.groupBy("h").agg(F.count("*").alias("contents")), scratch)
     # no content is longer than that
@@ -563,9 +569,10 @@ def removals(docs: DataFrame) -> DataFrame:
                         told.add(pair)
                         s.append(raw[a:b])
                 keys = piece.column(0).to_numpy(zero_copy_only=False)
-                yield pa.record_batch([pa.array(h[at]), pa.array(c[at]), pa.array(keys[text[at]].astype(np.int64)), pa.array(_places(piece, text, first - offsets[text])[at]), pa.array(s, pa.binary())], names=["h", "c", "key", "start", "s"])
+                tags = _tags(piece, text[at])
+                yield pa.record_batch([pa.array(h[at]), pa.array(c[at]), pa.array(keys[text[at]].astype(np.int64)), pa.array((first - offsets[text])[at]), pa.array(s, pa.binary()), *map(pa.array, tags)], names=_tagged(["h", "c", "key", "start", "s"], tags))
 
-    fetched = materialize(source.mapInArrow(fetch, "h long, c long, key long, start long, s binary"), scratch)
+    fetched = materialize(source.mapInArrow(fetch, f"h long, c long, key long, start long, s binary{tag}"), scratch)
     bytes_of = fetched.where("s is not null").groupBy("h", "c").agg(F.first("s").alias("s"))
     shard_rows = contents.join(bytes_of, ["h", "c"]).select("h", "c", "least", "s")
     several = large.limit(1).count() > 0
@@ -577,9 +584,9 @@ def removals(docs: DataFrame) -> DataFrame:
     runs = materialize(small.mapInArrow(_shards, "h long, c long, off long, count long"), scratch)
     if several:
         runs = runs.union(materialize(split_runs(shard_rows.where("large")), scratch))
-    edges = fetched.select("h", "c", "key", "start").join(runs, ["h", "c"])
-    edges = edges.select("key", (F.col("start") + F.col("off")).alias("a"), (F.col("start").bitwiseAND(LOW) + F.col("off") + F.col("count") + LENGTH - 1).alias("b"))
-    return whole.union(edges).select("key", F.shiftright("a", 32).alias("tag"), F.col("a").bitwiseAND(LOW).alias("a"), "b")
+    edges = fetched.select("h", "c", "key", "start", *own).join(runs, ["h", "c"])
+    edges = edges.select("key", (F.col("start") + F.col("off")).alias("a"), (F.col("start") + F.col("off") + F.col("count") + LENGTH - 1).alias("b"), *own)
+    return whole.union(edges)
 
 
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -591,10 +598,11 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text: b
     """
     source = docs.select(docs[key].cast("long").alias("key"), F.coalesce(docs[text], F.lit("")).alias("text"))
     twice = source.where("key is not null").groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").limit(1).count()
-    # where keys repeat, a hash of the text tells their rows apart
-    source = source.withColumn("tag", F.pmod(F.xxhash64("text"), F.lit(1 << 22)) if twice else F.lit(0).cast("long"))
-    spans = removals(source).groupBy("key", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    joined = source.join(spans, ["key", "tag"], "left")
+    # where keys repeat, a 64-bit hash of the text tells their rows apart; rows with one key and one text lose the same
+    row = ["key", "tag"] if twice else ["key"]
+    source = source.withColumn("tag", F.xxhash64("text")) if twice else source
+    spans = removals(source).groupBy(*row).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    joined = source.join(spans, row, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -130,3 +130,12 @@ def test_large_groups_are_split(spark, monkeypatch):
     got = sorted((tuple(r) for r in sd.dedup(docs).collect()), key=str)
     assert got == brute(rows)
     assert split and split[0] > 0 and all(x.count() for x in seen)
+
+
+def test_thousands_of_texts_under_one_key_lose_only_their_own_bytes(spark):
+    """9,000 different texts share a key; every third has a passage that a lesser key's text has."""
+    passage = "".join(random.Random(5).choice("abcdefghij") for _ in range(60))
+    rows = [(7, f"{k:06d} {'x' * (k % 5)}{passage if k % 3 == 0 else ''}") for k in range(9000)] + [(1, passage)]
+    got = sd.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sum(r.n_removed > 0 for r in got) == 3000 and {r.n_removed for r in got} == {0, 60}
+    assert len(got) == 9001
