@@ -1,8 +1,9 @@
 """Similarity join of documents on sets of word shingles, exact at a Jaccard threshold.
 
 1.  Every text becomes a sorted set of 64-bit shingle hashes. Texts with equal
-    sets form one class, known by two 64-bit digests; from here on, classes
-    stand for their documents.
+    sets form one class, known by a 64-bit digest, or by a second one where
+    different sets share the first; from here on, classes stand for their
+    documents.
 2.  Prefix filter: two similar sets share several of their first shingles in
     any fixed order; how many follows from the length of the prefix. Shingles
     that many documents hold come last in the order. Each class posts its
@@ -26,6 +27,7 @@ Components come from joins; links and documents never meet on the driver.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -50,8 +52,8 @@ LIST_ROWS = 1 << 16
 HOT_ROWS = 1 << 13
 #: Members that one part of a star compares with its hub.
 STAR = 256
-#: Draws of the numbers that stand for sets; a second one is needed only if two sets clash.
-SEEDS = 8
+#: Numbers that stand for several sets and are known to all tasks; among 10**11 sets some 300 are expected.
+CLASHES = 1 << 20
 TILE, TILE_SHINGLES = 4096, 4_000_000
 FILTER_BITS = 23
 #: Bits of a bitmap for each shingle: enough that hardly any differing shingle hides behind another's bit.
@@ -462,14 +464,29 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
     early: list[str] = []
     scratch: list[str] = []
     source = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("row"))
-    for seed in range(SEEDS):
+    for seed in itertools.count():
         first = materialize(source.mapInArrow(_first_pass(seed, sets_of), "kind int, a long, b long, n long, d long, row long"))
         rows = first.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("class"), "n", "d", "row")
-        # two sets with one number differ in the second digest; then other numbers are drawn
-        if not rows.groupBy("class").agg((F.min("d") != F.max("d")).alias("clash")).where("clash").limit(1).count():
+        shared_names = rows.groupBy("class").agg((F.min("d") != F.max("d")).alias("clash")).where("clash").select("class")
+        clashing = shared_names.limit(CLASHES + 1).toArrow().column(0).to_numpy()
+        if not len(clashing):
             break
-    else:
-        raise RuntimeError(f"sets clash under each of {SEEDS} seeds")
+        # sets with one number go by their second digest; other numbers are drawn only if that clashes as well
+        several = F.broadcast(spark.createDataFrame(pa.table({"class": clashing})).withColumn("several", F.lit(True)))
+        both = rows.join(several, "class", "left").withColumn("name", F.when(F.col("several"), F.col("d")).otherwise(F.col("class")))
+        twice = both.groupBy("name").agg(((F.min("d") != F.max("d")) | (F.min("class") != F.max("class"))).alias("clash")).where("clash").limit(1)
+        if len(clashing) <= CLASHES and not twice.count():
+            rows = both.select("key", F.col("name").alias("class"), "n", "d", "row")
+            break
+
+    def names(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The class of each set: its first digest, or its second where different sets share the first."""
+        classes = _digests(sets, at, seed)
+        hit = np.isin(classes, clashing)
+        if hit.any():
+            classes[hit] = _digests(sets, at, ~seed & 0xFFFF)[hit]
+        return classes
+
     total = rows.count()
     frequent = first.where("kind = 1").groupBy("b").agg(F.sum("n").alias("n")).where(F.col("n") >= max(50, COMMON * total)).toArrow()
     common, count = (frequent.column(i).to_numpy() for i in (0, 1))
@@ -491,7 +508,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets, at = sets_of(*flat(piece.column(0)))
-                classes, n = _digests(sets, at, seed), np.diff(at)
+                classes, n = names(sets, at), np.diff(at)
                 new = [k for k, c in enumerate(classes.tolist()) if n[k] and seen.add(c)]
                 lead = _prefixes(sets, at, heavy.value, num, den)
                 sizes = [len(lead[k]) for k in new]
@@ -526,7 +543,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets, at = sets_of(*flat(piece.column(0)))
-                classes = _digests(sets, at, seed)
+                classes = names(sets, at)
                 hit = _in_filter(maybe.value, classes)
                 some = [k for k, c in enumerate(classes.tolist()) if hit[k] and at[k + 1] > at[k] and seen.add(c)]
                 own = [sets[at[k] : at[k + 1]] for k in some]
