@@ -4,7 +4,8 @@ The symbols of many distinct words lie in one flat array. A round forms the
 key of every adjacent pair, finds its rank by binary search over the sorted
 keys of all merges, takes the lowest rank of each word and merges that pair
 wherever it stands in the word. Words without a mergeable pair leave the
-array. A task keeps the words that it has met in a cache of bounded size, so
+array. Very long words, few in any text, take the same merges from a queue. A
+task keeps the words that it has met in a cache of bounded size, so
 repeated words cost one lookup.
 
 The vocabulary file is a parameter; the driver reads it once and broadcasts
@@ -14,6 +15,7 @@ its tables, whose size is the vocabulary's.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -34,6 +36,8 @@ WORDS = regex.compile(
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
 LATIN_WORDS = re.compile(f" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 CACHE_WORDS = 600_000
+#: Words of more bytes are merged one by one, in time that hardly outgrows their length.
+LONG_WORD = 512
 
 
 def byte_letters() -> dict[str, int]:
@@ -72,6 +76,13 @@ class Vocabulary:
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
         self.left, self.right = left, right
         self.made_by_rank = made
+        self._pairs: dict[int, int] | None = None
+
+    def pairs(self) -> dict[int, int]:
+        """Rank by pair key, made when the first long word comes."""
+        if self._pairs is None:
+            self._pairs = dict(zip(self.keys.tolist(), self.ranks.tolist(), strict=True))
+        return self._pairs
 
     def pieces_of(self, text: str) -> Iterator[tuple[str, int]]:
         """(ordinary text, special id after it); -1 at the end."""
@@ -88,6 +99,51 @@ class Vocabulary:
 
 def merge_words(v: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all words in one flat array, and each word's offsets in it."""
+    long = [k for k, w in enumerate(words) if len(w) > LONG_WORD]
+    if not long:
+        return _merge_rounds(v, words)
+    ids, at = _merge_rounds(v, [b"" if len(w) > LONG_WORD else w for w in words])
+    sizes, parts, done = np.diff(at), [], 0
+    for k in long:
+        own = _merge_long(v, words[k])
+        sizes[k] = len(own)
+        parts += [ids[done : at[k]], own]
+        done = at[k]
+    return np.concatenate([*parts, ids[done:]]), np.append(0, np.cumsum(sizes))
+
+
+def _merge_long(v: Vocabulary, word: bytes) -> np.ndarray:
+    """Token ids of one long word: a queue of pairs by rank and place, as rounds would pass over the whole word again and again."""
+    pairs = v.pairs()
+    symbols = v.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+    n, size = len(symbols), v.size
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue = [pairs[key] << 40 | i for i, key in enumerate(a * size + b for a, b in zip(symbols, symbols[1:])) if key in pairs]
+    heapq.heapify(queue)
+    made, place = v.made_by_rank.tolist(), (1 << 40) - 1
+    while queue:
+        entry = heapq.heappop(queue)
+        rank, i = entry >> 40, entry & place
+        j = after[i]
+        # the pair may be gone, or another one may stand in its place
+        if symbols[i] < 0 or j >= n or pairs.get(symbols[i] * size + symbols[j]) != rank:
+            continue
+        symbols[i], symbols[j] = made[rank], -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            key = symbols[i] * size + symbols[k]
+            if key in pairs:
+                heapq.heappush(queue, pairs[key] << 40 | i)
+        h = before[i]
+        if h >= 0:
+            key = symbols[h] * size + symbols[i]
+            if key in pairs:
+                heapq.heappush(queue, pairs[key] << 40 | h)
+    return np.array([s for s in symbols if s >= 0], np.int64)
+
+
+def _merge_rounds(v: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     symbols = v.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
     owner = np.repeat(np.arange(len(words)), sizes)

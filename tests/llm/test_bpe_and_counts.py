@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -64,3 +65,22 @@ def test_tables(spark):
     assert back.text == "Hello world"
     kept = token_counts.within_budget(token_counts.prefix_counts(docs, PATH), 1).where("doc_id = 3").first()
     assert np.array(kept.counts)[kept.keep_chars] <= 1 < np.array(kept.counts)[-1]
+
+
+@pytest.mark.parametrize("limit", [0, 3, 512])
+def test_long_words_take_the_same_merges(library, vocabulary, monkeypatch, limit):
+    monkeypatch.setattr(bpe, "LONG_WORD", limit)
+    encoder, draw = bpe.Encoder(vocabulary), random.Random(4)
+    long = ["".join(draw.choice(letters) for _ in range(3000)) for letters in ("ab", "a", "etaoinshr", "漢字é", "aAeEtT")]
+    every = texts(100, 5) + ["x " + w + "!" for w in long] + long
+    ids, at = encoder.encode(every)
+    for k, t in enumerate(every):
+        assert ids[at[k] : at[k + 1]].tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_a_word_of_a_million_letters_takes_seconds(library, vocabulary):
+    word = "".join(random.Random(6).choice("etaoinshrdlu") for _ in range(1_000_000))
+    start = time.process_time()
+    ids, _ = bpe.Encoder(vocabulary).encode([word])
+    assert time.process_time() - start < 60
+    assert ids.tolist() == library.encode(word, add_special_tokens=False).ids
