@@ -1,8 +1,8 @@
 """One nested document for each assembly of a run, with digests; a run without assembly has one.
 
-Every table is gathered by scope before the join, so the documents are made
-by one join of small aggregates. Canonical text and digest come from
-``sources.sinks.canonical``.
+``streamed`` writes them piece by piece and holds no list of an assembly.
+``documents`` gathers every table by scope before the join and gives a row for
+each document; text and digest are the same where no list is empty.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators.measures import inventory_status
 from tessella.operators.parse import PRIMARY
+from tessella.sources import documents as doc
 from tessella.sources.sinks import canonical
 
 RUN = ["sample_id", "run_id"]
@@ -83,10 +84,11 @@ def mapping(t: Tables, coverage: DataFrame) -> DataFrame:
     return all_.select(*SCOPE, status.alias("status"), reason.alias("status_reason"), "input_reads", "minimum_mapq", "excluded_sam_flags", known(F.col("assembly_mapped_reads")).alias("assembly_mapped_reads"), known(F.col("bin_mapped_reads")).alias("bin_mapped_reads"), known(F.col("assembly_mapped_reads") - F.col("bin_mapped_reads")).alias("unbinned_mapped_reads"), F.when(status == "available", checked).alias("without_qualifying_alignment_reads"))
 
 
-def documents(t: Tables, coverage: DataFrame) -> DataFrame:
-    """(sample_id, run_id, assembly_id, document, canonical, sha256)."""
-    orders = {"bins": ["bin_id"], "contigs": ["contig_id"], "memberships": ["membership_id"]}
-    lists = [_gathered(d, n, orders.get(n, ["record_id"])) for n, d in scoped(t).items()]
+ORDERS = {"bins": ["bin_id"], "contigs": ["contig_id"], "memberships": ["membership_id"]}
+
+
+def _heads(t: Tables, coverage: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(scope and assembly, scope with inventory state and mapping block) of every document."""
     shown = inventory_status(t["assemblies"], t["contigs"], SCOPE)
     state = F.when(F.col("status") == "error", F.raise_error(F.lit("contigs exceed the assembly's totals"))).otherwise(F.col("status"))
     inventory = shown.select(*SCOPE, state.alias("inventory_status"))
@@ -95,7 +97,33 @@ def documents(t: Tables, coverage: DataFrame) -> DataFrame:
     counts = counts.withColumns({"status": F.when(partial, F.lit("partial")).otherwise(F.col("status")), "status_reason": F.when(partial, F.lit("partial_assembly_inventory")).otherwise(F.col("status_reason")), "without_qualifying_alignment_reads": F.when(~partial, F.col("without_qualifying_alignment_reads"))})
     block = counts.select(*SCOPE, "inventory_status", F.struct(*[c for c in counts.columns if c not in (*SCOPE, "inventory_status")]).alias("mapping"))
     keyed = t["runs"].select(*RUN).join(t["assemblies"], RUN, "left").select(*SCOPE, F.when(F.col("assembly_id").isNotNull(), F.struct(*[c for c in t["assemblies"].columns if c not in RUN])).alias("assembly"))
+    return keyed, block
+
+
+def documents(t: Tables, coverage: DataFrame) -> DataFrame:
+    """(sample_id, run_id, assembly_id, document, canonical, sha256); every list of an assembly in one row, for catalogs of moderate size."""
+    keyed, block = _heads(t, coverage)
+    lists = [_gathered(d, n, ORDERS.get(n, ["record_id"])) for n, d in scoped(t).items()]
     whole = reduce(lambda a, b: a.join(b, SCOPE, "left"), [block, *lists], keyed)
     named = [c for c in whole.columns if c not in SCOPE]
     document = whole.select(*SCOPE, F.to_json(F.struct(*SCOPE, F.lit(1).alias("schema_version"), *named), {"ignoreNullFields": "false"}).alias("document"))
     return canonical(document)
+
+
+def pieces(t: Tables, coverage: DataFrame) -> list[DataFrame]:
+    """The same documents in pieces for ``sources.documents.streamed``, whose lists are never gathered; a list without items is empty, not null."""
+    keyed, block = _heads(t, coverage)
+    scopes = keyed.select(*SCOPE)
+    both = keyed.join(block, SCOPE, "left")
+    out = [doc.value(both, SCOPE, [c], F.lit(1) if c == "schema_version" else F.col(c)) for c in (*SCOPE, "schema_version", "assembly", "inventory_status", "mapping")]
+    for name, rows in scoped(t).items():
+        own = rows.withColumn("assembly_id_", F.col("scope_assembly")).drop("scope_assembly")
+        record = F.struct(*[c for c in rows.columns if c != "scope_assembly"])
+        placed = own.select(*RUN, F.col("assembly_id_").alias("assembly_id"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(ORDERS.get(name, ["record_id"]))], record.alias("record"))
+        out += [doc.empty_lists(scopes, SCOPE, [name]), doc.items(placed, SCOPE, [name], [c for c in placed.columns if c.startswith("o")], F.col("record"))]
+    return out
+
+
+def streamed(t: Tables, coverage: DataFrame, more: list[DataFrame] = []) -> DataFrame:  # noqa: B006
+    """(sample_id, run_id, assembly_id, part, text, sha256, size_bytes): documents in parts, with further pieces such as evidence."""
+    return doc.streamed([*pieces(t, coverage), *more], SCOPE)

@@ -17,7 +17,8 @@ from tessella.operators.integrity import require_valid
 def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
     """Validate all tables, write them beside ``path`` and swap the folder in.
 
-    A violated rule or a failed write leaves an earlier catalog as it was.
+    A violated rule or a failed step leaves an earlier catalog as it was. For
+    a moment there is none; ``versions.publish`` has no such moment.
     """
     require_valid(tables)
     jvm = spark.sparkContext._jvm
@@ -29,9 +30,13 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> Non
             parts = [c for c in ("sample_id", "run_id") if c in rows.columns and len(rows.columns) > 2]
             writer = rows.write
             (writer.partitionBy(*parts) if parts else writer).parquet(f"{staged.toString()}/{name}")
-        if fs.exists(target):
-            fs.rename(target, old)
-        fs.rename(staged, target)
+        had = fs.exists(target)
+        if had and not fs.rename(target, old):
+            raise OSError(f"cannot move the earlier catalog: {path}")
+        if not fs.rename(staged, target):
+            if had and not fs.rename(old, target):
+                raise OSError(f"the earlier catalog is now at {old.toString()}")
+            raise OSError(f"cannot put the new catalog in place: {path}")
         fs.delete(old, True)
     finally:
         fs.delete(staged, True)
