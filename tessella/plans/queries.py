@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text
 from tessella.operators import collect, cover, keys, measures, parse, routing
-from tessella.plans import catalog, native_tables, records, report, violations
+from tessella.plans import catalog, native_tables, outputs, records, report, violations
 from tessella.plans.domain import BINS, CONTIGS, bins, contigs, routing_inputs, table
 from tessella.sources.scratch import stable
 
@@ -216,8 +216,8 @@ def bins_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- report tables
 
-QUERIES |= catalog.QUERIES | native_tables.QUERIES | violations.QUERIES | records.QUERIES
-ORACLE_SQL |= catalog.ORACLE_SQL | native_tables.ORACLE_SQL | violations.ORACLE_SQL | records.ORACLE_SQL
+QUERIES |= catalog.QUERIES | native_tables.QUERIES | violations.QUERIES | records.QUERIES | outputs.QUERIES
+ORACLE_SQL |= catalog.ORACLE_SQL | native_tables.ORACLE_SQL | violations.ORACLE_SQL | records.ORACLE_SQL | outputs.ORACLE_SQL
 
 
 # ---------------------------------------------------------------- keys
