@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.operators import genes, native, schema_rules
+from tessella.operators import binning, genes, native, schema_rules
 from tessella.plans import catalog
 from tessella.plans.domain import table
-from tessella.sources import artifacts, documents, manifests, routed, scratch, sinks, tables, versions
+from tessella.sources import artifacts, documents, manifests, routed, samples, scratch, sinks, tables, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -229,3 +229,48 @@ def native_checkeuk(spark: SparkSession, sf_dir: str) -> DataFrame:
     if bad := found.problems.where("detail <> 'marker counts'").first():
         raise ValueError(f"{bad.target}: {bad.detail}")
     return found.rows["qc"].select("target_id", "completeness_percent", "completeness_basis", "contamination_percent", "checkeuk_expected_markers_present", "checkeuk_expected_markers_total", "checkeuk_pfam_ridge_completeness_percent")
+
+
+# ---------------------------------------------------------------- bins, links and sheets
+
+
+@query("""SELECT 'c' || p_partkey AS contig_id, CAST(p_size AS DOUBLE) / 8 AS mean_depth_x, 'b' || p_size AS bin_id, 'b' || p_size || ':c' || p_partkey AS membership_id, 'lineage' AS rank, 'd__' || p_size % 7 AS taxon_name, CAST(p_size AS VARCHAR) AS taxon_id FROM part""")
+def binned_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs with depth, membership and the lineage of their bin, from native rows that must cover each other."""
+    part = table(spark, sf_dir, "part")
+    contigs = part.select(F.concat(F.lit("c"), "p_partkey").alias("contig_id"))
+    depths = part.selectExpr("concat('c', p_partkey) AS `#rname`", "cast(p_size / 8 as string) AS meandepth")
+    records = part.selectExpr("concat('bins/b', p_size, '.fa') AS path", "concat('c', p_partkey) AS name")
+    clades = part.select("p_size").distinct().selectExpr("concat('bins/b', p_size, '.fa') AS `#QueryName`", "concat('d__', p_size % 7) AS lineage", "cast(p_size as string) AS R_TaxID")
+    found = binning.binned(contigs, depths, records, clades)
+    if bad := found.problems.first():
+        raise ValueError(f"{bad.target}: {bad.detail}")
+    named = found.rows["taxonomy"].select(F.col("target_id").alias("bin_id"), "rank", "taxon_name", "taxon_id")
+    return found.rows["contigs"].join(found.rows["memberships"], "contig_id").join(named, "bin_id")
+
+
+@query("""WITH x AS (SELECT l_orderkey * 10 + l_linenumber AS ordinal, 'c' || l_partkey AS contig, l_suppkey % 2 = 0 AS euk_model, l_returnflag = 'A' OR l_linestatus = 'F' AS euk, l_linenumber % 2 = 0 AS pro FROM lineitem), p AS (SELECT 'c' || p_partkey AS contig, 'b' || p_size AS bin_id FROM part)
+SELECT 'locus' AS kind, bin_id, ordinal, 'l' || ordinal || '@' || contig AS item FROM x JOIN p USING (contig) WHERE euk_model AND euk UNION ALL SELECT 'virus', bin_id, ordinal, CASE WHEN pro THEN contig || '|provirus_1_9' ELSE contig END FROM x JOIN p USING (contig)""")
+def linked_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eukaryotic loci and viral calls, linked to bins by their contigs."""
+    li = table(spark, sf_dir, "lineitem").selectExpr("*", "l_orderkey * 10 + l_linenumber AS ordinal", "concat('c', l_partkey) AS contig_name")
+    loci = li.selectExpr("ordinal", "concat('l', ordinal) AS name", "contig_name", "if(l_suppkey % 2 = 0, 'RF01960', 'RF00177') AS model", "'t' AS taxonomy", "if(l_returnflag = 'A', 'Eukaryota', 'Unclassified') AS taxonomy_domain", "if(l_linestatus = 'F', 'Eukaryota;x', '') AS reference_taxonomy", "'' AS blast_candidate_taxonomy")
+    viruses = li.selectExpr("ordinal", "if(l_linenumber % 2 = 0, concat(contig_name, '|provirus_1_9'), contig_name) AS seq_name", "'0.9' AS virus_score", "'Viruses' AS taxonomy")
+    contigs = table(spark, sf_dir, "part").selectExpr("concat('c', p_partkey) AS contig_id", "concat('b', p_size) AS bin_id")
+    both = [f(d, contigs).select(F.lit(k).alias("kind"), "bin_id", "ordinal", "item") for k, f, d in (("locus", binning.linked_loci, loci), ("virus", binning.linked_viruses, viruses))]
+    return both[0].union(both[1])
+
+
+@query("""WITH s AS (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 's' || c_nationkey || '-twice' ELSE 's' || c_custkey END AS sample_id FROM customer)
+SELECT sample_id, d AS detail FROM (SELECT sample_id, unnest([CASE WHEN c_custkey % 7 = 0 THEN 'platform: enum' END, CASE WHEN c_custkey % 11 IN (7, 8) THEN 'genetic_code: pattern' END, CASE WHEN c_custkey % 13 = 0 THEN 'unsafe path' END, CASE WHEN c_custkey % 5 = 0 THEN 'RNA reads and platform belong together' END,
+ CASE WHEN c_custkey % 3 = 0 THEN 'a masked assembly needs its assembly' END, CASE WHEN c_custkey % 2 = 1 OR c_custkey % 7 = 0 THEN 'basecaller of another platform' END]) AS d FROM s) WHERE d IS NOT NULL
+UNION ALL SELECT sample_id, 'repeated sample' FROM s GROUP BY sample_id HAVING count(*) > 1""")
+def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with a sheet of samples, written and read by its header."""
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "if(c_custkey % 50 = 0, concat('s', c_nationkey, '-twice'), concat('s', c_custkey)) AS sample_id", "if(c_custkey % 7 = 0, 'Illumina', if(c_custkey % 2 = 0, 'ONT', 'PACBIO_HIFI')) AS platform", "if(c_custkey % 13 = 0, 'r$.fq', 'r.fq') AS reads",
+        "if(c_custkey % 5 = 0, 'rna.fq', '') AS rna_reads", "cast(if(c_custkey % 11 = 0, '', cast(c_custkey % 11 as string)) as string) AS genetic_code", "if(c_custkey % 3 = 0, 'm.fa', '') AS softmasked", "'dorado' AS basecaller",
+    )
+    path = scratch.folder(spark)
+    sinks.write_table(rows, path, rows.columns)
+    return samples.problems(samples.read(spark, path))
