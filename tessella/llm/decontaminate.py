@@ -47,10 +47,16 @@ def _shingle(array: str, at: str, width: int) -> Column:
 
 
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
-    """(win, width, n, items): every different window and the items that have it."""
+    """(item, win, width, n): every different window of every item."""
     rows = benchmark.select(benchmark[item].cast("string").alias("item"), words(benchmark[text]).alias("w")).where("size(w) > 0")
     rows = rows.withColumn("n", F.least(F.size("w"), F.lit(size))).withColumn("at", F.explode(F.sequence(F.lit(0), F.expr("size(w) - n"))))
-    return rows.groupBy(F.expr("slice(w, at + 1, n)").alias("win")).agg(F.collect_set("item").alias("items")).select("win", F.least(F.size("win"), F.lit(SHINGLE)).alias("width"), F.size("win").alias("n"), "items")
+    each = rows.select("item", F.expr("slice(w, at + 1, n)").alias("win")).distinct()
+    return each.select("item", "win", F.least(F.size("win"), F.lit(SHINGLE)).alias("width"), F.size("win").alias("n"))
+
+
+def window_id() -> Column:
+    """A window's name: 128 bits of the digest of its words, the same wherever it is computed."""
+    return F.substring(F.sha2(F.concat_ws(" ", "win"), 256), 1, 32)
 
 
 def prefixes(wins: DataFrame) -> DataFrame:
@@ -63,14 +69,15 @@ def prefixes(wins: DataFrame) -> DataFrame:
     return wins.join(first, "win")
 
 
-def hits(docs: DataFrame, wins: DataFrame) -> DataFrame:
-    """(key, row, n_words, start, n, items) for docs with key, row and w.
+def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(key, row, n_words, start, n, win_id) for docs with key, row and w.
 
     One row with a null start for each document and, beside it, one for each
-    occurrence of a window.
+    occurrence of a window, ``items`` being those of ``windows``. A window is
+    broadcast by its words and number alone, however many items have it.
     """
-    wins = materialize(prefixes(wins))
-    weight = F.expr("octet_length(concat_ws(' ', win)) + octet_length(concat_ws(' ', items)) + 24 * (size(win) + size(items)) + 200")
+    wins = materialize(prefixes(items.select("win", "width", "n").distinct()).withColumn("win_id", window_id()))
+    weight = F.expr("octet_length(concat_ws(' ', win)) + 24 * size(win) + 200")
     sizes = wins.groupBy("width").agg(F.sum(weight).alias("bytes")).collect()
     # place -1 stands for the document itself
     places = docs.select("key", "row", "w", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
@@ -80,16 +87,16 @@ def hits(docs: DataFrame, wins: DataFrame) -> DataFrame:
         some = wins.where(F.col("width") == width).withColumn("block", F.pmod(F.xxhash64("win"), F.lit(blocks)))
         stream = places.select("key", "row", "w", "at", _shingle("w", "at", width).alias("sh"))
         for block in range(blocks):
-            prefix = some.where(F.col("block") == block).select("win", "n", "items", "off", _shingle("win", "off", width).alias("psh"))
+            prefix = some.where(F.col("block") == block).select("win", "n", "win_id", "off", _shingle("win", "off", width).alias("psh"))
             inside = F.expr("at >= off and at - off + n <= size(w)")
             same = F.expr("slice(w, at - off + 1, n) = win")
             # the first pass also gives the documents' own rows
             kind = "left" if found is None else "inner"
             got = stream.join(F.broadcast(prefix), (F.col("sh") == F.col("psh")) & inside & same, kind)
-            got = got.where("at = -1 or psh is not null").select("key", "row", F.expr("size(w)").alias("n_words"), F.expr("if(psh is null, null, at - off)").alias("start"), "n", "items")
+            got = got.where("at = -1 or psh is not null").select("key", "row", F.expr("size(w)").alias("n_words"), F.expr("if(psh is null, null, at - off)").alias("start"), "n", "win_id")
             found = got if found is None else found.unionByName(got)
     if found is None:
-        found = docs.select("key", "row", F.size("w").alias("n_words"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<string>").alias("items"))
+        found = docs.select("key", "row", F.size("w").alias("n_words"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("win_id"))
     return found
 
 
@@ -101,9 +108,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
     text are judged apart. Null keys are kept. An empty benchmark hits nothing.
     """
     source = docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("row"), words(docs[text]).alias("w"))
-    found = hits(source, windows(benchmark, item, item_text))
+    items = windows(benchmark, item, item_text)
+    found = materialize(hits(source, items))
     span = F.when(F.col("start").isNotNull(), F.struct("start", (F.col("start") + F.col("n")).alias("end")))
-    by_doc = found.groupBy("key", "row").agg(F.max("n_words").cast("long").alias("n_words"), F.count(F.when(F.col("start").isNull(), 1)).cast("int").alias("rows"), F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    by_doc = found.groupBy("key", "row").agg(F.max("n_words").cast("long").alias("n_words"), F.count(F.when(F.col("start").isNull(), 1)).cast("int").alias("rows"), F.array_sort(F.collect_set(span)).alias("spans"))
+    met = found.where("start is not null").select("key", "row", "win_id").distinct().join(items.select("item", window_id().alias("win_id")), "win_id")
+    listed = met.groupBy("key", "row").agg(F.array_sort(F.collect_set("item")).alias("items")).select(F.col("key").alias("_key"), F.col("row").alias("_row"), "items")
+    by_doc = by_doc.join(listed, F.col("key").eqNullSafe(F.col("_key")) & F.col("row").eqNullSafe(F.col("_row")), "left")
+    by_doc = by_doc.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     covered = F.expr("aggregate(spans, struct(0L as n, 0 as last), (a, s) -> struct(a.n + cast(greatest(0, s.end - greatest(a.last, s.start)) as bigint) as n, greatest(a.last, s.end) as last), a -> a.n)")
     judged = by_doc.select(F.col("key").alias(key), "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), F.explode(F.array_repeat(F.lit(1), F.col("rows"))).alias("_"))
     return judged.select(key, "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
