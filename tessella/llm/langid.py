@@ -36,6 +36,10 @@ FILL = 0.4
 BLOCK = 64
 FLUSH = 1 << 20
 UNDETERMINED = "und"
+#: Rows from which a language is learned, at most; of more, a share by hash of the text.
+MAX_FIT_ROWS = 200_000
+#: Occurrences of n-grams for each that an entry needs, up to ``least``: a language with little text is learned from single ones.
+PER_LEAST = 1000
 
 
 class Block(NamedTuple):
@@ -124,15 +128,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", share: float = 0.2, least: int = 3) -> LanguageFilter:
     """The filter of all rows whose text and language are there.
 
-    Rows lacking either teach nothing. Every language is learned. Without any
-    labelled row the filter has none.
+    Rows lacking either teach nothing. Every language is learned, from at most
+    about MAX_FIT_ROWS rows each, so that its entries do not grow with the
+    table. Without any labelled row the filter has none.
     """
     rows = docs.where(docs[text].isNotNull() & docs[lang].isNotNull()).select(docs[text].alias("text"), docs[lang].cast("string").alias("lang"))
-    counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     known = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").collect()
     if not known:
         return LanguageFilter([], [], np.zeros(0))
     spark, held = docs.sparkSession, []
+    if large := [(r.lang, int(MAX_FIT_ROWS / r.docs * (1 << 20))) for r in known if r.docs > MAX_FIT_ROWS]:
+        shares = F.broadcast(spark.createDataFrame(large, "lang string, share int"))
+        rows = rows.join(shares, "lang", "left").where(F.col("share").isNull() | (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share"))).select("text", "lang")
+    counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = materialize(counts, held)
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = [r.lang for r in known if totals.get(r.lang)]
@@ -140,10 +148,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", share: float
         release(spark, held)
         return LanguageFilter([], [], np.zeros(0))
     of = spark.createDataFrame([(x, k, float(totals[x])) for k, x in enumerate(languages)], "lang string, k int, total double")
-    rates = counts.join(F.broadcast(of), "lang").select("gram", F.struct("k", "n", (F.col("n") / F.col("total")).alias("rate")).alias("x"))
+    rates = counts.join(F.broadcast(of), "lang").select("gram", F.struct("k", "n", (F.col("n") / F.col("total")).alias("rate"), F.least(F.lit(least), F.ceil(F.col("total") / PER_LEAST)).alias("least")).alias("x"))
     # a gram's row holds its frequency in all languages that have it
     by_gram = rates.groupBy("gram").agg(F.collect_list("x").alias("xs"), F.max("x.rate").alias("most"))
-    entries = by_gram.select("gram", "most", F.explode("xs").alias("x")).where((F.col("x.n") >= least) & (F.col("x.rate") >= share * F.col("most")))
+    entries = by_gram.select("gram", "most", F.explode("xs").alias("x")).where((F.col("x.n") >= F.col("x.least")) & (F.col("x.rate") >= share * F.col("most")))
     entries = materialize(entries.select("gram", F.col("x.k").alias("k")), held)
     size = dict.fromkeys(range(len(languages)), 0) | {r.k: r.n for r in entries.groupBy("k").agg(F.count("*").alias("n")).collect()}
     order = sorted(size, key=lambda k: (-size[k], k))
@@ -184,15 +192,18 @@ def judge(f: LanguageFilter, texts: list[str | None]) -> tuple[list[str], np.nda
     """The language of each text and its share of all corrected counts."""
     hashes, owner, letters = grams(texts)
     total = np.bincount(owner, minlength=len(texts))
-    counts = np.zeros((len(texts), max(1, len(f.languages))))
+    # only the best so far and the sum are held, however many languages there are
+    best, most, whole = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
     for block in f.blocks:
         low = np.uint64((1 << block.bits) - 1)
         found = block.slots[(hashes & low).astype(np.int64)] & block.slots[((hashes >> np.uint64(block.bits)) & low).astype(np.int64)]
         for j, k in enumerate(block.members):
             got = np.bincount(owner[(found >> np.uint64(j)) & np.uint64(1) == 1], minlength=len(texts))
-            counts[:, k] = np.maximum(0, (got - total * f.false_positive[k]) / (1 - f.false_positive[k]))
-    best = counts.argmax(axis=1)
-    score = counts[np.arange(len(texts)), best] / np.maximum(counts.sum(axis=1), 1e-9)
+            count = np.maximum(0, (got - total * f.false_positive[k]) / (1 - f.false_positive[k]))
+            better = (count > most) | ((count == most) & (k < best))
+            best, most = np.where(better, k, best), np.maximum(count, most)
+            whole += count
+    score = most / np.maximum(whole, 1e-9)
     none = (letters == 0) | (not f.languages)
     names = [UNDETERMINED if n else f.languages[b] for n, b in zip(none, best, strict=True)]
     return names, np.where(none, 0.0, np.clip(score, 0, 1))
