@@ -169,15 +169,17 @@ def with_next(docs: DataFrame, parts: int, text: str = "text", key: str = "doc_i
     part_of = F.pandas_udf(lambda k: pd.Series(np.searchsorted(bounds, k.to_numpy(), side="right").astype(np.int32)), "int")
     firsts = {r.part: r.first for r in source.select("k", part_of("k").alias("part")).groupBy("part").agg(F.min("k").alias("first")).collect()}
     order = sorted(firsts)
-    # the first row of each part is the tail of the part before it
-    tail_of = {firsts[p]: order[i - 1] for i, p in enumerate(order)}
-    if tail_of:
-        pairs = F.create_map(*[F.lit(x) for k, p in tail_of.items() for x in (k, p)])
-        copies = F.when(F.col("k").isin(list(tail_of)), F.array(F.struct(F.col("p").alias("part"), F.lit(False).alias("tail")), F.struct(F.element_at(pairs, F.col("k")).alias("part"), F.lit(True).alias("tail"))))
-        copies = copies.otherwise(F.array(F.struct(F.col("p").alias("part"), F.lit(False).alias("tail"))))
-        rows = source.withColumn("p", part_of("k")).withColumn("at", F.explode(copies)).select("at.part", "at.tail", "key", "k", "text")
-    else:
-        rows = source.select(F.lit(0).alias("part"), F.lit(False).alias("tail"), "key", "k", "text")
+    # the first row of each part is the tail of the part before it; both arrays go with the function, not into the plan
+    begin = np.array([firsts[p] for p in order], np.int64)
+    before = np.array([order[i - 1] for i in range(len(order))], np.int32)
+
+    def tails(k: pd.Series) -> pd.Series:
+        at = np.minimum(np.searchsorted(begin, k.to_numpy()), max(0, len(begin) - 1))
+        return pd.Series(np.where(begin[at] == k.to_numpy(), before[at], -1).astype(np.int32) if len(begin) else np.full(len(k), -1, np.int32))
+
+    rows = source.withColumns({"p": part_of("k"), "t": F.pandas_udf(tails, "int")("k")})
+    own, tail = F.struct(F.col("p").alias("part"), F.lit(False).alias("tail")), F.struct(F.col("t").alias("part"), F.lit(True).alias("tail"))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("t") >= 0, F.array(own, tail)).otherwise(F.array(own)))).select("at.part", "at.tail", "key", "k", "text")
     return rows.repartition("part").sortWithinPartitions("part", "tail", "k", "text").drop("k")
 
 
@@ -188,6 +190,7 @@ def compare_edits(docs: DataFrame, text: str = "text", key: str = "doc_id", part
     of the next document's. Gives key, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited and near_next. A lone document follows
     itself. Repeated keys count as documents of their own, in order of text.
+    Keys are whole numbers.
     """
     spark = docs.sparkSession
     parts = parts or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
