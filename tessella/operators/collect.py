@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.functions.text import number, present, row_digest, stem
+from tessella.functions.text import number, present, row_digest, stem, stripped
 from tessella.operators.integrity import RESULT_KEYS
 from tessella.operators.keys import deduplicated
 from tessella.operators.parse import member_and_integrated, terms
@@ -72,6 +72,7 @@ def child_cover(completed: DataFrame, pending: DataFrame, bins: DataFrame, key:
     return both.select(key, detail.alias("detail")).where("detail is not null")
 
 
+#: The fields of an annotation, and of its identity in ``annotation_id``.
 ANNOTATION = ["gene_id", "database_name", "database_version", "accession", "function_name", "start", "end", "score", "evalue"]
 
 
@@ -87,14 +88,68 @@ def annotation_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return deduplicated(keyed, ["annotation_id"])
 
 
+#: List columns of the orthology table with the database of their terms, and the forms of accessions.
+TERM_COLUMNS = {"eggNOG_OGs": "eggNOG", "GOs": "Gene Ontology via eggNOG", "EC": "Enzyme Commission via eggNOG", "KEGG_ko": "KEGG Orthology via eggNOG"}
+TERM_FORMS = {"eggNOG_OGs": r"\A[^@|\s]+@[0-9]+(\|[^|]*[^|\s][^|]*)?\z", "GOs": r"\AGO:[0-9]{7}\z", "EC": r"\A[0-9]+(\.([0-9]+|-)){3}\z", "KEGG_ko": r"\Ako:K[0-9]{5}\z"}
+ENTRY_FORM = r"\AIPR[0-9]{6}\z"
+
+
 def eggnog(table: DataFrame, version: str) -> DataFrame:
-    """One row for each term of the list columns; ``table`` has the tool's columns as text."""
-    named = table.select(F.col("#query").alias("gene_id"), present(F.col("Description"), ("", "-")).alias("function_name"), number(F.col("evalue"), ("", "-")).alias("evalue"), number(F.col("score"), ("", "-")).alias("score"), "eggNOG_OGs", "GOs", "EC", "KEGG_ko")
-    found = terms(named, {"eggNOG_OGs": "eggNOG", "GOs": "GO", "EC": "EC", "KEGG_ko": "KEGG"}).withColumnRenamed("database", "database_name")
+    """One row for each term of the list columns; ``table`` has the tool's columns as text.
+
+    Orthologous groups keep ``group@taxon`` and lose the label after it, and
+    they alone have the description.
+    """
+    listed = lambda c: F.array_join(F.transform(F.split(present(F.col(c), ("", "-")), ","), lambda x: stripped(F.substring_index(x, "|", 1) if c == "eggNOG_OGs" else x)), ",")
+    named = table.select(F.col("#query").alias("gene_id"), present(F.col("Description"), ("", "-")).alias("function_name"), number(F.col("evalue"), ("", "-")).alias("evalue"), number(F.col("score"), ("", "-")).alias("score"), *[listed(c).alias(c) for c in TERM_COLUMNS])
+    found = terms(named, TERM_COLUMNS).withColumnRenamed("database", "database_name")
     described = F.when(F.col("database_name") == "eggNOG", F.col("function_name"))
     return found.withColumns({"function_name": described, "database_version": F.lit(version), "source": F.lit("eggnog")})
 
 
+def _unknown_or(found: list[DataFrame], rows: DataFrame, proteins: DataFrame) -> DataFrame:
+    """The problems, and those of rows whose gene is no accepted protein (name)."""
+    strange = rows.join(proteins.select(F.col("name").alias("gene_id")), "gene_id", "left_anti")
+    return reduce(DataFrame.union, [strange.select("gene_id", F.lit("unknown protein").alias("detail")).distinct(), *found])
+
+
+def eggnog_problems(table: DataFrame, proteins: DataFrame) -> DataFrame:
+    """(gene_id, detail) for which an orthology table must be refused."""
+    rows = table.withColumnRenamed("#query", "gene_id")
+    bad = lambda when, text: rows.where(F.coalesce(when, F.lit(False))).select("gene_id", F.lit(text).alias("detail"))
+    found = [rows.groupBy("gene_id").agg(F.count("*").alias("n")).where("n > 1").select("gene_id", F.lit("repeated query").alias("detail"))]
+    for c in ("score", "evalue"):
+        found.append(bad(present(F.col(c), ("", "-")).isNotNull() & number(F.col(c), ("", "-")).isNull(), c))
+    found.append(bad(number(F.col("evalue"), ("", "-")) < 0, "negative evalue"))
+    for c, form in TERM_FORMS.items():
+        found.append(bad(_any_other(c, form), f"invalid {c}"))
+    return _unknown_or(found, rows, proteins)
+
+
+def _any_other(c: str, form: str) -> Column:
+    """Whether a list cell has a term of another form."""
+    return F.exists(F.split(present(F.col(c), ("", "-")), ","), lambda x: ~stripped(x).rlike(form))
+
+
+def interpro_problems(table: DataFrame, proteins: DataFrame) -> DataFrame:
+    """(gene_id, detail) for which a domain table must be refused; ``table`` has protein, length, analysis, signature, start, stop, score, status and entry as text."""
+    rows = table.withColumnRenamed("protein", "gene_id")
+    bad = lambda when, text: rows.where(F.coalesce(when, F.lit(False))).select("gene_id", F.lit(text).alias("detail"))
+    whole_ = lambda c: F.when(F.col(c).rlike(r"\A[0-9]{1,18}\z"), F.col(c).cast("long"))
+    start, stop, length = whole_("start"), whole_("stop"), whole_("length")
+    changed = rows.groupBy("gene_id").agg(F.countDistinct("length").alias("n")).where("n > 1").select("gene_id", F.lit("protein length changes").alias("detail"))
+    found = [
+        changed, bad(stripped(F.col("analysis")).isin("", "-"), "no analysis"), bad(stripped(F.col("signature")).isin("", "-"), "no signature"), bad(~F.coalesce((length >= 1) & (start >= 1) & (stop >= start) & (stop <= length), F.lit(False)), "coordinates"),
+        bad(F.col("status") != "T", "status"), bad(present(F.col("score"), ("", "-")).isNotNull() & number(F.col("score"), ("", "-")).isNull(), "score"), bad(present(F.col("entry"), ("", "-")).isNotNull() & ~F.col("entry").rlike(ENTRY_FORM), "invalid entry"),
+    ]
+    return _unknown_or(found, rows, proteins)
+
+
+def in_order(annotations: DataFrame) -> DataFrame:
+    """Annotations as they are published: by gene, database, accession and place, rows without a place first."""
+    return annotations.orderBy("gene_id", "database_name", "accession", F.coalesce("start", F.lit(0)), F.coalesce("end", F.lit(0)))
+
+
 def interpro(table: DataFrame, version: str) -> DataFrame:
     """A row for each member signature, and one for the entry that it is integrated in."""
     rows = table.select(F.col("protein").alias("gene_id"), F.col("analysis").alias("member_db"), F.col("signature").alias("member"), F.col("entry").alias("integrated"), present(F.col("signature_name"), ("", "-")).alias("member_name"), present(F.col("entry_name"), ("", "-")).alias("entry_name"), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("end"), number(F.col("score"), ("", "-")).alias("score"))

@@ -61,7 +61,8 @@ def in_blocks(rows: DataFrame, by: list[str], place: str, width: int, state: Col
     states = blocks.groupBy(*by, "_block").agg(state.alias("_state")).withColumn("_carry", over(F.col("_state")).over(earlier)).drop("_state")
     keys = [*by, "_block"]
     same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys])
-    return blocks.alias("l").join(states.alias("r"), same).select("l.*", "r._carry")
+    # most groups have one block, to which nothing is handed on
+    return blocks.alias("l").join(states.where(F.col("_carry").isNotNull()).alias("r"), same, "left").select("l.*", "r._carry")
 
 
 def overlaps(intervals: DataFrame, parent: list[str], start: str = "start", end: str = "end", name: str = "name", width: int = WIDTH) -> DataFrame:

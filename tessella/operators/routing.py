@@ -49,6 +49,9 @@ PROKARYOTIC_MAJORITY = "GVClass supports a prokaryotic route without a supported
 VIRAL = "GVClass or linked whole-contig geNomad evidence supports a viral route"
 ONE_LINE = "eukaryotic evidence does not meet the combined support rule"
 NO_LINE = "no supported routing evidence"
+PROK_VIRAL = "prokaryotic evidence conflicts with viral evidence"
+EUK_VIRAL = "eukaryotic evidence conflicts with viral evidence"
+ORGANELLE_ANY = "organelle evidence conflicts with supported routing evidence"
 
 
 def _mapped(table: dict[str, str], c: Column) -> Column:
@@ -199,10 +202,10 @@ def route(facts: DataFrame) -> DataFrame:
     conflicting = F.flatten(F.array(
         one((F.col("quick_domain") != "") & F.col("quick").isNull(), tagged("QuickClade-unresolved", F.col("quick_lineage"))),
         one(F.col("euk") & F.col("quick").eqNullSafe("prokaryotic"), quick),
-        one(F.col("viral") & F.col("prok"), F.lit("prokaryotic evidence conflicts with viral evidence")),
-        one(F.col("viral") & F.col("other_line"), F.lit("eukaryotic evidence conflicts with viral evidence")),
+        one(F.col("viral") & F.col("prok"), F.lit(PROK_VIRAL)),
+        one(F.col("viral") & F.col("other_line"), F.lit(EUK_VIRAL)),
         one(F.col("euk") & gv_is("prokaryotic"), major), one(F.col("euk") & F.col("strong_prok") & ~F.col("share_prok"), prok_share),
-        one(gv_is("ambiguous"), major), one(F.col("organelle") & (F.col("euk") | F.col("viral")), F.lit("organelle evidence conflicts with supported routing evidence")),
+        one(gv_is("ambiguous"), major), one(F.col("organelle") & (F.col("euk") | F.col("viral")), F.lit(ORGANELLE_ANY)),
         one(F.col("share_prok") & F.col("resolved"), check), one(F.col("share_prok") & gv_is("eukaryotic"), major),
         one((F.col("viral_share") > 0) & (F.col("viral_share") < HALF), tagged("geNomad-minority", fixed(F.col("viral_share"), 4))),
     ))

@@ -90,8 +90,8 @@ _add("native_checkv", lambda t: native.checkv(t("checkv"), t("viruses")).rows["q
 
 _add(
     "native_eggnog", lambda t: collect.annotation_rows(collect.eggnog(t("eggnog"), "5.0"))[0].select("annotation_id", "gene_id", "database_name", "database_version", "accession", "function_name", "score", "evalue"),
-    """WITH x AS (SELECT DISTINCT 'g' || p_partkey AS gene_id, 'eggNOG' AS database_name, unnest(['O' || p_size || '@1|root', 'O' || p_size || '@2|x']) AS accession, CASE WHEN p_size % 4 <> 0 THEN p_type END AS function_name, p_size FROM part
-UNION SELECT 'g' || p_partkey, 'GO', 'GO:000000' || (p_size % 10), NULL, p_size FROM part UNION SELECT 'g' || p_partkey, 'EC', unnest(['1.1.1.' || p_size, '2.-.-.-']), NULL, p_size FROM part WHERE p_size % 3 <> 0 UNION SELECT 'g' || p_partkey, 'KEGG', 'ko:K0000' || (p_size % 10), NULL, p_size FROM part)
+    """WITH x AS (SELECT DISTINCT 'g' || p_partkey AS gene_id, 'eggNOG' AS database_name, unnest(['O' || p_size || '@1', 'O' || p_size || '@2']) AS accession, CASE WHEN p_size % 4 <> 0 THEN p_type END AS function_name, p_size FROM part
+UNION SELECT 'g' || p_partkey, 'Gene Ontology via eggNOG', 'GO:000000' || (p_size % 10), NULL, p_size FROM part UNION SELECT 'g' || p_partkey, 'Enzyme Commission via eggNOG', unnest(['1.1.1.' || p_size, '2.-.-.-']), NULL, p_size FROM part WHERE p_size % 3 <> 0 UNION SELECT 'g' || p_partkey, 'KEGG Orthology via eggNOG', 'ko:K0000' || (p_size % 10), NULL, p_size FROM part)
 SELECT 'ann:eggnog:' || sha256(concat_ws(chr(31), 'eggnog', gene_id, database_name, accession, 'None', 'None')) AS annotation_id, gene_id, database_name, '5.0' AS database_version, accession, function_name, p_size + 0.5::DOUBLE AS score, CASE WHEN p_size % 5 <> 0 THEN 0.25::DOUBLE END AS evalue FROM x""",
 )
 _add(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.operators import binning, genes, native, schema_rules
+from tessella.operators import binning, collect, genes, native, schema_rules
 from tessella.plans import catalog
 from tessella.plans.domain import table
 from tessella.sources import artifacts, documents, manifests, routed, samples, scratch, sinks, tables, versions
@@ -274,3 +274,23 @@ def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.folder(spark)
     sinks.write_table(rows, path, rows.columns)
     return samples.problems(samples.read(spark, path))
+
+
+@query("""WITH x AS (SELECT 'g' || p_partkey % 1500 AS gene_id, p_partkey, p_size FROM part)
+SELECT DISTINCT gene_id, 'unknown protein' AS detail FROM x WHERE p_partkey % 1500 % 7 = 0 UNION ALL SELECT gene_id, 'repeated query' FROM x GROUP BY gene_id HAVING count(*) > 1 UNION ALL SELECT gene_id, 'score' FROM x WHERE p_size % 10 = 3
+UNION ALL SELECT gene_id, 'negative evalue' FROM x WHERE p_size % 10 = 4 UNION ALL SELECT gene_id, 'invalid GOs' FROM x WHERE p_size % 10 = 5 UNION ALL SELECT gene_id, 'invalid EC' FROM x WHERE p_size % 10 = 6""")
+def annotation_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes for which an orthology table, written with its header and read by it, must be refused."""
+    part = table(spark, sf_dir, "part")
+    cells = {
+        "#query": "concat('g', p_partkey % 1500)", "evalue": "if(p_size % 10 = 4, '-0.5', '1e-9')", "score": "if(p_size % 10 = 3, 'high', '50')", "eggNOG_OGs": "concat('O', p_size, '@1|root')", "GOs": "if(p_size % 10 = 5, 'GO:1', '-')",
+        "EC": "if(p_size % 10 = 6, '1.2', '1.2.3.-')", "KEGG_ko": "'ko:K00001,ko:K00002'",
+    }
+    rows = part.selectExpr(*[f"{cells.get(c, repr('-'))} AS `{c}`" for c in tables.EGGNOG])
+    path = scratch.folder(spark)
+    # the tool writes one header, so its lines go ahead of the rows' files
+    head = spark.createDataFrame([("## made by a tool",), ("\t".join(tables.EGGNOG),)], "value string")
+    head.coalesce(1).write.text(path)
+    rows.select(F.concat_ws("\t", *[F.col(f"`{c}`") for c in tables.EGGNOG]).alias("value")).write.mode("append").text(path)
+    proteins = part.where("p_partkey % 1500 % 7 <> 0").select(F.concat(F.lit("g"), F.col("p_partkey") % 1500).alias("name")).distinct()
+    return collect.eggnog_problems(tables.eggnog(spark, path), proteins)

@@ -12,7 +12,7 @@ STAGE = [*SCOPE, "stage_id"]
 FEATURE_KINDS = ["gene_annotation", "protein_fasta", "functional_annotation"]
 Tables = dict[str, DataFrame]
 
-#: Plain projections: table, columns, order.
+#: Plain projections with their table, columns and order, as the report shows them.
 PROJECTIONS: dict[str, tuple[str, list[str], list[str]]] = {
     "metadata": ("catalog_metadata", ["schema_version", "workflow_name", "workflow_version", "source_revision"], ["schema_version"]),
     "runs": ("runs", [*SCOPE, "platform", "rna_technology", "basecaller", "basecaller_model", "library_prep"], SCOPE),
@@ -22,7 +22,7 @@ PROJECTIONS: dict[str, tuple[str, list[str], list[str]]] = {
     "ssu": ("ssu", [*SCOPE, "record_id", "contig_id", "ssu_type", "start", "end", "strand", "hit_accession", "taxon_name", "taxonomy_assignment_method", "reference_identifiers", "reference_source", "reference_versions", "reference_taxonomy", "identity_percent", "query_coverage_percent"], [*SCOPE, "contig_id", "start", "record_id"]),
     "artifacts": ("artifacts", [*SCOPE, "artifact_id", "kind", "path", "sha256", "size_bytes", "producer_stage_id"], [*SCOPE, "kind", "artifact_id"]),
 }
-#: Tables with the tool of their stage: table, own columns, stage columns, order.
+#: Tables with the tool of their stage: table, own columns, stage columns, order.
 WITH_STAGE: dict[str, tuple[str, list[str], list[str], list[str]]] = {
     "taxonomy": ("taxonomy", [*SCOPE, "record_id", "target_kind", "target_id", "rank", "taxon_name", "taxon_id", "score", "lineage_confidence"], ["tool_name", "tool_version", "database_name", "database_version"], [*SCOPE, "target_kind", "target_id", "rank"]),
     "viruses": ("viruses", [*SCOPE, "record_id", "contig_id", "start", "end", "strand", "score", "viral_taxon"], ["tool_name", "tool_version"], [*SCOPE, "contig_id", "start", "tool_name"]),

@@ -61,18 +61,49 @@ def headerless(spark: SparkSession, path: str, widths: tuple[int, ...], names: l
     return lines.select(checked.alias("c")).select(*[F.coalesce(F.get("c", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
-def fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
+#: The header of an orthology table, to which some versions add a digest.
+EGGNOG = ["#query", "seed_ortholog", "evalue", "score", "eggNOG_OGs", "max_annot_lvl", "COG_category", "Description", "Preferred_name", "GOs", "EC", "KEGG_ko", "KEGG_Pathway", "KEGG_Module", "KEGG_Reaction", "KEGG_rclass", "BRITE", "KEGG_TC", "CAZy", "BiGG_Reaction", "PFAMs"]
+
+
+def eggnog(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of an orthology table, all cells text.
+
+    Lines with two # and blank ones do not count. Raises for another header
+    than the tool's 21 columns, with or without a digest; a further comment
+    and a row of another width raise when they are read.
+    """
+    lines = spark.read.text(path).where(~F.col("value").startswith("##") & (F.trim("value") != ""))
+    head = lines.where(F.col("value").startswith("#")).first()
+    names = head[0].rstrip("\r").split("\t") if head else []
+    if names not in (EGGNOG, [*EGGNOG, "md5"]):
+        raise ValueError(f"unexpected eggNOG header: {path}")
+    bad = lambda what: F.raise_error(F.concat(F.lit(f"{what}: "), F.col("value")))
+    rows = lines.where(F.col("value") != head[0]).withColumn("c", F.split(F.regexp_replace("value", "\r$", ""), "\t"))
+    checked = F.when(F.col("value").startswith("#"), bad("unexpected comment")).when(F.size("c") != len(names), bad("malformed row")).otherwise(F.col("c"))
+    return rows.select(checked.alias("c")).select(*[F.col("c")[k].alias(n) for k, n in enumerate(names)])
+
+
+def pending(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(bin_id of a list of pending bins, one on a line; those that it names more than once)."""
+    rows = headerless(spark, path, (1,), ["bin_id"]).select(F.trim("bin_id").alias("bin_id"))
+    return rows.distinct(), rows.groupBy("bin_id").agg(F.count("*").alias("rows")).where("rows > 1")
+
+
+def fasta(spark: SparkSession, path: str | list[str], allow_empty: bool = True) -> DataFrame:
     """(path, header, name, sequence) of every record, inner white space removed.
 
     A > inside a header stays. Text before the first header, an empty header
-    and an empty sequence raise when the row is read.
+    and an empty sequence raise when the row is read. Unless ``allow_empty``,
+    files without any record raise at once.
     """
     raw = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
     body = F.regexp_replace("value", "^>", "")
     header, sequence = F.substring_index(body, "\n", 1), F.regexp_replace(F.regexp_replace(body, "^[^\n]*\n?", ""), r"\s+", "")
     name = F.regexp_extract(header, r"^(\S+)", 1)
+    if not allow_empty and not raw.where(F.col("value").rlike(r"\S")).limit(1).count():
+        raise ValueError(f"no sequences: {path}")
     checked = F.when(name == "", F.raise_error(F.lit("empty header"))).when(sequence == "", F.raise_error(F.concat(F.lit("no sequence: "), name))).otherwise(sequence)
-    return raw.where(F.trim("value") != "").select("path", F.rtrim(header).alias("header"), name.alias("name"), checked.alias("sequence"))
+    return raw.where(F.col("value").rlike(r"\S")).select("path", F.rtrim(header).alias("header"), name.alias("name"), checked.alias("sequence"))
 
 
 def contig_lengths(records: DataFrame) -> DataFrame:
