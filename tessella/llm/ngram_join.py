@@ -29,13 +29,14 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import LOWER, NOT_SPACE, connected, flat, free_name, materialize, mix, pieces, release, word_bounds, word_hashes
+from tessella.llm.shared import LOWER, NOT_SPACE, connected, flat, free_name, materialize, mix, pieces, release, tidy, word_bounds, word_hashes
 
 #: From flat texts and their offsets to sorted sets of 64-bit numbers in one array, and each text's offsets in it.
 Sets = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -54,6 +55,8 @@ HOT_ROWS = 1 << 13
 STAR = 256
 #: Numbers that stand for several sets and are known to all tasks; among 10**11 sets some 300 are expected.
 CLASHES = 1 << 20
+#: Passes over the texts in which shingles are posted; more take less disk at a time and more work.
+PASSES = 2
 TILE, TILE_SHINGLES = 4096, 4_000_000
 FILTER_BITS = 23
 #: Bits of a bitmap for each shingle: enough that hardly any differing shingle hides behind another's bit.
@@ -503,18 +506,24 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
             out[at] = (mix(c[at].view(np.uint64)) % shares[where[at]].astype(np.uint64)).astype(np.int32)
         return out
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Seen()
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                sets, at = sets_of(*flat(piece.column(0)))
-                classes, n = names(sets, at), np.diff(at)
-                new = [k for k, c in enumerate(classes.tolist()) if n[k] and seen.add(c)]
-                lead = _prefixes(sets, at, heavy.value, num, den)
-                sizes = [len(lead[k]) for k in new]
-                h = (np.concatenate([lead[k] for k in new]) if new else np.zeros(0, np.uint64)).view(np.int64)
-                c = np.repeat(classes[new], sizes)
-                yield pa.record_batch([pa.array(h), pa.array(np.repeat(n[new], sizes).astype(np.int64)), pa.array(c), pa.array(part(h, c))], names=["h", "n", "c", "p"])
+    def post(share: int):
+        """The posts of the shingles whose hash falls to one of PASSES shares."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = _Seen()
+            for batch in batches:
+                for piece in pieces(batch, "text"):
+                    sets, at = sets_of(*flat(piece.column(0)))
+                    classes, n = names(sets, at), np.diff(at)
+                    new = [k for k, c in enumerate(classes.tolist()) if n[k] and seen.add(c)]
+                    lead = _prefixes(sets, at, heavy.value, num, den)
+                    sizes = [len(lead[k]) for k in new]
+                    h = np.concatenate([lead[k] for k in new]) if new else np.zeros(0, np.uint64)
+                    mine = h % np.uint64(PASSES) == share
+                    h, c, size = h[mine].view(np.int64), np.repeat(classes[new], sizes)[mine], np.repeat(n[new], sizes)[mine]
+                    yield pa.record_batch([pa.array(h), pa.array(size.astype(np.int64)), pa.array(c), pa.array(part(h, c))], names=["h", "n", "c", "p"])
+
+        return run
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -525,8 +534,12 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
         return some.repartition("h", "p").drop("p").sortWithinPartitions("h", "n", "c")
 
     keyed = source.where("key is not null").select("text")
-    posted = keyed.mapInArrow(post, "h long, n long, c long, p int")
-    posts = materialize(by_shingle(posted).mapInArrow(_by_list(_repeated, hot), "h long, n long, c long"), early)
+    posted = []
+    for share in range(PASSES):
+        # each pass reads the texts again, so that the shuffle of one is gone before the next
+        posted.append(materialize(by_shingle(keyed.mapInArrow(post(share), "h long, n long, c long, p int")).mapInArrow(_by_list(_repeated, hot), "h long, n long, c long"), early))
+        tidy(spark)
+    posts = reduce(DataFrame.union, posted)
     least_size = F.ceil(F.col("n") * num / den)
     shared = F.count("*").over(Window.partitionBy("c"))
     lively = posts.withColumn("shared", shared).where(F.col("shared") >= 1 + F.floor(least_size * LEAD_PERCENT / 100))
@@ -534,6 +547,8 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
     candidates = materialize(by_shingle(listed).mapInArrow(_pairs_of_lists(num, den, hot), "h long, a long, b long"), scratch)
     pairs = materialize(candidates.where("h is null").select("a", "b").distinct(), scratch)
     release(spark, early)
+    del lively, listed
+    tidy(spark)
     lists = candidates.where("h is not null").select("h", F.col("a").alias("c"), F.col("b").alias("n"))
     wanted = pairs.select("a").union(pairs.select("b")).union(lists.select("c")).distinct()
     maybe = spark.sparkContext.broadcast(_filter(wanted))
@@ -550,6 +565,7 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
                 yield pa.record_batch([pa.array(classes[some]), pa.array([x.tobytes() for x in own], pa.binary())], names=["c", "s"])
 
     described = materialize(keyed.mapInArrow(describe, "c long, s binary").groupBy("c").agg(F.first("s").alias("s")), scratch)
+    tidy(spark)
 
     def mapped(bits: int) -> DataFrame:
         """(c, n, m): the bitmaps of the described sets."""

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -61,6 +62,16 @@ def materialize(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go now.
+
+    Spark removes them once the driver's garbage is collected, which may be
+    long after the next large step has filled the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Remove tables of ``materialize`` that nothing reads any more."""
     for path in paths:
