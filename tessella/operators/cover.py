@@ -88,3 +88,34 @@ def empty_gene_files(lines: DataFrame, code: int | None = None) -> DataFrame:
     detail = F.when(F.col("codeless"), F.lit("model without genetic code")).when(F.col("other") & F.lit(code is not None), F.lit("another genetic code"))
     detail = detail.when(~(F.coalesce("version", F.lit(False)) & F.col("sequence") & F.col("model")), F.lit("not an empty result"))
     return seen.select("path", detail.alias("detail")).where("detail is not null")
+
+
+#: An error line of the completeness tool's log, and the one error with which it may end.
+ERROR_LINE = r"(^|\s)ERROR([\s:]|$)"
+NO_ANNOTATION = "] ERROR: No DIAMOND annotation was generated. Exiting"
+
+
+def no_annotation_problems(lines: DataFrame, hits: DataFrame, bins: DataFrame, proteins: DataFrame, exit_code: int, has_report: bool) -> DataFrame:
+    """(target, detail) for which a run without any annotation must not be accepted as one without results.
+
+    It ended with code 1, without a report, and with the one error that says
+    so; its hit tables (path, size_bytes) are there and empty; every bin file
+    (bin_id, size_bytes) has content and a protein file, which is empty only
+    if the log (value) warned of it once.
+    """
+    spark = lines.sparkSession
+    facts = [(exit_code != 1, "run", "exit code"), (has_report, "run", "a report is there")]
+    fixed = spark.createDataFrame([(t, d) for bad, t, d in facts if bad], "target string, detail string")
+    error = F.col("value").rlike(ERROR_LINE)
+    counts = lines.agg(F.count_if(error).alias("errors"), F.count_if(error & ~F.col("value").endswith(NO_ANNOTATION)).alias("others"))
+    tables = hits.agg(F.count("*").alias("tables"), F.count_if(F.col("size_bytes") > 0).alias("filled"))
+    say = lambda d, when, text: d.where(F.coalesce(when, F.lit(True))).select(F.lit("run").alias("target"), F.lit(text).alias("detail"))
+    sides = {"bin": bins, "protein": proteins, "empty_bin": bins.where("size_bytes = 0"), "empty": proteins.where("size_bytes = 0"), "warned": warned_bins(lines)}
+    rows = reduce(DataFrame.union, [d.select("bin_id", F.lit(n).alias("side")) for n, d in sides.items()])
+    seen = rows.groupBy("bin_id").agg(*[F.count_if(F.col("side") == n).alias(n) for n in sides])
+    detail = F.when(F.col("bin") != 1, F.lit("no bin of that name")).when(F.col("empty_bin") > 0, F.lit("empty bin")).when(F.col("protein") != 1, F.lit("no protein file")).when(F.col("warned") != F.col("empty"), F.lit("warnings and empty proteins differ"))
+    parts = [
+        fixed, say(counts, F.col("errors") != 1, "not one error"), say(counts, F.col("others") > 0, "another error"), say(tables, F.col("tables") == 0, "no hit table"), say(tables, F.col("filled") > 0, "hits are there"),
+        say(bins.agg(F.count("*").alias("n")), F.col("n") == 0, "no bins"), seen.select(F.col("bin_id").alias("target"), detail.alias("detail")).where("detail is not null"),
+    ]
+    return reduce(DataFrame.union, parts)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.operators import binning, collect, genes, native, schema_rules
-from tessella.plans import catalog
+from tessella.operators import binning, collect, cover, genes, native, schema_rules
+from tessella.plans import catalog, report
 from tessella.plans.domain import table
 from tessella.sources import artifacts, documents, manifests, routed, samples, scratch, sinks, tables, versions
 
@@ -294,3 +294,25 @@ def annotation_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.select(F.concat_ws("\t", *[F.col(f"`{c}`") for c in tables.EGGNOG]).alias("value")).write.mode("append").text(path)
     proteins = part.where("p_partkey % 1500 % 7 <> 0").select(F.concat(F.lit("g"), F.col("p_partkey") % 1500).alias("name")).distinct()
     return collect.eggnog_problems(tables.eggnog(spark, path), proteins)
+
+
+@query("""WITH x AS (SELECT 'c' || c_custkey AS sample_id, 'r1' AS run_id, 'x' || c_nationkey AS rev FROM customer)
+SELECT sample_id, run_id, 'source revision differs' AS detail FROM x WHERE rev <> 'x3' UNION ALL SELECT sample_id, run_id, 'run is not in the catalog' FROM x WHERE sample_id NOT IN (SELECT 'c' || o_custkey FROM orders)""")
+def execution_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Executions that are not those of a catalog of one revision, whose runs are the customers with orders."""
+    t = {"catalog_metadata": table(spark, sf_dir, "region").where("r_regionkey = 3").selectExpr("concat('x', r_regionkey) AS source_revision"), "runs": table(spark, sf_dir, "orders").selectExpr("concat('c', o_custkey) AS sample_id", "'r1' AS run_id").distinct()}
+    executions = table(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) AS sample_id", "'r1' AS run_id", "concat('x', c_nationkey) AS original_source_revision")
+    return report.identity_problems(t, executions)
+
+
+@query("""SELECT 'b' || p_partkey AS target, CASE WHEN p_size % 7 = 0 THEN 'empty bin' WHEN p_size % 7 = 1 THEN 'no protein file' WHEN p_size % 7 IN (2, 3) THEN 'warnings and empty proteins differ' END AS detail FROM part WHERE p_size % 7 IN (0, 1, 2, 3)
+UNION ALL SELECT 'run', 'hits are there' WHERE EXISTS (SELECT 1 FROM part WHERE p_size = 1)""")
+def no_annotation_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why a run without annotations is not accepted: bins, their proteins and the log do not tell one story."""
+    part = table(spark, sf_dir, "part").selectExpr("concat('b', p_partkey) AS bin_id", "p_size % 7 AS k", "p_size")
+    warned = part.where("k in (2, 4, 5)").select(F.concat(F.lit("[1] WARNING: Skipping protein file p/"), "bin_id", F.lit(".faa as it was empty.")).alias("value"))
+    lines = warned.union(spark.createDataFrame([("[2] ERROR: No DIAMOND annotation was generated. Exiting",)], "value string"))
+    bins = part.select("bin_id", F.when(F.col("k") == 0, 0).otherwise(5).alias("size_bytes"))
+    proteins = part.where("k <> 1").select("bin_id", F.when(F.col("k").isin(3, 4, 5), 0).otherwise(9).alias("size_bytes"))
+    hits = part.select(F.col("bin_id").alias("path"), F.when(F.col("p_size") == 1, 3).otherwise(0).alias("size_bytes"))
+    return cover.no_annotation_problems(lines, hits, bins, proteins, 1, False)

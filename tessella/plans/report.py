@@ -100,3 +100,11 @@ def assembly_lengths(t: Tables, n: int = 30) -> DataFrame:
 
 def bins_per_class(t: Tables) -> DataFrame:
     return t["bins"].groupBy("candidate_class").agg(F.count("*").alias("bins"))
+
+
+def identity_problems(t: Tables, provenance: DataFrame) -> DataFrame:
+    """(sample_id, run_id, detail): executions (sample_id, run_id, original_source_revision) that are not those of the catalog."""
+    source = t["catalog_metadata"].agg(F.count("*").alias("n"), F.min("source_revision").alias("source")).first()
+    same = F.col("original_source_revision").eqNullSafe(F.lit(source.source)) if source.n == 1 else F.lit(False)
+    other = provenance.where(~same).select(*SCOPE, F.lit("source revision differs").alias("detail"))
+    return other.union(provenance.join(t["runs"].select(*SCOPE), SCOPE, "left_anti").select(*SCOPE, F.lit("run is not in the catalog").alias("detail")))

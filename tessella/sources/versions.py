@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessella.operators.integrity import require_valid
 
 POINTERS, VERSIONS = "_pointers", "versions"
+WHOLE = ["catalog_metadata", "samples", "runs", "read_stats", "assemblies", "stages"]
 
 
 def _files(spark: SparkSession, path: str):
@@ -85,9 +86,9 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, keep:
     version = uuid.uuid4().hex
     try:
         for name, rows in tables.items():
-            parts = [c for c in ("sample_id", "run_id") if c in rows.columns and len(rows.columns) > 2]
-            writer = rows.write
-            (writer.partitionBy(*parts) if parts else writer).parquet(at(VERSIONS, version, name).toString())
+            # tables with few rows for each run are not cut into a folder for each
+            cut = name not in WHOLE and {"sample_id", "run_id"} <= set(rows.columns)
+            (rows.write.partitionBy("sample_id", "run_id") if cut else rows.write).parquet(at(VERSIONS, version, name).toString())
         _point(spark, path, max(numbers, default=0) + 1, version)
     except BaseException:
         if version not in (v for _, v in pointers(spark, path)):

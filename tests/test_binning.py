@@ -97,3 +97,13 @@ def test_sample_sheets(spark, tmp_path):
     p.write_text("sample_id\tplatform\n")
     with pytest.raises(ValueError, match="missing columns reads"):
         samples.read(spark, str(p))
+
+
+def test_executions_belong_to_the_catalog(spark):
+    from tessella.plans import report
+
+    t = {"catalog_metadata": frame(spark, [("rev",)], "source_revision string"), "runs": frame(spark, [("s", "r")], "sample_id string, run_id string")}
+    runs = frame(spark, [("s", "r", "rev"), ("s", "x", "rev"), ("s", "r", "other")], "sample_id string, run_id string, original_source_revision string")
+    assert sorted(map(tuple, report.identity_problems(t, runs).collect())) == [("s", "r", "source revision differs"), ("s", "x", "run is not in the catalog")]
+    t["catalog_metadata"] = t["catalog_metadata"].union(t["catalog_metadata"])
+    assert report.identity_problems(t, runs.limit(1)).count() == 1

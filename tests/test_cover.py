@@ -40,3 +40,24 @@ def test_identities_and_empty_gene_files(spark):
     lines = spark.createDataFrame([(p, x) for p, rows in files.items() for x in rows], "path string, value string")
     assert cells(cover.empty_gene_files(lines, 11)) == [("codeless", "model without genetic code"), ("none", "not an empty result"), ("old", "not an empty result"), ("other", "another genetic code")]
     assert "other" not in [r[0] for r in cells(cover.empty_gene_files(lines))]
+
+
+LOG = ["[1] INFO: x", "[2] WARNING: Skipping protein file p/b2.faa as it was empty.", "[3] ERROR: No DIAMOND annotation was generated. Exiting"]
+
+
+def refused(spark, log=LOG, hits=(("h", 0),), bins=(("b1", 5), ("b2", 5)), proteins=(("b1", 9), ("b2", 0)), code=1, report=False):
+    f = lambda rows, c: spark.createDataFrame(list(rows), c)
+    got = cover.no_annotation_problems(f([(x,) for x in log], "value string"), f(hits, "path string, size_bytes long"), f(bins, "bin_id string, size_bytes long"), f(proteins, "bin_id string, size_bytes long"), code, report)
+    return {(r.target, r.detail) for r in got.collect()}
+
+
+def test_a_run_without_annotations_is_accepted_only_as_a_whole(spark):
+    assert refused(spark) == set()
+    assert refused(spark, code=0, report=True) == {("run", "exit code"), ("run", "a report is there")}
+    assert refused(spark, log=LOG[:2]) == {("run", "not one error")}
+    assert refused(spark, log=[*LOG, "ERROR: other"]) == {("run", "not one error"), ("run", "another error")}
+    assert refused(spark, hits=()) == {("run", "no hit table")} and refused(spark, hits=(("h", 0), ("i", 1))) == {("run", "hits are there")}
+    assert refused(spark, log=[LOG[2]]) == {("b2", "warnings and empty proteins differ")}
+    assert refused(spark, log=[*LOG[:2], *LOG[1:]]) == {("b2", "warnings and empty proteins differ")}
+    assert refused(spark, bins=(("b1", 0), ("b2", 5), ("b3", 1)), proteins=(("b1", 9), ("b2", 0), ("zz", 1))) == {("b1", "empty bin"), ("b3", "no protein file"), ("zz", "no bin of that name")}
+    assert refused(spark, bins=(), proteins=(), log=[LOG[2]]) == {("run", "no bins")}
