@@ -581,13 +581,19 @@ def _classes(docs: DataFrame, text: str, key: str, num: int, den: int, same_key:
     def bounded(some: DataFrame, bits: int) -> DataFrame:
         maps = mapped(bits)
         x = some.join(maps.toDF("a", "na", "va"), "a").join(maps.toDF("b", "nb", "vb"), "b").select("a", "b", "na", "va", "nb", "vb")
-        return materialize(x.mapInArrow(_bound(num, den), "a long, b long"), scratch)
+        kept = materialize(x.mapInArrow(_bound(num, den), "a long, b long"), scratch)
+        del x
+        tidy(spark)
+        return kept
 
     def verified(left: DataFrame) -> DataFrame:
         star = materialize(_stars(left), scratch)
         both = star.select("hub", "part", F.lit(1).alias("role"), "c").union(star.select("hub", "part", F.lit(0).alias("role"), F.col("hub").alias("c")).distinct())
         y = both.join(described.select("c", "s"), "c").select("hub", "part", "role", "c", "s")
-        return materialize(y.repartition("hub", "part").sortWithinPartitions("hub", "part", "role").mapInArrow(_exact(num, den), "a long, b long"), scratch)
+        found = materialize(y.repartition("hub", "part").sortWithinPartitions("hub", "part", "role").mapInArrow(_exact(num, den), "a long, b long"), scratch)
+        del both, y
+        tidy(spark)
+        return found
 
     def between(some: DataFrame, links: DataFrame) -> DataFrame:
         """The pairs whose ends ``links`` leave in different components."""
