@@ -64,7 +64,8 @@ def read_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT side, lang, count(*) AS num_seqs, CAST(sum(length) AS BIGINT) AS sum_len, min(length) AS min_len, max(length) AS max_len, CAST(sum(gc) AS BIGINT) AS gc_bp, any_value(n50_bp) AS n50_bp, CAST(sum(error_sum) AS BIGINT) AS error_sum FROM s LEFT JOIN n USING (side, lang) GROUP BY side, lang""")
 def read_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_as_reads(spark, sf_dir).withColumn("lang", F.substring_index("header", " ", -1))
-    both = rows.withColumn("side", F.lit("raw")).union(reads.kept(rows, "ont").withColumn("side", F.lit("kept")))
+    sides = F.when(reads.is_kept("ont"), F.array(F.lit("raw"), F.lit("kept"))).otherwise(F.array(F.lit("raw")))
+    both = rows.select("*", F.explode(sides).alias("side"))
     return reads.statistics(both, ["side", "lang"])
 
 

@@ -6,10 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.measures import n50
 from tessella.sources import splits
 
 #: Lines of a record, the code of quality zero, lowest length and mean quality of the platforms (no quality for HiFi).
@@ -96,19 +95,31 @@ def mean_quality() -> Column:
     return F.when(F.col("length") > 0, F.round(-10 * F.log10(F.col("error_sum") / (F.col("length") * F.lit(float(PART)))), 6))
 
 
-def kept(reads: DataFrame, platform: str = "ont", least_length: int | None = None, least_quality: int | None = None) -> DataFrame:
-    """Measured reads of the platform's least length and mean quality or more; both bounds belong to what is kept."""
+def is_kept(platform: str = "ont", least_length: int | None = None, least_quality: int | None = None) -> Column:
+    """Whether a measured read has the platform's least length and mean quality or more; both bounds belong to what is kept."""
     length, quality = LIMITS[platform]
     length, quality = least_length if least_length is not None else length, least_quality if least_quality is not None else quality
-    long = reads.where(F.col("length") >= length)
-    return long if quality is None else long.where(F.col("error_sum") <= F.col("length") * F.lit(errors(quality)))
+    long = F.col("length") >= length
+    return long if quality is None else long & (F.col("error_sum") <= F.col("length") * F.lit(errors(quality)))
+
+
+def kept(reads: DataFrame, platform: str = "ont", least_length: int | None = None, least_quality: int | None = None) -> DataFrame:
+    return reads.where(is_kept(platform, least_length, least_quality))
 
 
 def statistics(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """num_seqs, sum_len, min_len, max_len, gc and n50 of measured reads, group by group."""
+    """num_seqs, sum_len, min_len, max_len, gc, n50 and errors of measured reads, group by group.
+
+    All come from the counts of equal lengths, so reads are parsed once. The
+    errors of some million bases exceed 64 bits: their sum is a decimal.
+    """
     gc = F.length(F.regexp_replace(F.upper("sequence"), "[^GC]", ""))
-    whole = reads.groupBy(*keys).agg(F.count("*").alias("num_seqs"), F.sum("length").alias("sum_len"), F.min("length").alias("min_len"), F.max("length").alias("max_len"), F.sum(gc).alias("gc_bp"), F.sum("error_sum").alias("error_sum"))
-    return whole.join(n50(reads.withColumnRenamed("length", "length_bp"), keys), keys, "left").select(*keys, "num_seqs", "sum_len", "min_len", "max_len", "gc_bp", "n50_bp", "error_sum")
+    by_length = reads.groupBy(*keys, "length").agg(F.count("*").alias("n"), F.sum("length").alias("bp"), F.sum(gc).alias("gc"), F.sum(F.col("error_sum").cast("decimal(19,0)")).alias("errors"))
+    w = Window.partitionBy(*keys)
+    run = by_length.withColumn("upto", F.sum("bp").over(w.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("bp").over(w))
+    half = F.when(F.col("upto") >= F.expr("(total + 1) div 2"), F.col("length"))
+    whole = run.groupBy(*keys).agg(F.sum("n").alias("num_seqs"), F.sum("bp").alias("sum_len"), F.min("length").alias("min_len"), F.max("length").alias("max_len"), F.sum("gc").alias("gc_bp"), F.max(half).alias("n50_bp"), F.sum("errors").cast("decimal(38,0)").alias("error_sum"))
+    return whole.select(*keys, "num_seqs", "sum_len", "min_len", "max_len", "gc_bp", "n50_bp", "error_sum")
 
 
 def write_fastq(reads: DataFrame, path: str) -> None:

@@ -88,3 +88,9 @@ def test_statistics_and_writing(spark, tmp_path, monkeypatch):
 def test_empty_files(spark, tmp_path):
     (tmp_path / "a.fastq").write_text("")
     assert rd.fastq(spark, str(tmp_path)).collect() == []
+
+
+def test_sums_beyond_64_bits_are_exact(spark):
+    rows = spark.range(4).selectExpr("'s' AS sample_id", "'GA' AS sequence", "2L AS length", f"{5 * 10**18}L + id AS error_sum")
+    got = rd.statistics(rows, ["sample_id"]).first()
+    assert got.error_sum == 20 * 10**18 + 6 and (got.num_seqs, got.sum_len, got.gc_bp, got.n50_bp) == (4, 8, 4, 2)
