@@ -90,7 +90,7 @@ def bundle_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "part").select(F.concat(F.lit('g"'), "p_partkey").alias("gene_id"), (F.col("p_size").cast("double") / 8).alias("score"))
     path = f"{scratch.folder(spark)}.json"
     manifests.write_bundle({"bins": bins, "genes": found}, {"schema_version": "1"}, {"bins": ["bin_id"], "genes": ["gene_id"]}, path)
-    back = tables.collections(tables.bundle(spark, path, BUNDLE))
+    back = tables.bundle_tables(spark, path, BUNDLE)
     left = back["bins"].select(F.lit("bins").alias("collection"), F.col("bin_id").alias("id"), F.col("size").cast("double").alias("value"), F.array_join("marks", "|").alias("marks"))
     return left.union(back["genes"].select(F.lit("genes"), "gene_id", "score", F.lit(None).cast("string")))
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.sources import splits
+from tessella.sources import scratch, splits
+
+#: Lines of a bundle that are no records, beyond which it is read as a whole.
+FRAME = 10_000
 
 
 def read_table(spark: SparkSession, path: str | list[str], required: list[str] = [], hash_header: bool = False) -> DataFrame:  # noqa: B006
@@ -174,6 +178,44 @@ def bundle(spark: SparkSession, path: str | list[str], schema: T.StructType) ->
     return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
 
 
+def bundle_tables(spark: SparkSession, path: str | list[str], schema: T.StructType) -> dict[str, DataFrame]:
+    """Every list of records in metadata bundles of any size as a table, with the rules of ``bundle``.
+
+    A bundle with one record on a line, the later ones behind a comma, as
+    ``manifests.write_bundle`` writes it, is read in splits; what is left of it
+    without its records must be a bundle with empty lists. Where any file has
+    another layout, all go through ``bundle``, a document at a time.
+    """
+    lists = {f.name: f.dataType.elementType for f in schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)}
+    text = F.col("text")
+    opens = F.coalesce(*[F.when(text == json.dumps(n, ensure_ascii=False) + ": [", F.lit(n)) for n in lists], F.lit(None).cast("string"))
+    lines = splits.lines(spark, path).withColumn("section", F.coalesce(opens, F.when(text.isin("]", "],"), F.lit(""))))
+    lines = splits.placed(lines, ["section"])[0].select("path", "line", "text", F.when(opens.isNull(), F.nullif("section", F.lit(""))).alias("section"))
+    lines = scratch.stable(lines.withColumn("body", F.when(F.col("section").isNotNull() & text.rlike(r"\A,?\{"), F.regexp_replace("text", r"\A,", ""))))
+    own = F.map_keys(F.try_variant_get(F.try_parse_json("body"), "$", "map<string,variant>"))
+    known = F.coalesce(*[F.when(F.col("section") == n, F.array(*[F.lit(f.name) for f in r.fields])) for n, r in lists.items()], F.array().cast("array<string>"))
+    rows = lines.select("path", "line", "section", F.col("section").isNotNull().alias("in"), own.alias("own"), known.alias("known"), text.startswith(",").alias("later"))
+    strange = F.array_join(F.array_except("own", "known"), ", ")
+    sums = rows.groupBy("path", "section").agg(F.count("*").alias("n"), F.count("own").alias("records"), F.count_if(~F.col("later")).alias("firsts"), F.min("line").alias("first"), F.min(F.when(~F.col("later"), F.col("line"))).alias("at"), F.max(F.nullif(strange, F.lit(""))).alias("strange"))
+    sums = sums.withColumn("odd", F.when(F.col("section").isNull(), F.col("n") > FRAME).otherwise((F.col("records") < F.col("n")) | (F.col("firsts") != 1) | (F.col("at") != F.col("first"))))
+    found = sums.agg(F.coalesce(F.bool_or("odd"), F.lit(False)).alias("odd"), F.max("strange").alias("strange")).first()
+    if not found.odd:
+        frame = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
+        frames = lines.where("section is null").groupBy("path").agg(frame.alias("value"), F.collect_set(opens).alias("open"), F.count(opens).alias("opened")).withColumn("v", F.try_parse_json("value"))
+        size = lambda n: F.size(F.try_variant_get("v", f"$.{n}", "array<variant>"))
+        empty = reduce(lambda a, b: a & b, [F.coalesce(size(n) == 0, ~F.array_contains("open", n)) for n in lists], F.col("opened") == F.size("open"))
+        names = F.array_join(F.array_except(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>")), F.array(*[F.lit(f.name) for f in schema.fields])), ", ")
+        whole = F.from_json("value", schema, {"mode": "FAILFAST"})
+        seen = frames.select(F.coalesce(empty & F.col("v").isNotNull(), F.lit(False)).alias("empty"), names.alias("names"), F.when(F.col("v").isNotNull(), F.to_json(whole)).alias("typed"))
+        checked = seen.agg(F.coalesce(F.bool_and("empty"), F.lit(True)).alias("empty"), F.max(F.nullif("names", F.lit(""))).alias("names"), F.count("typed").alias("typed")).first()
+        if checked.empty:
+            if lost := checked.names or found.strange:
+                raise ValueError(f"unknown fields: {lost}")
+            record = lambda n, r: F.from_json("body", r, {"mode": "FAILFAST"}).alias("r")
+            return {n: lines.where(F.col("section") == n).select(record(n, r)).select("r.*") for n, r in lists.items()}
+    return collections(bundle(spark, path, schema))
+
+
 def collections(bundles: DataFrame) -> dict[str, DataFrame]:
     """Every list of records in the bundles as a table of its own."""
     lists = [f.name for f in bundles.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)]

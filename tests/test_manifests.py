@@ -88,3 +88,38 @@ def test_routed_folders_go_out_and_come_back(spark, tmp_path):
     moved = back.union(spark.createDataFrame([("viral_candidate", "v=2+ %3D", "c3", "A")], back.schema))
     assert {r.detail for r in routed.problems(moved, s, o).collect()} == {"in more than one folder", "no origin", "totals differ from the sources"}
     assert {r.detail for r in routed.problems(back.where("name <> 'x'"), s, o).collect()} == {"not staged", "totals differ from the sources"}
+
+
+@pytest.mark.parametrize("layout", ["lines", "pretty", "flat"])
+def test_bundles_are_read_in_splits(spark, tmp_path, monkeypatch, layout):
+    bins = [(f"b{k:03d}", k if k % 3 else None, ["], {", "y"] if k % 2 else []) for k in range(80)]
+    t = {"bins": spark.createDataFrame(bins, "bin_id string, n long, keys array<string>"), "genes": spark.createDataFrame([('"genes": [', 0.5)], "gene_id string, score double"), "none": spark.createDataFrame([], "x string")}
+    path = tmp_path / "bundle.json"
+    mf.write_bundle(t, {"schema_version": "1", "source": "a"}, {"bins": ["bin_id"], "genes": ["gene_id"], "none": ["x"]}, str(path))
+    if layout == "lines":
+        # a whole document of more than 128 MB is no value that Spark parses; here none is parsed as a whole
+        monkeypatch.setattr(src, "bundle", None)
+    else:
+        (tmp_path / ".bundle.json.crc").unlink(missing_ok=True)
+        path.write_text(json.dumps(json.loads(path.read_text()), indent=1 if layout == "pretty" else None))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in old:
+        spark.conf.set(k, "700")
+    try:
+        back = src.bundle_tables(spark, str(path), SCHEMA)
+        assert sorted(map(tuple, back["bins"].collect()), key=str) == sorted(bins, key=str) and list(map(tuple, back["genes"].collect())) == [('"genes": [', 0.5)] and back["none"].count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("old", "new", "says"), [('"n":1', '"n":"1"', "MALFORMED|Malformed|malformed"), ('"n":1', '"m":1', "unknown fields: m"), ('"source"', '"sauce"', "unknown fields: sauce"), (',{"bin_id":"b1"', '{"bin_id":"b1"', "MALFORMED|Malformed|malformed"), ('\n}', '', "MALFORMED|Malformed|malformed")])
+def test_bundles_in_splits_are_strict(spark, tmp_path, old, new, says):
+    t = {"bins": spark.createDataFrame([("b0", 0), ("b1", 1)], "bin_id string, n long"), "genes": spark.createDataFrame([("g", 0.5)], "gene_id string, score double")}
+    path = tmp_path / "bundle.json"
+    mf.write_bundle(t, {"schema_version": "1", "source": "a"}, {"bins": ["bin_id"], "genes": ["gene_id"]}, str(path))
+    assert old in path.read_text()
+    path.write_text(path.read_text().replace(old, new))
+    (tmp_path / ".bundle.json.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match=says):
+        src.bundle_tables(spark, str(path), SCHEMA)["bins"].collect()
