@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.operators.measures import n50
@@ -231,7 +231,13 @@ def contig_assembly(t: Tables) -> DataFrame:
 _filter(33, "depth_artifact", "contigs", "contig_id", "mean_depth_x is not null and coverage_artifact_id is null", "depth without a coverage artifact")
 
 
+#: Rules over an assembly and the sums of its contigs: (condition, detail).
+ASSEMBLY: dict[str, tuple[str, str]] = {}
+
+
 def _assembly(number: int, name: str, condition: str, detail: str) -> None:
+    ASSEMBLY[name] = (condition, detail)
+
     def found(t: Tables) -> DataFrame:
         keys = [*SCOPE, "assembly_id"]
         seen = t["contigs"].groupBy(*keys).agg(F.count("*").alias("n"), F.sum("length_bp").alias("bp"), F.max("length_bp").alias("longest"))
@@ -319,12 +325,92 @@ _filter(62, "paired_coordinates", "annotations", "annotation_id", "(start is nul
 _filter(63, "coordinate_order", "annotations", "annotation_id", "start > end", "annotation ends before it starts")
 
 
+# ---------------------------------------------------------------- rules that share their joins
+
+#: Rules that one job finds together: (names, the job). It takes the tables and the wanted ones of its rules.
+JOINT: list[tuple[list[str], Callable[[Tables, set[str]], DataFrame]]] = []
+
+
+def joint(*names: str) -> Callable:
+    def keep(f: Callable[[Tables, set[str]], DataFrame]) -> Callable:
+        JOINT.append((list(names), f))
+        return f
+
+    return keep
+
+
+def _told(rows: DataFrame, found: dict[str, tuple[Column, Column | str, str]], names: set[str]) -> DataFrame:
+    """``found`` maps a rule to (how often a row breaks it, its key, the detail); a condition counts once."""
+    said = []
+    for name, (times, key, detail) in found.items():
+        if name in names:
+            one = F.struct(F.lit(name).alias("rule_id"), F.lit(RULES[name][0]).alias("rule_order"), (F.col(key) if isinstance(key, str) else key).cast("string").alias("key"), F.lit(detail).alias("detail"))
+            said.append(F.array_repeat(one, F.coalesce(times.cast("int"), F.lit(0))))
+    every = rows.select(F.col("sample_id").cast("string").alias("sample_id"), F.col("run_id").cast("string").alias("run_id"), F.concat(*said).alias("v")).where(F.size("v") > 0)
+    return every.select("sample_id", "run_id", F.explode("v").alias("v")).select("v.rule_id", "v.rule_order", "sample_id", "run_id", "v.key", "v.detail")
+
+
+def _there(*columns: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*SCOPE, *columns]])
+
+
+@joint("result_run", "result_stage", "result_artifact", "result_status", "result_producer", "result_kind")
+def _result_parents(t: Tables, names: set[str]) -> DataFrame:
+    """Results meet each of their parents once; repeated parents are counted, not multiplied."""
+    rows = _results(t)
+    if "result_run" in names:
+        rows = rows.join(t["runs"].select(*SCOPE).distinct().withColumn("_run", F.lit(True)), SCOPE, "left")
+    if names & {"result_stage", "result_status"}:
+        stages = t["stages"].groupBy(*SCOPE, "stage_id").agg(F.coalesce(F.bool_or(F.col("status") != "completed"), F.lit(False)).alias("_open"))
+        rows = rows.join(stages, [*SCOPE, "stage_id"], "left")
+    if names & {"result_artifact", "result_producer", "result_kind"}:
+        kinds = t["artifacts"].groupBy(*SCOPE, "artifact_id", "producer_stage_id", "kind").agg(F.count("*").alias("n"))
+        made = kinds.groupBy(*SCOPE, "artifact_id").agg(F.collect_list(F.struct("producer_stage_id", "kind", "n")).alias("_made"))
+        rows = rows.join(made, [*SCOPE, "artifact_id"], "left")
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in RESULT_KINDS.items() for x in pair]), F.col("collection"))
+    times = lambda bad: F.aggregate("_made", F.lit(0).cast("long"), lambda s, m: s + F.when(bad(m), m["n"]).otherwise(F.lit(0)))
+    found = {
+        "result_run": lambda: (_there() & F.col("_run").isNull(), "key", "result without its run"),
+        "result_stage": lambda: (_there("stage_id") & F.col("_open").isNull(), "key", "result without its stage"),
+        "result_artifact": lambda: (_there("artifact_id") & F.col("_made").isNull(), "key", "result without its artifact"),
+        "result_status": lambda: (F.col("_open"), "key", "result of a stage that is not completed"),
+        "result_producer": lambda: (times(lambda m: ~F.col("stage_id").eqNullSafe(m["producer_stage_id"])), "key", "result and artifact come from different stages"),
+        "result_kind": lambda: (times(lambda m: m["kind"] != wanted), "key", "artifact kind does not match its table"),
+    }
+    return _told(rows, {n: f() for n, f in found.items() if n in names}, names)
+
+
+@joint("duplicate_result", "repeated_expected", "expected_keys")
+def _result_keys(t: Tables, names: set[str]) -> DataFrame:
+    """Keys of results and expected keys meet once, by collection and key."""
+    keys, one, none = [*SCOPE, "collection", "key"], F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = _results(t).select(*keys, "stage_id", one.alias("a"), none.alias("e"))
+    if names & {"repeated_expected", "expected_keys"}:
+        both = both.unionByName(t["stage_expected_keys"].select(*SCOPE, "collection", F.col("record_id").cast("string").alias("key"), "stage_id", none.alias("a"), one.alias("e")))
+    sums = both.repartition(*keys).groupBy(*keys, "stage_id").agg(F.sum("a").alias("a"), F.sum("e").alias("e"))
+    w = Window.partitionBy(*keys)
+    rows = sums.withColumns({"all": F.sum("a").over(w), "nth": F.row_number().over(w.orderBy("stage_id"))})
+    found = {"duplicate_result": ((F.col("all") > 1) & (F.col("nth") == 1), "key", "duplicate key of a result"), "repeated_expected": (F.col("e") > 1, "stage_id", "stage repeats an expected key")}
+    if "expected_keys" in names:
+        done = t["stages"].where("status = 'completed'").select(*SCOPE, "stage_id").distinct().withColumn("_done", F.lit(True))
+        rows = rows.where("all > 1 or e > 1 or (a > 0) <> (e > 0)").join(done, [*SCOPE, "stage_id"], "left")
+        found["expected_keys"] = (F.col("_done") & ((F.col("a") > 0) != (F.col("e") > 0)), F.concat_ws(":", "collection", "key"), "expected and actual keys differ")
+    return _told(rows, found, names)
+
+
 def violations(tables: Tables, names: list[str] | None = None) -> DataFrame:
     """All violations of all rules whose tables are there, or of the named ones."""
-    parts = []
+    wanted = {}
     for name, (number, needs, find) in sorted(RULES.items(), key=lambda x: x[1][0]):
         if (names is None or name in names) and all(n in tables for n in needs) and (number not in ANY_RESULT or any(n in tables for n in RESULT_KEYS)) and (number not in ANY_FEATURE or any(n in tables for n in ("ssu", "viruses", "genes"))):
-            parts.append(find(tables).select(F.lit(name).alias("rule_id"), F.lit(number).alias("rule_order"), "*"))
+            wanted[name] = find
+    parts = []
+    for group, find in JOINT:
+        several = {n for n in group if n in wanted}
+        if len(several) > 1:
+            parts.append(find(tables, several))
+            wanted = {n: f for n, f in wanted.items() if n not in several}
+    parts += [find(tables).select(F.lit(name).alias("rule_id"), F.lit(RULES[name][0]).alias("rule_order"), "*") for name, find in wanted.items()]
     return _union(parts)
 
 
