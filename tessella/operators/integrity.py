@@ -398,6 +398,19 @@ def _result_keys(t: Tables, names: set[str]) -> DataFrame:
     return _told(rows, found, names)
 
 
+@joint("contig_count", "assembly_length", "n50_present", "n50_absent", "n50_bound", "n50_value")
+def _assembly_sums(t: Tables, names: set[str]) -> DataFrame:
+    """Assemblies meet the sums of their contigs once."""
+    keys = [*SCOPE, "assembly_id"]
+    by_length = t["contigs"].groupBy(*keys, "length_bp").agg(F.count("*").alias("n"), F.sum("length_bp").alias("bp"))
+    w = Window.partitionBy(*keys)
+    run = by_length.withColumns({"upto": F.sum("bp").over(w.orderBy(F.desc("length_bp")).rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("bp").over(w)})
+    half = F.when(F.col("upto") >= F.expr("(total + 1) div 2"), F.col("length_bp"))
+    seen = run.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bp").alias("bp"), F.max("length_bp").alias("longest"), F.max(half).alias("seen_n50"))
+    rows = t["assemblies"].join(seen, keys, "left").na.fill(0, ["n", "bp"])
+    return _told(rows, {name: (F.expr(condition), "assembly_id", detail) for name, (condition, detail) in ASSEMBLY.items()}, names)
+
+
 def violations(tables: Tables, names: list[str] | None = None) -> DataFrame:
     """All violations of all rules whose tables are there, or of the named ones."""
     wanted = {}
