@@ -118,3 +118,22 @@ def test_report_tables(spark):
     assert report.read_outcomes(t).first().total == 10
     assert report.same_rank_conflicts(t).count() == 0
     assert report.feature_artifacts(t).count() == 2
+
+
+SHARED = {"results": (range(20, 27), 4), "keys": ((19, 27, 29), 1), "assemblies": (range(34, 40), 1), "targets": ((44, 51), 1), "features": ((52, 54), 1), "genes": ((55, 57), 2)}
+
+
+@pytest.mark.parametrize("group", list(SHARED))
+def test_rules_of_one_kind_share_their_joins(spark, group):
+    numbers, joins = SHARED[group]
+    rows = valid()
+    for copied in ("stages", "artifacts", "genes", "stage_expected_keys", "samples", "bins", "contigs"):
+        copy(copied)(rows)
+    for name, apply in CASES.items():
+        if integrity.RULES[name][0] in numbers and name not in ("duplicate_result", "repeated_expected"):
+            apply(rows)
+    t = tables(spark, rows)
+    names = [n for n, (number, *_) in integrity.RULES.items() if number in numbers]
+    together = integrity.violations(t, names)
+    assert sorted(map(tuple, together.collect()), key=str) == sorted((tuple(r) for n in names for r in integrity.violations(t, [n]).collect()), key=str)
+    assert together._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= joins
