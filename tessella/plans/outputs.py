@@ -105,6 +105,10 @@ def stage_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.select("stage_id", "position", F.lit("input").alias("collection"), F.col("artifact_id").alias("record_id")).union(expected.select("stage_id", F.lit(None).cast("int"), "collection", "record_id"))
 
 
+#: Folders that the manifests' files are dealt to; a task makes a folder's files, another one lists them.
+FOLDERS = 256
+
+
 @query("""SELECT 'g' || s_suppkey AS parent, tool AS stage, CASE WHEN s_suppkey % 3 = 0 THEN 'skipped' WHEN tool = 'beta' THEN 'pending' ELSE 'completed' END AS status, CASE WHEN s_suppkey % 3 = 0 THEN 'not asked' WHEN tool = 'beta' THEN 'beta had no applicable input in g' || s_suppkey || '.' END AS reason, tool || '.tsv' AS result, s_name AS log
  FROM supplier, (VALUES ('alpha'), ('beta')) v(tool)""")
 def stage_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +119,9 @@ def stage_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.struct(F.concat(F.lit("g"), "s_suppkey").alias("stage"), F.when(done, F.lit("completed")).otherwise(F.lit("skipped")).alias("status"), F.lit("t").alias("tool"), F.lit("1").alias("tool_version"), F.lit("run it").alias("command"), F.when(~done, F.lit("not asked")).alias("reason"),
                         F.struct(F.col("s_name").alias("log"), F.lit("all").alias("result")).alias("outputs"), F.struct(tool("alpha", None).alias("alpha"), tool("beta", "pending").alias("beta")).alias("tools"))
     path = scratch.folder(spark)
-    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), text(document).alias("value")).repartition("k").write.partitionBy("k").text(path)
+    placed = table(spark, sf_dir, "supplier").select(F.pmod("s_suppkey", F.lit(FOLDERS)).alias("folder"), text(document).alias("value"))
+    # by number, as tables of few bytes would otherwise become one task, which makes all files
+    placed.repartition(FOLDERS, "folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
     rows, bad = manifests.manifests(spark, path)
     if found := bad.first():
         raise ValueError(found.detail)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.sources import scratch
+
 #: States of a stage, fields of a tool's entry and of a stage's manifest; those with True must be there.
 STATES = ["completed", "failed", "skipped", "pending"]
 TOOL = {"version": True, "output": True, "status": False, "database_name": False, "database_version": False, "reason": False, "command_file": False}
@@ -56,24 +58,35 @@ def problems(v: Column, kind: T.DataType, path: str = "$", must: bool = False) -
     return F.when(there, found).otherwise(lost)
 
 
-def documents(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(path and the typed fields of every JSON document, problems as (path, detail)); nothing is coerced."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("v"))
+def _checked(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """(path, the typed fields, ``_found``: an array of problems) of every JSON document.
+
+    A small file costs its opening, so files are opened once; whatever asks
+    for fields or problems reads the table of their texts.
+    """
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = scratch.stable(texts.hint("rebalance")).select("path", F.try_parse_json("value").alias("v"))
     found = F.when(F.col("v").isNull(), F.array(F.lit("no JSON"))).otherwise(problems(F.col("v"), schema, must=True))
     fields = [F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
-    return raw.select("path", *fields), raw.select("path", F.explode(F.array_distinct(found)).alias("detail"))
+    return raw.select("path", *fields, F.array_distinct(found).alias("_found"))
+
+
+def documents(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(path and the typed fields of every JSON document, problems as (path, detail)); nothing is coerced."""
+    rows = _checked(spark, path, schema)
+    return rows.drop("_found"), rows.select("path", F.explode("_found").alias("detail"))
 
 
 def manifests(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(stage manifests, problems): one row for each file, ``command`` as text, a list of arguments as JSON."""
-    rows, bad = documents(spark, path, STAGE_SCHEMA)
+    rows = _checked(spark, path, STAGE_SCHEMA)
     text = F.coalesce(F.try_variant_get("command", "$", "string"), F.to_json("command"))
     listed = F.schema_of_variant("command")
     rows = rows.withColumns({"command": F.when(listed == "STRING", F.try_variant_get("command", "$", "string")).when(listed.startswith("ARRAY"), text), "outputs": F.coalesce("outputs", F.create_map().cast("map<string,string>")), "_kind": listed})
-    states = rows.select("path", F.filter(F.concat(F.array("status"), F.coalesce(F.transform(F.map_values("tools"), lambda x: F.coalesce(x["status"], F.lit("completed"))), _none())), lambda s: ~s.isin(STATES)).alias("s"))
-    more = states.select("path", F.explode("s").alias("s")).select("path", F.concat(F.lit("unknown status: "), "s").alias("detail"))
-    kinds = rows.where(~F.col("_kind").startswith("ARRAY") & (F.col("_kind") != "STRING")).select("path", F.lit("$.command: no text or list").alias("detail"))
-    return rows.drop("_kind"), bad.union(more).union(kinds)
+    states = F.filter(F.concat(F.array("status"), F.coalesce(F.transform(F.map_values("tools"), lambda x: F.coalesce(x["status"], F.lit("completed"))), _none())), lambda s: ~s.isin(STATES))
+    more = F.transform(states, lambda s: F.concat(F.lit("unknown status: "), s))
+    kinds = F.when(~F.col("_kind").startswith("ARRAY") & (F.col("_kind") != "STRING"), F.array(F.lit("$.command: no text or list"))).otherwise(_none())
+    return rows.drop("_kind", "_found"), rows.select("path", F.explode(F.concat("_found", more, kinds)).alias("detail"))
 
 
 def stages(rows: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@ import json
 import pytest
 from pyspark.sql import types as T
 
+from tessella.plans import outputs
 from tessella.sources import manifests as mf
-from tessella.sources import routed
+from tessella.sources import routed, scratch
 from tessella.sources import tables as src
 
 GOOD = {"stage": "quality", "status": "completed", "tool": "nf", "tool_version": "1", "command": ["a", "b c"], "outputs": {"result": "x", "log": "y"}, "tools": {"checkm2": {"version": "2", "output": "q.tsv"}, "checkm1": {"version": "3", "output": "r.tsv", "status": "skipped"}}}
@@ -47,6 +48,27 @@ def test_manifests_are_strict_at_every_depth(spark, tmp_path, document, detail):
     assert ("m0.json", detail) in found and {p for p, _ in found} == {"m0.json"}
 
 
+def test_files_are_opened_once(spark, tmp_path):
+    rows, bad = mf.manifests(spark, write(tmp_path, GOOD, changed(extra=1), "{"))
+    for p in tmp_path.glob("m*.json"):
+        p.unlink()
+    assert {(r.path[-7:], r.detail) for r in bad.collect()} == {("m1.json", "$.extra: unknown"), ("m2.json", "no JSON")}
+    assert sorted(r.stage for r in mf.stages(rows.where("path like '%m0.json'")).collect()) == ["checkm1", "checkm2"]
+
+
+def test_manifest_files_are_dealt_to_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(outputs, "FOLDERS", 4)
+    paths = iter(str(tmp_path / f"f{k}") for k in range(9))
+    monkeypatch.setattr(scratch, "folder", lambda _: next(paths))
+    # equal keys are two manifests as well
+    rows = [(k, f"n{k}") for k in range(1, 21)] + [(7, "again")]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = outputs.stage_manifests(spark, str(tmp_path)).collect()
+    assert sorted((r.parent, r.stage, r.log) for r in got) == sorted((f"g{k}", t, n) for k, n in rows for t in ("alpha", "beta"))
+    made = [p for p in (tmp_path / "f0").rglob("part-*")]
+    assert len(made) == len(rows) and len({p.parent for p in made}) == 4
+
+
 SCHEMA = T.StructType([
     T.StructField("schema_version", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("bins", T.ArrayType(T.StructType().add("bin_id", "string").add("n", "long").add("keys", T.ArrayType(T.StringType())))),
