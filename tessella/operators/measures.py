@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.operators.keys import WIDTH, in_blocks
+from tessella.operators.keys import WIDTH
 
 
 def n50(contigs: DataFrame, keys: list[str], length: str = "length_bp") -> DataFrame:
@@ -122,21 +123,37 @@ def sequence_digest(sequences: DataFrame, keys: list[str], name: str = "name", s
     return rows.mapInArrow(run, schema)
 
 
-def covered_bases(alignments: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
-    """numreads, aligned bases and covered bases from one-based inclusive start and end.
+def _covered(stretches: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """numreads, aligned bases and covered bases of stretches (start, end, ends counted in; ``_n``, the reads that each stands for).
 
-    Alignments with one start are counted map-side and only the longest goes
-    on, so a block of ``width`` positions has that many rows at most. Each
-    block takes the furthest end of the blocks before it.
+    Stretches are cut where a block of ``width`` positions ends, so no block
+    needs what lies before it, and the stretches are made once. Pieces with
+    one start are counted map-side and only the longest goes on, so a block
+    has that many rows at most.
     """
-    at = alignments.groupBy(*keys, "start").agg(F.count("*").alias("n"), F.sum(F.expr("end - start + 1")).alias("bp"), F.max("end").alias("end"))
-    seen = in_blocks(at, keys, "start", width, F.max("end"), F.max)
+    first, last = F.floor(F.col("start") / F.lit(width)), F.floor(F.col("end") / F.lit(width))
+    cut = stretches.select("*", F.explode_outer(F.sequence(first, F.greatest(first, last))).alias("_block"))
+    lo, border = F.greatest(F.col("start"), F.col("_block") * width), (F.col("_block") + 1) * width - 1
+    hi = F.when(F.col("end") > border, border).otherwise(F.col("end"))
+    n = F.when(F.col("start") < F.col("_block") * width, F.lit(0)).otherwise(F.col("_n"))
+    pieces = cut.select(*keys, "_block", lo.alias("start"), hi.alias("end"), n.alias("_n"))
+    at = pieces.groupBy(*keys, "_block", "start").agg(F.sum("_n").alias("n"), F.sum(F.expr("end - start + 1")).alias("bp"), F.max("end").alias("end"))
     before = F.max("end").over(Window.partitionBy(*keys, "_block").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    reached = F.greatest(F.coalesce(before, F.lit(0)), F.coalesce("_carry", F.lit(0)), F.col("start") - 1)
-    step = seen.withColumn("fresh", F.greatest(F.lit(0), F.col("end") - reached))
+    reached = F.greatest(F.coalesce(before, F.lit(0)), F.col("start") - 1)
+    step = at.withColumn("fresh", F.greatest(F.lit(0), F.col("end") - reached))
     return step.groupBy(*keys).agg(F.sum("n").alias("numreads"), F.sum("bp").cast("long").alias("aligned_bp"), F.sum("fresh").cast("long").alias("covbases"))
 
 
+def covered_bases(alignments: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """numreads, aligned bases and covered bases from one-based inclusive start and end."""
+    return _covered(alignments.select(*keys, "start", "end", F.lit(1).cast("long").alias("_n")), keys, width)
+
+
+def _of_contigs(contigs: DataFrame, sums: list[DataFrame], keys: list[str], length: str) -> DataFrame:
+    both = reduce(lambda a, b: a.join(b, keys, "left"), sums, contigs.select(*keys, length)).na.fill(0, ["numreads", "aligned_bp", "covbases"])
+    return both.select(*keys, length, "numreads", "covbases", (100 * F.col("covbases") / F.col(length)).alias("coverage"), (F.col("aligned_bp") / F.col(length)).alias("meandepth"))
+
+
 def contig_coverage(contigs: DataFrame, alignments: DataFrame, blocks: DataFrame, keys: list[str], length: str = "length_bp", width: int = WIDTH) -> DataFrame:
     """numreads, covbases, coverage in percent and meandepth of every contig, zero where nothing aligns.
 
@@ -145,9 +162,18 @@ def contig_coverage(contigs: DataFrame, alignments: DataFrame, blocks: DataFrame
     not count.
     """
     reads = alignments.groupBy(*keys).agg(F.count("*").alias("numreads"))
-    bases = covered_bases(blocks, keys, width).drop("numreads")
-    both = contigs.select(*keys, length).join(reads, keys, "left").join(bases, keys, "left").na.fill(0, ["numreads", "aligned_bp", "covbases"])
-    return both.select(*keys, length, "numreads", "covbases", (100 * F.col("covbases") / F.col(length)).alias("coverage"), (F.col("aligned_bp") / F.col(length)).alias("meandepth"))
+    return _of_contigs(contigs, [reads, covered_bases(blocks, keys, width).drop("numreads")], keys, length)
+
+
+def record_coverage(contigs: DataFrame, records: DataFrame, keys: list[str], blocks: str = "blocks", length: str = "length_bp", width: int = WIDTH) -> DataFrame:
+    """``contig_coverage`` of records that have their stretches in a column, from one pass over them.
+
+    A record's first stretch counts the read; one without stretches counts
+    as a read that covers nothing.
+    """
+    each = records.select(*keys, F.posexplode_outer(blocks).alias("_at", "_b"))
+    stretches = each.select(*keys, F.col("_b.start").alias("start"), F.col("_b.end").alias("end"), F.when(F.col("_at") > 0, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("_n"))
+    return _of_contigs(contigs, [_covered(stretches, keys, width)], keys, length)
 
 
 def top_totals(rows: DataFrame, keys: list[str], total: str, n: int = 30) -> DataFrame:

@@ -119,8 +119,7 @@ def alignment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads, covered bases and mean depth of every contig; deletions and introns are not covered."""
     rows = alignments.primary(lines_as_alignments(spark, sf_dir))
     contigs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("c"), F.pmod("s_suppkey", F.lit(50))).alias("contig"), F.lit(50_000).cast("long").alias("length_bp")).distinct()
-    blocks = rows.select("contig", F.explode(alignments.aligned_blocks(F.col("cigar"), F.col("start"))).alias("b")).select("contig", "b.*")
-    return measures.contig_coverage(contigs, rows, blocks, ["contig"])
+    return measures.record_coverage(contigs, rows.select("contig", alignments.aligned_blocks(F.col("cigar"), F.col("start")).alias("blocks")), ["contig"])
 
 
 # ---------------------------------------------------------------- features

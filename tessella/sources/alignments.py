@@ -24,7 +24,8 @@ def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     text of another form raise when the row is read.
     """
     raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    rows = raw.where(~F.col("value").startswith("@") & (F.col("value") != "")).withColumn("c", F.split("value", "\t"))
+    # exploded, as a filter on cells would otherwise move below and divide the line again for each use of a cell
+    rows = raw.where(~F.col("value").startswith("@") & (F.col("value") != "")).select("*", F.explode(F.array(F.split("value", "\t"))).alias("c"))
     bad = lambda what: F.raise_error(F.concat(F.lit(f"{what}: "), F.col("value")))
     rows = rows.withColumn("c", F.when(F.size("c") >= len(COLUMNS), F.col("c")).otherwise(bad("too few columns")))
     cell = {n: F.col("c")[k] for k, n in enumerate(COLUMNS)}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.operators import keys, measures
+from tessella.plans import records as plans
 from tessella.sources import alignments as al
 
 
@@ -109,3 +110,31 @@ def test_mean_depth(spark):
     blocks = records.select("contig", F.explode(al.aligned_blocks(F.col("cigar"), F.col("start"))).alias("b")).select("contig", "b.*")
     got = sorted(map(tuple, measures.contig_coverage(contigs, records, blocks, ["contig"], width=7).collect()))
     assert got == [("a", 100, 2, 25, 25.0, 0.4), ("b", 50, 0, 0, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("width", [3, 50, keys.WIDTH])
+def test_coverage_of_records_in_one_pass_equals_brute_force(spark, width):
+    draw = random.Random(width)
+    stretch = lambda: (s := draw.randint(1, 150), s + draw.choice([-1, 0, 4, 90]))
+    rows = [(draw.choice("abz"), [stretch() for _ in range(draw.randint(0, 4))]) for _ in range(60)] + [("a", None), ("b", [(1, 400), (2, 3)])]
+    df = spark.createDataFrame(rows, "contig string, blocks array<struct<start:bigint,end:bigint>>").repartition(3)
+    contigs = spark.createDataFrame([("a", 500), ("b", 500), ("c", 500)], "contig string, length_bp long")
+    want = []
+    for c in "abc":
+        own = [b for n, b in rows if n == c]
+        every = [x for b in own for x in b or []]
+        covered = len({p for s, e in every for p in range(s, e + 1)})
+        want.append((c, 500, len(own), covered, 100 * covered / 500, sum(e - s + 1 for s, e in every) / 500))
+    assert sorted(map(tuple, measures.record_coverage(contigs, df, ["contig"], width=width).collect())) == want
+    other = measures.contig_coverage(contigs, df, df.select("contig", F.explode("blocks").alias("b")).select("contig", "b.*"), ["contig"], width=width)
+    assert sorted(map(tuple, other.collect())) == want
+
+
+def test_alignment_coverage_reads_records_once(spark, tmp_path):
+    lines = [(1, 1, 3, 6, 25.0, 0.05), (1, 2, 4, 7, 30.0, 0.0), (2, 1, 3, 8, 25.0, 0.05)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(3,), (4,), (5,)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = plans.alignment_coverage(spark, str(tmp_path))
+    assert sorted((r.contig, r.numreads, r.covbases) for r in got.collect()) == [("c3", 1, 31), ("c4", 1, 30), ("c5", 0, 0)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 1 and plan.count("split(value") == 1
