@@ -33,14 +33,14 @@ LIMIT = 1 << 26
 BLOCK_BYTES = 16 << 20
 #: Candidates of one tree, by rows and by bytes; points of a leaf; pairs of nodes looked at together.
 CHUNK_ROWS, CHUNK_BYTES = 1 << 14, 32 << 20
-ANCHOR_LEAF, LEAF = 32, 256
+ANCHOR_LEAF, LEAF = 128, 1024
 PAIRS = 4096
-#: Pairs of leaves after which the finds are cut.
-OFTEN = 32
 #: Rows of the sample.
 SAMPLE = 4096
-#: Found rows held before they are cut to the best of each group.
-HELD = 1 << 17
+#: Found rows held before they are cut to the best of each group; beyond that, as many as the last cut left.
+HELD = 1 << 13
+#: Scores below these bounds are whole numbers in single and in double precision, whatever the order of their sums.
+SINGLE, DOUBLE = 1 << 24, 1 << 53
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
@@ -73,8 +73,8 @@ class Tree:
         self.start, self.end, self.child = table[:, 0], table[:, 1], table[:, 2]
         self.ids, self.rows, self.labels, self.order = ids[order], rows[order], labels, order
         self.x, points = x[order], points[order]
-        self.points = points
-        self.most = np.abs(points).max(initial=0)
+        self.points, self.single = points, points.astype(np.float32)
+        self.longest = np.sqrt((points**2).sum(axis=1).max(initial=0))
         self.centre = np.stack([points[lo:hi].mean(axis=0) if hi > lo else np.zeros(x.shape[1]) for lo, hi, _, _ in nodes])
         self.radius = np.array([np.sqrt(((points[lo:hi] - c) ** 2).sum(axis=1).max(initial=0)) for (lo, hi, _, _), c in zip(nodes, self.centre, strict=True)])
         self.norm = np.sqrt((self.centre**2).sum(axis=1))
@@ -95,25 +95,36 @@ def interval(a: Tree, i: np.ndarray, c: Tree, j: np.ndarray) -> tuple[np.ndarray
 
 
 def exact(a: Tree, s: slice, c: Tree, t: slice) -> np.ndarray:
-    """Integer inner products of two ranges of rows."""
-    if a.most * c.most * a.x.shape[1] < 2.0**53:
-        return (a.points[s] @ c.points[t].T).astype(np.int64)
+    """Whole inner products of two ranges of rows, in the narrowest type that holds every partial sum."""
+    most = 1.001 * a.longest * c.longest  # no part of a sum exceeds the product of the lengths
+    if most < SINGLE:
+        return a.single[s] @ c.single[t].T
+    if most < DOUBLE:
+        return a.points[s] @ c.points[t].T
     return np.einsum("ij,kj->ik", a.x[s], c.x[t])
 
 
+def _as(bounds: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Bounds that compare with ``score`` as they are; beyond all scores of its type it doesn't matter how far."""
+    if score.dtype == np.int64:
+        return bounds
+    most = SINGLE if score.dtype == np.float32 else DOUBLE
+    return np.clip(bounds, -most, most).astype(score.dtype)
+
+
 class Best:
     """The first ``k`` rows of every group by falling score, then rising id."""
 
     def __init__(self, floors: np.ndarray, k: int) -> None:
         self.k, self.least = k, floors.copy()  # scores below ``least`` cannot be among the first k
         self.parts: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
+        self.size = self.kept = self.cuts = 0
 
     def add(self, *columns: np.ndarray) -> None:
-        """Group, score, id and row of each find."""
+        """Group, score, id and row of each find. A cut sorts all that is held, so it waits until as much is new."""
         self.parts.append(columns)
         self.size += len(columns[0])
-        if self.size > HELD:
+        if self.size - self.kept > max(HELD, self.kept):
             self.cut()
 
     def cut(self) -> tuple[np.ndarray, ...]:
@@ -127,7 +138,8 @@ class Best:
         self.least[group[last]] = np.maximum(self.least[group[last]], score[last])
         keep = place < self.k
         self.parts = [(group[keep], score[keep], ids[keep], rows[keep])]
-        self.size = int(keep.sum())
+        self.size = self.kept = int(keep.sum())
+        self.cuts += 1
         return self.parts[0]
 
 
@@ -139,7 +151,7 @@ def search(a: Tree, c: Tree, best: Best, same: bool, low: np.ndarray, high: np.n
     candidates of the anchor's label, other rows than itself; otherwise for
     candidates of other labels.
     """
-    bands, scored = low.shape[1], 0
+    scored, cuts = 0, best.cuts
     floors = lambda: np.maximum(low, best.least.reshape(low.shape))
     low_node, high_node = a.over_nodes(np.minimum, floors()), a.over_nodes(np.maximum, high)
     stack = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -158,13 +170,10 @@ def search(a: Tree, c: Tree, best: Best, same: bool, low: np.ndarray, high: np.n
         i, j = i[order], j[order]
         leaves = (a.child[i] == 0) & (c.child[j] == 0)
         bounds = zip(down[order][leaves].tolist(), up[order][leaves].tolist(), strict=True)
-        for k, (m, n, within) in enumerate(zip(i[leaves].tolist(), j[leaves].tolist(), bounds, strict=True)):
-            scored += _leaves(a, m, c, n, within, best, same, low, high, bands)
-            if k % OFTEN == OFTEN - 1:
-                best.cut()  # so that later pairs of leaves meet higher floors
-        if leaves.any():
-            best.cut()
-            low_node = a.over_nodes(np.minimum, floors())
+        for m, n, within in zip(i[leaves].tolist(), j[leaves].tolist(), bounds, strict=True):
+            scored += _leaves(a, m, c, n, within, best, same, low, high)
+        if best.cuts > cuts:
+            low_node, cuts = a.over_nodes(np.minimum, floors()), best.cuts
         i, j = i[~leaves], j[~leaves]
         if len(i):
             # the side with more rows is divided
@@ -174,21 +183,40 @@ def search(a: Tree, c: Tree, best: Best, same: bool, low: np.ndarray, high: np.n
     return scored
 
 
-def _leaves(a: Tree, m: int, c: Tree, n: int, within: tuple[float, float], best: Best, same: bool, low: np.ndarray, high: np.ndarray, bands: int) -> int:
+def _leaves(a: Tree, m: int, c: Tree, n: int, within: tuple[float, float], best: Best, same: bool, low: np.ndarray, high: np.ndarray) -> int:
     s, t = slice(a.start[m], a.end[m]), slice(c.start[n], c.end[n])
-    floor = np.maximum(low[s], best.least.reshape(low.shape)[s])
-    if not ((floor <= within[1]) & (high[s] >= within[0])).any():
+    floor, ceiling = np.maximum(low[s], best.least.reshape(low.shape)[s]), high[s]
+    if not ((floor <= within[1]) & (ceiling >= within[0])).any():
         return 0
     score = exact(a, s, c, t)
-    fits = a.labels[s, None] == c.labels[None, t]
-    fits = fits & (a.rows[s, None] != c.rows[None, t]) if same else ~fits
+    # one look for all bands finds the scores that any of them could take, mostly a few
+    near = score >= _as(floor.min(axis=1), score)[:, None]
+    if np.count_nonzero(near) > near.size // 16:
+        near &= score <= _as(ceiling.max(axis=1), score)[:, None]
+    if a.first_label[m] != a.last_label[m] or c.first_label[n] != c.last_label[n] or (a.first_label[m] == c.first_label[n]) != same:
+        near &= (a.labels[s, None] == c.labels[None, t]) == same
+    x, y = np.divmod(np.flatnonzero(near), near.shape[1])
+    value, bands = score[x, y].astype(np.int64), low.shape[1]
     for band in range(bands):
-        x, y = np.nonzero(fits & (score >= floor[:, band, None]) & (score <= high[s, band, None]))
-        if len(x):
-            best.add((x + s.start) * bands + band, score[x, y], c.ids[t][y], c.rows[t][y])
+        fits = (value >= floor[x, band]) & (value <= ceiling[x, band])
+        if same:
+            fits &= a.rows[s][x] != c.rows[t][y]
+        if fits.any():
+            best.add(*_ahead(best.k, (x[fits] + s.start) * bands + band, value[fits], c.ids[t][y[fits]], c.rows[t][y[fits]]))
     return 1
 
 
+def _ahead(k: int, group: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Finds of one pair of leaves, of rising groups, without those that k others of their group precede, if they are many."""
+    if len(group) > 4 * k * (1 + group[-1] - group[0]):
+        order = np.lexsort((rows, ids, -score, group))
+        first = np.append(True, group[1:] != group[:-1])
+        place = np.arange(len(group)) - np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
+        keep = order[place < k]
+        return group[keep], score[keep], ids[keep], rows[keep]
+    return group, score, ids, rows
+
+
 def prepared(vectors: DataFrame, relabelled: Column, vector: str = "embedding", key: str = "vec_id", label: str = "label") -> DataFrame:
     """(row, id, label, x) of the rows that take part, components scaled to whole numbers."""
     kind = vectors.schema[vector].dataType.elementType.simpleString()

@@ -91,3 +91,45 @@ def test_query_equals_its_sql(spark):
     want = con.sql(ORACLE_SQL["op13_hard_negatives"])
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
     assert [t for _, t in got.dtypes] == ["bigint", "bigint", "int", "bigint", "bigint", "bigint"]
+
+
+def test_cuts_sort_a_few_times_what_is_found():
+    class Tallied(hn.Best):
+        found = held = 0
+
+        def add(self, *columns):
+            self.found += len(columns[0])
+            super().add(*columns)
+
+        def cut(self):
+            self.held += self.size
+            return super().cut()
+
+    draw = np.random.default_rng(4)
+    x = np.floor(draw.normal(0, 30, (9000, 16))).astype(np.int64)
+    at, labels = np.arange(9000), draw.integers(0, 3, 9000)
+    a = hn.Tree(at[:1000], at[:1000], labels[:1000], x[:1000], 8)
+    low, high = np.zeros((1000, 5), np.int64), np.arange(1, 6)[None, :] * np.full((1000, 1), 1500)
+    best = Tallied(np.full(5000, hn.LEAST), 10)
+    for lo in range(1000, 9000, 2000):
+        hn.search(a, hn.Tree(*(y[lo : lo + 2000] for y in (at, at, labels, x)), 64), best, False, low, high)
+    group, score, ids, _ = best.cut()
+    assert best.held < 4 * best.found
+    for k in range(0, 1000, 101):
+        anchor = int(a.order[k])
+        others = sorted((-int(x[anchor] @ x[m]), m) for m in range(1000, 9000) if labels[m] != labels[anchor])
+        for band in range(5):
+            mine = group == k * 5 + band
+            assert list(zip(-score[mine], ids[mine], strict=True)) == [s for s in others if low[k, band] <= -s[0] <= high[k, band]][:10]
+
+
+@pytest.mark.parametrize("most", [100, 4000, 1 << 23, 1 << 26])
+def test_scores_are_exact_at_every_width(most):
+    draw = np.random.default_rng(most)
+    x = draw.integers(-most, most, (40, 9), endpoint=True)
+    x[:20] = np.sign(x[:20]) * most
+    tree = hn.Tree(np.arange(40), np.arange(40), np.zeros(40, np.int64), x, 64)
+    score = hn.exact(tree, slice(0, 40), tree, slice(0, 40))
+    want = np.array([[sum(int(p) * int(q) for p, q in zip(u, v, strict=True)) for v in x] for u in x])
+    assert (score.astype(np.int64) == want).all()
+    assert score.dtype == (np.float32 if most == 100 else np.float64 if most <= 1 << 23 else np.int64)
