@@ -9,6 +9,7 @@ are left out.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.operators.measures import n50
+from tessella.sources import scratch
 
 SCOPE = ["sample_id", "run_id"]
 #: Each result table's key and the kind of artifact it comes from.
@@ -65,9 +67,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _result_tables(t: Tables) -> Tables:
+    """(collection, key, scope, stage_id, artifact_id) of every row of each result table."""
+    return {n: t[n].select(F.lit(n).alias("collection"), F.col(k).cast("string").alias("key"), *SCOPE, "stage_id", "artifact_id") for n, k in RESULT_KEYS.items() if n in t}
+
+
 def _results(t: Tables) -> DataFrame:
-    """(collection, key, scope, stage_id, artifact_id) of every row of every result table."""
-    return _union([t[n].select(F.lit(n).alias("collection"), F.col(k).cast("string").alias("key"), *SCOPE, "stage_id", "artifact_id") for n, k in RESULT_KEYS.items() if n in t])
+    return _union(list(_result_tables(t).values()))
 
 
 def _scoped(on: dict[str, str]) -> dict[str, str]:
@@ -341,61 +347,151 @@ def joint(*names: str) -> Callable:
 
 def _told(rows: DataFrame, found: dict[str, tuple[Column, Column | str, str]], names: set[str]) -> DataFrame:
     """``found`` maps a rule to (how often a row breaks it, its key, the detail); a condition counts once."""
-    said = []
-    for name, (times, key, detail) in found.items():
-        if name in names:
-            one = F.struct(F.lit(name).alias("rule_id"), F.lit(RULES[name][0]).alias("rule_order"), (F.col(key) if isinstance(key, str) else key).cast("string").alias("key"), F.lit(detail).alias("detail"))
-            said.append(F.array_repeat(one, F.coalesce(times.cast("int"), F.lit(0))))
-    every = rows.select(F.col("sample_id").cast("string").alias("sample_id"), F.col("run_id").cast("string").alias("run_id"), F.concat(*said).alias("v")).where(F.size("v") > 0)
-    return every.select("sample_id", "run_id", F.explode("v").alias("v")).select("v.rule_id", "v.rule_order", "sample_id", "run_id", "v.key", "v.detail")
+    said = [(name, *f) for name, f in found.items() if name in names]
+    broken = F.concat(*[F.array_repeat(F.lit(k), F.coalesce(times.cast("int"), F.lit(0))) for k, (_, times, _, _) in enumerate(said)])
+    keys = [(F.col(key) if isinstance(key, str) else key).cast("string").alias(f"k{k}") for k, (_, _, key, _) in enumerate(said)]
+    every = rows.select(F.col("sample_id").cast("string").alias("sample_id"), F.col("run_id").cast("string").alias("run_id"), *keys, F.explode(broken).alias("k"))
+    of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("k") + 1)
+    key = reduce(lambda other, k: F.when(F.col("k") == k, F.col(f"k{k}")).otherwise(other), range(1, len(said)), F.col("k0"))
+    return every.select(of([name for name, *_ in said]).alias("rule_id"), of([RULES[name][0] for name, *_ in said]).alias("rule_order"), "sample_id", "run_id", key.alias("key"), of([detail for *_, detail in said]).alias("detail"))
 
 
 def _there(*columns: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*SCOPE, *columns]])
 
 
-@joint("result_run", "result_stage", "result_artifact", "result_status", "result_producer", "result_kind")
+#: Rows of the tables of one part, if they are several.
+PART_ROWS = 1 << 26
+
+
+class _Parts:
+    """Rules over many tables, some tables after the others, so that the shuffles of one part are gone before the next.
+
+    What breaks a rule is written as it is found, a few bytes for a row, as the
+    shuffles of one plan would all stay until its last row is read. Up to
+    PART_ROWS rows make one part, which is a lazy plan.
+    """
+
+    def __init__(self, tables: Tables) -> None:
+        sizes = {r["n"]: r["rows"] for r in _union([d.groupBy().agg(F.lit(n).alias("n"), F.count("*").alias("rows")) for n, d in tables.items()]).collect()}
+        self.spark, self.parts, room = next(iter(tables.values())).sparkSession, [], 0
+        for name in sorted(tables, key=lambda n: -sizes[n]):
+            if not self.parts or sizes[name] > room:
+                self.parts.append([])
+                room = PART_ROWS
+            self.parts[-1].append(name)
+            room -= sizes[name]
+
+    def parent(self, df: DataFrame) -> DataFrame:
+        """``df``, computed once for all parts."""
+        return scratch.stable(df) if len(self.parts) > 1 else df
+
+    def found(self, find: Callable[[list[str]], DataFrame]) -> DataFrame:
+        """All that ``find`` gives for the names of each part."""
+        if len(self.parts) == 1:
+            return find(self.parts[0])
+        path = scratch.folder(self.spark)
+        atexit.register(scratch.drop, self.spark, path)
+        for names in self.parts:
+            broken = find(names)
+            schema = broken.schema
+            broken.write.mode("append").option("compression", "zstd").parquet(path)
+            del broken
+            scratch.settle(self.spark)
+        return self.spark.read.schema(schema).parquet(path)
+
+
+def _any(rows: DataFrame, kept: list[str], found: dict[str, Column]) -> DataFrame:
+    """Rows that break a rule: the ``kept`` columns, and how often they break each."""
+    counted = rows.select(*kept, *[F.coalesce(times.cast("int"), F.lit(0)).alias(f"_{name}") for name, times in found.items()])
+    return counted.where(reduce(lambda a, b: a | b, [F.col(f"_{name}") > 0 for name in found]))
+
+
+def _stage_states(t: Tables) -> DataFrame:
+    is_done = F.col("status") == "completed"
+    return t["stages"].groupBy("stage_id", *SCOPE).agg(F.coalesce(F.bool_or(~is_done), F.lit(False)).alias("_open"), F.coalesce(F.bool_or(is_done), F.lit(False)).alias("_done"))
+
+
+@joint("result_run", "result_stage", "result_artifact", "coverage_artifact", "result_status", "result_producer", "result_kind")
 def _result_parents(t: Tables, names: set[str]) -> DataFrame:
-    """Results meet each of their parents once; repeated parents are counted, not multiplied."""
-    rows = _results(t)
+    """Results meet each of their parents once; equal parents are counted, not multiplied."""
+    rows = _result_tables(t)
+    if "coverage_artifact" in names:  # contigs once more, by their other artifact and without a collection
+        none = F.lit(None).cast("string")
+        rows["coverage"] = t["contigs"].where("coverage_artifact_id is not null").select(none.alias("collection"), F.col("contig_id").cast("string").alias("key"), *SCOPE, none.alias("stage_id"), F.col("coverage_artifact_id").alias("artifact_id"))
+    parts = _Parts(rows)
     if "result_run" in names:
-        rows = rows.join(t["runs"].select(*SCOPE).distinct().withColumn("_run", F.lit(True)), SCOPE, "left")
+        runs = t["runs"].select(*SCOPE).distinct().withColumn("_run", F.lit(True))
     if names & {"result_stage", "result_status"}:
-        stages = t["stages"].groupBy(*SCOPE, "stage_id").agg(F.coalesce(F.bool_or(F.col("status") != "completed"), F.lit(False)).alias("_open"))
-        rows = rows.join(stages, [*SCOPE, "stage_id"], "left")
-    if names & {"result_artifact", "result_producer", "result_kind"}:
-        kinds = t["artifacts"].groupBy(*SCOPE, "artifact_id", "producer_stage_id", "kind").agg(F.count("*").alias("n"))
-        made = kinds.groupBy(*SCOPE, "artifact_id").agg(F.collect_list(F.struct("producer_stage_id", "kind", "n")).alias("_made"))
-        rows = rows.join(made, [*SCOPE, "artifact_id"], "left")
-    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in RESULT_KINDS.items() for x in pair]), F.col("collection"))
-    times = lambda bad: F.aggregate("_made", F.lit(0).cast("long"), lambda s, m: s + F.when(bad(m), m["n"]).otherwise(F.lit(0)))
+        stages = parts.parent(_stage_states(t).drop("_done"))
+    if names & {"result_artifact", "coverage_artifact", "result_producer", "result_kind"}:
+        of = ["artifact_id", *SCOPE]
+        made = t["artifacts"].where("artifact_id is not null").groupBy(*of, "producer_stage_id", "kind").agg(F.count("*").alias("_n"))
+        made = parts.parent(made.withColumn("_first", F.row_number().over(Window.partitionBy(*of).orderBy("producer_stage_id", "kind")) == 1))
+    result, once, wanted = F.col("collection").isNotNull(), F.lit(True), F.element_at(F.create_map(*[F.lit(x) for pair in RESULT_KINDS.items() for x in pair]), F.col("collection"))
+    if names & {"result_artifact", "coverage_artifact", "result_producer", "result_kind"}:
+        once = F.coalesce("_first", F.lit(True))  # a row that meets several kinds of an artifact
     found = {
-        "result_run": lambda: (_there() & F.col("_run").isNull(), "key", "result without its run"),
-        "result_stage": lambda: (_there("stage_id") & F.col("_open").isNull(), "key", "result without its stage"),
-        "result_artifact": lambda: (_there("artifact_id") & F.col("_made").isNull(), "key", "result without its artifact"),
-        "result_status": lambda: (F.col("_open"), "key", "result of a stage that is not completed"),
-        "result_producer": lambda: (times(lambda m: ~F.col("stage_id").eqNullSafe(m["producer_stage_id"])), "key", "result and artifact come from different stages"),
-        "result_kind": lambda: (times(lambda m: m["kind"] != wanted), "key", "artifact kind does not match its table"),
+        "result_run": lambda: result & once & _there() & F.col("_run").isNull(),
+        "result_stage": lambda: result & once & _there("stage_id") & F.col("_open").isNull(),
+        "result_artifact": lambda: result & _there("artifact_id") & F.col("_n").isNull(),
+        "coverage_artifact": lambda: ~result & _there("artifact_id") & F.col("_n").isNull(),
+        "result_status": lambda: result & once & F.col("_open"),
+        "result_producer": lambda: F.when(result & ~F.col("stage_id").eqNullSafe(F.col("producer_stage_id")), F.col("_n")),
+        "result_kind": lambda: F.when(F.col("kind") != wanted, F.col("_n")),
     }
-    return _told(rows, {n: f() for n, f in found.items() if n in names}, names)
+    details = {
+        "result_run": "result without its run", "result_stage": "result without its stage", "result_artifact": "result without its artifact", "coverage_artifact": "coverage artifact is missing",
+        "result_status": "result of a stage that is not completed", "result_producer": "result and artifact come from different stages", "result_kind": "artifact kind does not match its table",
+    }
+
+    def find(of_part: list[str]) -> DataFrame:
+        met = _union([rows[n] for n in of_part])
+        if "result_run" in names:
+            met = met.join(runs, SCOPE, "left")
+        if names & {"result_stage", "result_status"}:
+            met = met.join(stages, ["stage_id", *SCOPE], "left")
+        if names & {"result_artifact", "coverage_artifact", "result_producer", "result_kind"}:
+            met = met.join(made, of, "left")  # sorted by what differs most
+        return _any(met, [*SCOPE, "key"], {n: f() for n, f in found.items() if n in names})
 
+    return _told(parts.found(find), {n: (F.col(f"_{n}"), "key", details[n]) for n in found if n in names}, names)
 
-@joint("duplicate_result", "repeated_expected", "expected_keys")
+
+@joint("duplicate_result", "repeated_expected", "open_expected", "expected_keys")
 def _result_keys(t: Tables, names: set[str]) -> DataFrame:
     """Keys of results and expected keys meet once, by collection and key."""
-    keys, one, none = [*SCOPE, "collection", "key"], F.lit(1).cast("long"), F.lit(0).cast("long")
-    both = _results(t).select(*keys, "stage_id", one.alias("a"), none.alias("e"))
-    if names & {"repeated_expected", "expected_keys"}:
-        both = both.unionByName(t["stage_expected_keys"].select(*SCOPE, "collection", F.col("record_id").cast("string").alias("key"), "stage_id", none.alias("a"), one.alias("e")))
-    sums = both.repartition(*keys).groupBy(*keys, "stage_id").agg(F.sum("a").alias("a"), F.sum("e").alias("e"))
-    w = Window.partitionBy(*keys)
-    rows = sums.withColumns({"all": F.sum("a").over(w), "nth": F.row_number().over(w.orderBy("stage_id"))})
-    found = {"duplicate_result": ((F.col("all") > 1) & (F.col("nth") == 1), "key", "duplicate key of a result"), "repeated_expected": (F.col("e") > 1, "stage_id", "stage repeats an expected key")}
-    if "expected_keys" in names:
-        done = t["stages"].where("status = 'completed'").select(*SCOPE, "stage_id").distinct().withColumn("_done", F.lit(True))
-        rows = rows.where("all > 1 or e > 1 or (a > 0) <> (e > 0)").join(done, [*SCOPE, "stage_id"], "left")
-        found["expected_keys"] = (F.col("_done") & ((F.col("a") > 0) != (F.col("e") > 0)), F.concat_ws(":", "collection", "key"), "expected and actual keys differ")
-    return _told(rows, found, names)
+    keys, one, none = ["key", "collection", *SCOPE], F.lit(1).cast("long"), F.lit(0).cast("long")
+    results = {n: d.select(*keys, "stage_id", one.alias("a"), none.alias("e")) for n, d in _result_tables(t).items()}
+    if names - {"duplicate_result"}:
+        expected = t["stage_expected_keys"].select(F.col("record_id").cast("string").alias("key"), "collection", *SCOPE, "stage_id", none.alias("a"), one.alias("e"))
+        results = results or {"": expected.where(F.lit(False))}
+    parts = _Parts(results)
+    if names & {"open_expected", "expected_keys"}:
+        stages = parts.parent(_stage_states(t))
+    found = {
+        "duplicate_result": (lambda: (F.col("upto") > 1) & (F.col("upto") - F.col("a") <= 1), "key", "duplicate key of a result"),
+        "repeated_expected": (lambda: F.col("e") > 1, "stage_id", "stage repeats an expected key"),
+        "open_expected": (lambda: F.when(F.col("_open"), F.col("e")), "key", "stage that is not completed expects rows"),
+        "expected_keys": (lambda: F.col("_done") & ((F.col("a") > 0) != (F.col("e") > 0)), F.concat_ws(":", "collection", "key"), "expected and actual keys differ"),
+    }
+
+    def find(of_part: list[str]) -> DataFrame:
+        both = _union([results[n] for n in of_part])
+        if names - {"duplicate_result"}:
+            known = lambda names: F.coalesce(F.col("collection").isin(names), F.lit(False))
+            # those of collections that are no table come with the first part
+            of = F.lit(True) if len(parts.parts) == 1 else known(of_part) | ~known(list(results)) if of_part is parts.parts[0] else known(of_part)
+            both = both.unionByName(expected.where(of))
+        sums = both.repartition(*keys).groupBy(*keys, "stage_id").agg(F.sum("a").alias("a"), F.sum("e").alias("e"))
+        # a running sum passes one once, and needs no look at the whole group
+        rows = sums.withColumn("upto", F.sum("a").over(Window.partitionBy(*keys).orderBy("stage_id").rowsBetween(Window.unboundedPreceding, 0)))
+        if names & {"open_expected", "expected_keys"}:
+            rows = rows.join(stages, ["stage_id", *SCOPE], "left")
+        repeated = F.when(F.col("e") > 1, F.col("stage_id")).alias("stage_id")
+        return _any(rows, [*keys, repeated], {n: f() for n, (f, *_) in found.items() if n in names})
+
+    return _told(parts.found(find), {n: (F.col(f"_{n}"), *said) for n, (_, *said) in found.items() if n in names}, names)
 
 
 @joint("contig_count", "assembly_length", "n50_present", "n50_absent", "n50_bound", "n50_value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +23,18 @@ def stable(df: DataFrame) -> DataFrame:
     path = folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go now, which Spark removes once the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may be gone at exit; the folder is scratch space
+        pass

@@ -137,3 +137,39 @@ def test_rules_of_one_kind_share_their_joins(spark, group):
     together = integrity.violations(t, names)
     assert sorted(map(tuple, together.collect()), key=str) == sorted((tuple(r) for n in names for r in integrity.violations(t, [n]).collect()), key=str)
     assert together._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= joins
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def odd():
+    """Repeated artifacts of several kinds, repeated stages of several states, nulls, keys under several stages, unknown collections."""
+    rows, s = valid(), ("s", "r")
+    for copied in ("stages", "artifacts", "genes", "genes", "stage_expected_keys", "contigs"):
+        copy(copied)(rows)
+    rows["artifacts"] += [(*s, "art_asm", "qc_report", "/x", "x", 2, "gene"), (*s, "art_asm", None, "/x", "x", 2, None), (*s, None, "assembly", "/x", "x", 2, "asm")]
+    rows["stages"] += [(*s, "gene", "gene", "pending", "waits", None, None, None, None, None, None, None)]
+    rows["contigs"] += [(*s, None, "art_asm", "c3", "a1", 1, None, "none"), (*s, "asm", None, "c4", "a1", 1, None, None), (*s, "none", "none", "c1", "a1", 1, None, "none"), ("s", None, "asm", "art_asm", "c5", "a1", 1, None, "none"), ("z", "r", "asm", "art_asm", "c6", "a1", 1, None, "art_asm")]
+    rows["genes"] += [(*s, "later", "art_asm", "g1", "c1", "b1", 1, 100, "+", 11), (*s, "gene", "art_gene", None, "c1", "b1", 1, 100, "+", 11)]
+    rows["stage_expected_keys"] += [(*s, "asm", "unknown", "u1"), (*s, "asm", "unknown", "u1"), (*s, "asm", None, "u2"), (*s, "later", "genes", "g1"), (*s, "later", "genes", "g2"), (*s, "later", "genes", "g2"), (*s, None, "genes", "g3")]
+    return rows
+
+
+@pytest.mark.parametrize("part_rows", [1 << 26, 9, 1])
+def test_rules_over_results_find_the_same_part_by_part(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(integrity, "PART_ROWS", part_rows)
+    t = tables(spark, odd())
+    names = [n for n, (number, *_) in integrity.RULES.items() if 19 <= number <= 29]
+    together = integrity.violations(t, names)
+    alone = [tuple(r) for n in names for r in integrity.violations(t, [n]).collect()]
+    assert sorted(map(tuple, together.collect()), key=str) == sorted(alone, key=str)
+    assert {r[0] for r in alone} == set(names)
+    # no shuffle of the results is left for the plan that gives the rows
+    assert ("Exchange" in plan(together)) == (part_rows > 9)
+
+
+def test_expected_keys_without_results(spark):
+    t = {n: d for n, d in tables(spark, odd()).items() if n in ("samples", "runs", "stages", "stage_expected_keys")}
+    names = ["repeated_expected", "open_expected"]
+    assert sorted(map(tuple, integrity.violations(t, names).collect()), key=str) == sorted((tuple(r) for n in names for r in integrity.violations(t, [n]).collect()), key=str)
